@@ -1,0 +1,5 @@
+"""Registered queries over the given tables."""
+
+from .queries import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .errors import is_quota
 from .text import (
@@ -48,7 +49,7 @@ def strict_json(text: Column) -> Column:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _python_json(texts: pd.Series, tolerant: pd.Series) -> pd.Series:
     """Canonical JSON of text Spark's parser refuses: repeated keys, NaN, a cut-off rest."""
     import json
@@ -94,10 +95,13 @@ def _python_json(texts: pd.Series, tolerant: pd.Series) -> pd.Series:
     return pd.Series([read(t, p) for t, p in zip(texts, tolerant)], dtype="object")
 
 
-def _with_fallback(native: Column, text: Column, tolerant: bool) -> Column:
-    """Send to Python only text that holds a bracket and that Spark could not read."""
-    left = F.when(native.isNull() & text.rlike(r"[\[{]"), text)
-    return F.coalesce(native, F.try_parse_json(_python_json(left, F.lit(tolerant))))
+def _add_json(df: DataFrame, out: str, native: Column, text: Column, tolerant: bool) -> DataFrame:
+    """Add VARIANT ``out``: read natively, and by Python only where text with a bracket
+    could not be read."""
+    read = df.withColumn("_native", native)
+    left = F.when(F.col("_native").isNull() & text.rlike(r"[\[{]"), text)
+    parsed = F.try_parse_json(_python_json(left, F.lit(tolerant)))
+    return read.withColumn(out, F.coalesce("_native", parsed)).drop("_native")
 
 
 def json_object_text(c: Column) -> Column:
@@ -112,20 +116,23 @@ def json_object_text(c: Column) -> Column:
     return F.when(spans, F.substring(text, start, end - start + 1)).otherwise(text)
 
 
-def extract_object(c: Column, fallback: bool = True) -> Column:
-    """VARIANT of the JSON in a summary answer; NULL is a failed answer."""
-    text = json_object_text(c)
-    native = strict_json(text)
-    return _with_fallback(native, text, False) if fallback else native
+def with_object(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add VARIANT ``out``: the JSON in a summary answer; NULL is a failed answer."""
+    part = json_object_text(F.col(text))
+    return _add_json(df, out, strict_json(part), part, False)
 
 
-def tolerant_json(c: Column, fallback: bool = True) -> Column:
-    """VARIANT of the whole text, else of its widest bracketed part, else of a balanced part."""
+def tolerant_json(c: Column) -> Column:
+    """VARIANT of the whole text, else of its widest bracketed part."""
     text = clean_text(c)
     from_start = F.regexp_extract(text, r"(?s)[\[{].*$", 0)
     part = F.regexp_extract(from_start, r"(?s)^.*[\]}]", 0)
-    native = F.coalesce(strict_json(text), strict_json(part))
-    return _with_fallback(native, text, True) if fallback else native
+    return F.coalesce(strict_json(text), strict_json(part))
+
+
+def with_tolerant_json(df: DataFrame, text: Column, out: str) -> DataFrame:
+    """Add VARIANT ``out``: whole text, else widest bracketed part, else a balanced part."""
+    return _add_json(df, out, tolerant_json(text), clean_text(text), True)
 
 
 # -- VARIANT helpers ----------------------------------------------------------
@@ -242,7 +249,7 @@ def with_analysis(df: DataFrame, data: str) -> DataFrame:
 
 def json_items_text(items: Column) -> Column:
     """JSON array text of VARIANT items."""
-    return F.concat(F.lit("["), F.array_join(F.transform(items, F.to_json), ", "), F.lit("]"))
+    return F.concat(F.lit("["), F.array_join(F.transform(items, lambda x: F.to_json(x)), ", "), F.lit("]"))
 
 
 def summary_outcome(content: Column, raw: Column, data: Column, error: Column) -> Column:
@@ -275,13 +282,12 @@ def response_text(v: Column) -> Column:
     return F.coalesce(F.when(own != "", own), strip(joined), F.lit(""))
 
 
-def tag_payload(raw: Column, fallback: bool = True) -> Column:
-    """VARIANT of a tag answer: camel case is split before parsing; if that breaks
-    the JSON, the text is parsed as it came."""
-    text = clean_text(raw)
-    return F.coalesce(
-        tolerant_json(split_camel_case(text), fallback=False), tolerant_json(text, fallback)
-    )
+def with_tag_data(df: DataFrame, raw: str, out: str) -> DataFrame:
+    """Add VARIANT ``out`` of a tag answer: camel case is split before parsing; where that
+    broke the JSON, the text is parsed as it came."""
+    text = clean_text(F.col(raw))
+    read = with_tolerant_json(df, split_camel_case(text), "_split")
+    return read.withColumn(out, F.coalesce("_split", tolerant_json(text))).drop("_split")
 
 
 def with_tag_payload(df: DataFrame, data: str) -> DataFrame:
@@ -308,10 +314,10 @@ def with_tag_payload(df: DataFrame, data: str) -> DataFrame:
 
 def tag_outcome(
     df: DataFrame, content: str = "content", raw: str = "raw", error: str = "error",
-    require_all_tags: bool = True, fallback: bool = True,
+    require_all_tags: bool = True,
 ) -> DataFrame:
     """Reason, retry flags and the row to store for each post and its staged answer."""
-    parsed = with_tag_payload(df.withColumn("_data", tag_payload(F.col(raw), fallback)), "_data")
+    parsed = with_tag_payload(with_tag_data(df, raw, "_data"), "_data")
     short = (F.size("tags") != TAGS_WANTED) if require_all_tags else F.lit(False)
     reason = (
         F.when(~is_meaningful(F.col(content)), "empty_input")

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 # The characters str.strip() removes.
 WHITESPACE = (
@@ -224,7 +225,7 @@ def json_list_text(items: Column, empty: str | None = "[]") -> Column:
     return F.when(F.size(items) > 0, text).otherwise(F.lit(empty))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def _literal_list(texts: pd.Series) -> pd.Series:
     import ast
     import json

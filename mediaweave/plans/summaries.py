@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import JobConfig
-from ..functions.responses import extract_object, summary_outcome, with_analysis
+from ..functions.responses import summary_outcome, with_analysis, with_object
 from ..functions.text import clean_text, fill_prompt, is_blank
 from ..operators import candidates, ledger
 from ..operators.merge import merge
@@ -47,7 +47,7 @@ def summary_results(transcripts: DataFrame, answers: DataFrame) -> DataFrame:
     joined = transcripts.select(*KEY, "content").join(
         answers.select(*KEY, "raw", F.col("error").alias("_call")), KEY, "left"
     )
-    parsed = with_analysis(joined.withColumn("_data", extract_object(F.col("raw"))), "_data")
+    parsed = with_analysis(with_object(joined, "raw", "_data"), "_data")
     error = summary_outcome(F.col("content"), F.col("raw"), F.col("_data"), F.col("_call"))
     return parsed.withColumn("error", error).select(*KEY, *ANALYSIS, "error")
 
