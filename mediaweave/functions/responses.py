@@ -34,21 +34,26 @@ SUMMARY_LISTS = ("brand_mentioned", "product_mentioned", "topic_tags", "sponsors
 # -- reading JSON -------------------------------------------------------------
 
 
-def strict_json(text: Column) -> Column:
-    """VARIANT when the whole text is one JSON value, else NULL.
+def _wrapped(text: Column) -> Column:
+    """VARIANT with the value of ``text`` in ``v``, and ``end`` if nothing follows that value.
 
     ``try_parse_json`` ignores what follows the first value; a second field
     behind the text makes such a rest invalid.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit(',"end":0}')))
-    return let(
-        wrapped,
-        lambda w: F.when(
-            F.try_variant_get(w, "$.end", "int") == 0, F.try_variant_get(w, "$.v", "variant")
-        ),
+    return F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit(',"end":0}')))
+
+
+def _unwrapped(w: Column) -> Column:
+    return F.when(
+        F.try_variant_get(w, "$.end", "int") == 0, F.try_variant_get(w, "$.v", "variant")
     )
 
 
+def strict_json(text: Column) -> Column:
+    """VARIANT when the whole text is one JSON value, else NULL."""
+    return let(_wrapped(text), _unwrapped)
+
+
 @F.pandas_udf(StringType())
 def _python_json(texts: pd.Series, tolerant: pd.Series) -> pd.Series:
     """Canonical JSON of text Spark's parser refuses: repeated keys, NaN, a cut-off rest."""
@@ -95,44 +100,58 @@ def _python_json(texts: pd.Series, tolerant: pd.Series) -> pd.Series:
     return pd.Series([read(t, p) for t, p in zip(texts, tolerant)], dtype="object")
 
 
-def _add_json(df: DataFrame, out: str, native: Column, text: Column, tolerant: bool) -> DataFrame:
-    """Add VARIANT ``out``: read natively, and by Python only where text with a bracket
-    could not be read."""
-    read = df.withColumn("_native", native)
-    left = F.when(F.col("_native").isNull() & text.rlike(r"[\[{]"), text)
-    parsed = F.try_parse_json(_python_json(left, F.lit(tolerant)))
-    return read.withColumn(out, F.coalesce("_native", parsed)).drop("_native")
-
-
-def json_object_text(c: Column) -> Column:
-    """The part of a model answer that should be a JSON object: no fences, first ``{`` to last ``}``."""
-    text = clean_text(c)
-    fenced = text.startswith("```")
-    opened = strip(F.regexp_replace(text, "^```(?i:json)?", ""))
-    text = F.when(fenced, strip(F.regexp_replace(opened, "```$", ""))).otherwise(text)
-    start = F.instr(text, "{")
-    end = F.length(text) - F.instr(F.reverse(text), "}") + 1
-    spans = (start > 0) & F.contains(text, F.lit("}")) & (end > start)
-    return F.when(spans, F.substring(text, start, end - start + 1)).otherwise(text)
+def _read(df: DataFrame, text: str, out: str, unless: str | None = None) -> DataFrame:
+    """Add VARIANT ``out`` of text column ``text``; rows that have ``unless`` keep that value.
 
+    Each step is a column of its own, so long texts are read once.
+    """
+    parsed = _wrapped(F.col(text))
+    if unless is not None:
+        parsed = F.when(F.col(unless).isNull(), parsed)
+    value = _unwrapped(F.col("_wrapped"))
+    if unless is not None:
+        value = F.coalesce(F.col(unless), value)
+    return df.withColumn("_wrapped", parsed).withColumn(out, value).drop("_wrapped")
+
+
+def _read_in_python(df: DataFrame, text: str, out: str, unless: str, tolerant: bool) -> DataFrame:
+    """As ``_read`` for text with a bracket that Spark refused; other rows send NULL."""
+    left = F.when(F.col(unless).isNull() & F.col(text).rlike(r"[\[{]"), F.col(text))
+    parsed = F.try_parse_json(_python_json(left, F.lit(tolerant)))
+    return df.withColumn(out, F.coalesce(F.col(unless), parsed))
 
-def with_object(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add VARIANT ``out``: the JSON in a summary answer; NULL is a failed answer."""
-    part = json_object_text(F.col(text))
-    return _add_json(df, out, strict_json(part), part, False)
 
+def with_object(df: DataFrame, raw: str, out: str) -> DataFrame:
+    """Add VARIANT ``out``: the JSON object in a summary answer; NULL is a failed answer.
 
-def tolerant_json(c: Column) -> Column:
-    """VARIANT of the whole text, else of its widest bracketed part."""
-    text = clean_text(c)
-    from_start = F.regexp_extract(text, r"(?s)[\[{].*$", 0)
-    part = F.regexp_extract(from_start, r"(?s)^.*[\]}]", 0)
-    return F.coalesce(strict_json(text), strict_json(part))
+    Code fences are removed and the part from the first ``{`` to the last ``}`` is read.
+    """
+    opened = strip(F.regexp_replace("_text", "^```(?i:json)?", ""))
+    bare = F.when(
+        F.col("_text").startswith("```"), strip(F.regexp_replace(opened, "```$", ""))
+    ).otherwise(F.col("_text"))
+    span = F.regexp_extract("_bare", r"(?s)\{.*\}", 0)
+    cut = (
+        df.withColumn("_text", clean_text(F.col(raw)))
+        .withColumn("_bare", bare)
+        .withColumn("_span", span)
+        .withColumn("_part", F.when(F.col("_span") != "", F.col("_span")).otherwise(F.col("_bare")))
+    )
+    native = _read(cut, "_part", "_native")
+    return _read_in_python(native, "_part", out, "_native", False).drop(
+        "_text", "_bare", "_span", "_part", "_native"
+    )
 
 
 def with_tolerant_json(df: DataFrame, text: Column, out: str) -> DataFrame:
     """Add VARIANT ``out``: whole text, else widest bracketed part, else a balanced part."""
-    return _add_json(df, out, tolerant_json(text), clean_text(text), True)
+    cut = df.withColumn("_text", clean_text(text))
+    whole = _read(cut, "_text", "_whole")
+    part = F.when(F.col("_whole").isNull(), F.regexp_extract("_text", r"(?s)[\[{].*[\]}]", 0))
+    native = _read(whole.withColumn("_part", part), "_part", "_native", "_whole")
+    return _read_in_python(native, "_text", out, "_native", True).drop(
+        "_text", "_whole", "_part", "_native"
+    )
 
 
 # -- VARIANT helpers ----------------------------------------------------------
@@ -181,20 +200,38 @@ def list_or_empty(v: Column) -> Column:
 
 def as_list(v: Column) -> Column:
     """A list stays, NULL and empty text give no items, any other value is one item."""
+    items = F.try_variant_get(v, "$", "array<variant>")
     empty = v.isNull() | F.is_variant_null(v) | ((_kind(v) == "STRING") & (_text(v) == ""))
-    return F.when(empty, F.array().cast("array<variant>")).otherwise(
-        F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))
+    single = F.when(empty, F.array().cast("array<variant>")).otherwise(F.array(v))
+    return F.coalesce(items, single)
+
+
+def _texts(v: Column, null: str, slow: Column) -> Column:
+    """Texts of a JSON list: a list of nothing but strings is read in one step, any other
+    one item by item (``slow``), because the type of an item decides its text."""
+    plain = F.transform(
+        F.try_variant_get(v, "$", "array<string>"), lambda x: F.coalesce(x, F.lit(null))
     )
+    return F.when(F.schema_of_variant(v) == "ARRAY<STRING>", plain).otherwise(slow)
+
+
+def item_texts(v: Column) -> Column:
+    """``item_text`` of the items of a list; anything else has no items."""
+    return _texts(v, "None", F.transform(list_or_empty(v), item_text))
+
+
+def item_texts_or_blank(v: Column) -> Column:
+    return _texts(v, "", F.transform(list_or_empty(v), text_or_blank))
 
 
 def distinct_texts(v: Column) -> Column:
     """Texts of ``as_list`` items, first of each case-insensitive trimmed key, blank keys dropped."""
-    texts = F.transform(as_list(v), item_text)
+    texts = _texts(v, "None", F.transform(as_list(v), item_text))
 
     def key(x: Column) -> Column:
         return F.lower(strip(x))
 
-    return ordered_distinct(F.filter(texts, lambda x: key(x) != ""), key)
+    return ordered_distinct(F.filter(texts, lambda x: strip(x) != ""), key)
 
 
 # -- summaries ----------------------------------------------------------------
@@ -285,29 +322,28 @@ def response_text(v: Column) -> Column:
 def with_tag_data(df: DataFrame, raw: str, out: str) -> DataFrame:
     """Add VARIANT ``out`` of a tag answer: camel case is split before parsing; where that
     broke the JSON, the text is parsed as it came."""
-    text = clean_text(F.col(raw))
-    read = with_tolerant_json(df, split_camel_case(text), "_split")
-    return read.withColumn(out, F.coalesce("_split", tolerant_json(text))).drop("_split")
+    split = split_camel_case(clean_text(F.col(raw)))
+    read = with_tolerant_json(df, split, "_split")
+    return _read(read.withColumn("_raw", clean_text(F.col(raw))), "_raw", out, "_split").drop(
+        "_split", "_raw"
+    )
 
 
 def with_tag_payload(df: DataFrame, data: str) -> DataFrame:
     """Add the five normalised fields of a tag answer held in VARIANT column ``data``."""
 
-    def items(name: str) -> Column:
-        return list_or_empty(F.try_variant_get(F.col(data), f"$.{name}", "variant"))
-
-    def handles(name: str) -> Column:
-        return normalize_handles(F.transform(items(name), text_or_blank))
+    def field(name: str) -> Column:
+        return F.try_variant_get(F.col(data), f"$.{name}", "variant")
 
     return df.withColumns(
         {
-            "tags": normalize_tags(F.transform(items("tags"), item_text)),
-            "is_sponsorship": lenient_flag(
-                F.try_variant_get(F.col(data), "$.is_sponsorship", "variant")
+            "tags": normalize_tags(item_texts(field("tags"))),
+            "is_sponsorship": lenient_flag(field("is_sponsorship")),
+            "brands": normalize_brands(item_texts(field("brand_name"))),
+            "associated_brands": normalize_handles(item_texts_or_blank(field("associated_brand"))),
+            "associated_mentions": normalize_handles(
+                item_texts_or_blank(field("associated_mention"))
             ),
-            "brands": normalize_brands(F.transform(items("brand_name"), item_text)),
-            "associated_brands": handles("associated_brand"),
-            "associated_mentions": handles("associated_mention"),
         }
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
@@ -209,7 +209,8 @@ def normalize_handles(items: Column) -> Column:
 
 def python_list_text(items: Column) -> Column:
     """``['a', 'b']`` for items without quotes, as the normalisers return them."""
-    return F.when(F.size(items) > 0, F.concat(F.lit("['"), F.array_join(items, "', '"), F.lit("']"))).otherwise("[]")
+    joined = F.array_join(F.transform(items, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", ")
+    return F.concat(F.lit("["), joined, F.lit("]"))
 
 
 def stored_list_text(c: Column) -> Column:
@@ -222,7 +223,7 @@ def json_list_text(items: Column, empty: str | None = "[]") -> Column:
     """JSON array text with ``", "`` between items; ``empty`` stands for an empty list."""
     quoted = F.transform(items, lambda x: F.regexp_replace(F.to_json(F.array(x)), r"^\[|\]$", ""))
     text = F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
-    return F.when(F.size(items) > 0, text).otherwise(F.lit(empty))
+    return text if empty == "[]" else let(text, lambda t: F.when(t != "[]", t).otherwise(empty))
 
 
 @F.pandas_udf(ArrayType(StringType()))
@@ -245,24 +246,27 @@ def _literal_list(texts: pd.Series) -> pd.Series:
     return texts.map(read)
 
 
-def parse_list_text(c: Column, fallback: bool = True) -> Column:
-    """Stored list text (JSON or Python literal) as an array of non-blank trimmed items.
+def parse_list_text(df: DataFrame, stored: str, out: str) -> DataFrame:
+    """Add ``out``: stored list text (JSON or Python literal) as an array of non-blank
+    trimmed items.
 
     A flat quoted list is read by ``from_json``; only other text reaches Python.
     """
-    text = clean_text(c)
-    flat = (
-        text.startswith("[")
-        & text.endswith("]")
-        & (F.length(text) - F.length(F.replace(text, F.lit("["), F.lit(""))) == 1)
-        & (F.length(text) - F.length(F.replace(text, F.lit("]"), F.lit(""))) == 1)
+    text = F.col("_text")
+
+    def once(char: str) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit(""))) == 1
+
+    flat = text.startswith("[") & text.endswith("]") & once("[") & once("]")
+    read = df.withColumn("_text", clean_text(F.col(stored))).withColumn(
+        "_native", F.when(flat, F.from_json(text, "array<string>"))
+    )
+    other = _literal_list(F.when((text != "") & F.col("_native").isNull(), text))
+    items = F.transform(
+        F.coalesce("_native", other), lambda x: strip(F.coalesce(x, F.lit("None")))
     )
-    native = F.when(flat, F.from_json(text, "array<string>"))
-    read = native
-    if fallback:
-        read = F.coalesce(native, _literal_list(F.when((text != "") & native.isNull(), text)))
-    items = F.transform(read, lambda x: strip(F.coalesce(x, F.lit("None"))))
-    return F.coalesce(F.filter(items, lambda x: x != ""), F.array().cast("array<string>"))
+    kept = F.coalesce(F.filter(items, lambda x: x != ""), F.array().cast("array<string>"))
+    return read.withColumn(out, kept).drop("_text", "_native")
 
 
 def join_tags(items: Column) -> Column:

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_text, epoch_millis_to_iso, is_blank, join_tags, parse_list_text
+from ..functions.text import (
+    clean_text,
+    epoch_millis_to_iso,
+    is_blank,
+    join_tags,
+    let,
+    parse_list_text,
+)
 from ..schemas import COUNTERS
 from .lookups import BROADCAST_ROWS, checked_lookup
 from .merge import last_wins
@@ -180,8 +187,12 @@ def pairs_with_captions(pairs: DataFrame, captions: DataFrame) -> DataFrame:
 
 def is_bad_tag_text(c: Column) -> Column:
     """Missing tags, or not exactly ten single-quoted ones."""
-    quotes = F.length(c) - F.length(F.replace(c, F.lit("'"), F.lit("")))
-    return F.coalesce(c.isin("", "[]") | (quotes != TEN_TAGS_QUOTES), F.lit(True))
+
+    def bad(t: Column) -> Column:
+        quotes = F.length(t) - F.length(F.replace(t, F.lit("'"), F.lit("")))
+        return F.coalesce(t.isin("", "[]") | (quotes != TEN_TAGS_QUOTES), F.lit(True))
+
+    return let(c, bad)
 
 
 def bad_tag_pairs(tags: DataFrame) -> DataFrame:
@@ -197,12 +208,12 @@ def has_tag_text(c: Column) -> Column:
     return ~F.coalesce(c, F.lit("")).isin("", "[]")
 
 
-def tag_texts(tags: DataFrame, fallback: bool = True) -> DataFrame:
+def tag_texts(tags: DataFrame) -> DataFrame:
     """Trimmed pair and the one text its tags make (possibly empty)."""
     stored = tags.filter(has_tag_text(F.col("topic_tags")))
-    return stored.select(
+    return parse_list_text(stored, "topic_tags", "_tags").select(
         *[clean_text(F.col(c).cast("string")).alias(c) for c in PAIR],
-        join_tags(parse_list_text(F.col("topic_tags"), fallback)).alias("tag_text"),
+        join_tags(F.col("_tags")).alias("tag_text"),
     )
 
 
