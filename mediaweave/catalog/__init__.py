@@ -1,5 +1,6 @@
 """Registered queries over the given tables."""
 
+from . import stages  # noqa: F401  registers the end-to-end runs
 from .queries import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -231,7 +231,7 @@ def distinct_texts(v: Column) -> Column:
     def key(x: Column) -> Column:
         return F.lower(strip(x))
 
-    return ordered_distinct(F.filter(texts, lambda x: strip(x) != ""), key)
+    return ordered_distinct(F.filter(F.array_distinct(texts), lambda x: strip(x) != ""), key)
 
 
 # -- summaries ----------------------------------------------------------------

@@ -73,9 +73,12 @@ def is_blank(c: Column) -> Column:
 
 
 def ordered_distinct(items: Column, key: Callable[[Column], Column]) -> Column:
-    """Keep the first item of each key, in order: two sorts instead of n² look-ups."""
+    """Keep the first item of each key, in order: two sorts instead of n² look-ups.
+
+    Exact repeats go first, by hash, so that only different spellings are sorted.
+    """
     keyed = F.transform(
-        items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))
+        F.array_distinct(items), lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))
     )
 
     def firsts(run: Column) -> Column:
@@ -185,7 +188,7 @@ def phrase(c: Column, max_words: int) -> Column:
 
 
 def _phrases(items: Column, words: int, dropped: Iterable[str], limit: int) -> Column:
-    short = F.transform(items, lambda x: phrase(x, words))
+    short = F.transform(F.array_distinct(items), lambda x: phrase(x, words))
     kept = F.filter(short, lambda x: (x != "") & ~F.lower(x).isin(*dropped))
     return F.slice(ordered_distinct(kept, F.lower), 1, limit)
 
@@ -199,7 +202,7 @@ def normalize_brands(items: Column) -> Column:
 
 
 def normalize_handles(items: Column) -> Column:
-    bare = F.transform(items, lambda x: F.btrim(clean_text(x), F.lit(HANDLE_WRAPPING)))
+    bare = F.transform(F.array_distinct(items), lambda x: F.btrim(clean_text(x), F.lit(HANDLE_WRAPPING)))
     kept = F.filter(bare, lambda x: x.rlike(HANDLE_PATTERN) & ~x.isin(*NON_HANDLES))
     return F.slice(F.array_distinct(kept), 1, HANDLE_LIMIT)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 from ..config import checked_identifier
 
@@ -82,7 +82,7 @@ class VersionedTable:
     def version(self) -> int:
         """Newest committed version, 0 before the first."""
         commits = read_or_empty(
-            self.spark, f"{self.path}/commits", StructType().add("version", "bigint")
+            self.spark, f"{self.path}/commits", StructType().add("version", LongType())
         )
         return commits.agg(F.max("version")).first()[0] or 0
 

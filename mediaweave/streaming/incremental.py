@@ -46,10 +46,26 @@ def merge_handler(
     set_columns: list[str] | None = None,
     insert: bool = True,
 ) -> Callable[[DataFrame, int], None]:
-    """A handler that merges the last row of each key into ``target``."""
+    """A handler that merges the last row of each key into ``target``: arrival order wins."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         updates = last_wins(shape(batch), keys, seq)
         target.update(lambda old: merge(old, updates, keys, set_columns, insert))
 
     return handle
+
+
+def newest_handler(
+    target: VersionedTable,
+    keys: list[str],
+    seq: list[str],
+    shape: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> Callable[[DataFrame, int], None]:
+    """A handler for files that may arrive out of order: the row with the greatest
+    ``seq`` wins, wherever it is."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = shape(batch)
+        target.update(lambda old: last_wins(old.unionByName(rows), keys, seq))
+
+    return handle
