@@ -66,6 +66,8 @@ class JobConfig:
     max_attempts: int = 3
     keep_inserted: int = 200
     model_partitions: int = 64
+    requests_per_task: int = 10_000
+    requests_per_commit: int = 10_000_000
     server_error_limit: int = 0
 
     @property

@@ -39,16 +39,25 @@ def merge(
     other columns stay, unmatched updates are inserted when ``insert``.
 
     ``updates`` has one row per key (see ``last_wins``).  ``touch`` gives columns
-    set on matched rows only.  One join; both sides are read once.
+    set on matched rows only.  One join; both sides are read once.  Keys are
+    unique, so no partition is hot, but for rows without a key: they match
+    nothing and are spread by a hash of their other columns.
     """
     columns = target.columns
     present = [c for c in updates.columns if c not in keys and c in columns]
     changed = present if set_columns is None else set_columns
     new = updates.select(
-        *keys, *[F.col(c).alias(f"_new_{c}") for c in changed], F.lit(True).alias("_updated")
+        *keys,
+        *[F.col(c).alias(f"_new_{c}") for c in changed],
+        F.lit(True).alias("_updated"),
+        F.lit(0).cast("bigint").alias("_spread"),
     )
-    old = target.withColumn("_existing", F.lit(True))
-    joined = old.join(new, keys, "full_outer" if insert else "left_outer")
+    keyless = F.lit(False)
+    for key in keys:
+        keyless = keyless | F.col(key).isNull()
+    spread = F.when(keyless, F.xxhash64(*columns)).otherwise(F.lit(0).cast("bigint"))
+    old = target.withColumns({"_existing": F.lit(True), "_spread": spread})
+    joined = old.join(new, [*keys, "_spread"], "full_outer" if insert else "left_outer")
     updated = F.col("_updated").isNotNull()
     matched = updated & F.col("_existing").isNotNull()
 

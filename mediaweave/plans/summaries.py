@@ -73,10 +73,12 @@ def run(
     trimmed = todo.withColumn("video_id", clean_text(F.col("video_id")))
     transcripts = attach_transcripts(trimmed, objects, config)
     requests = summary_requests(transcripts, config.prompt_template)
-    staged = StagedResults(spark, tables.staging, answer_schema(requests, KEY))
+    # a run that was lost finds its answers again, a later run asks anew
+    folder = f"{tables.staging}/{tables.summaries.version()}"
+    staged = StagedResults(spark, folder, answer_schema(requests, KEY))
     answers = stage_once(
         requests, KEY, staged,
-        lambda df: generate_answers(df, KEY, factory, config.model_partitions),
+        lambda df, parts: generate_answers(df, KEY, factory, parts), config,
     )
     results = summary_results(transcripts, answers)
     rows = rows_to_save(results)

@@ -65,14 +65,17 @@ def failed_pairs(failures: DataFrame) -> DataFrame:
     return pairs.filter((F.col("user_id") != "") & (F.col("post_id") != ""))
 
 
-def _answers(docs: DataFrame, tables: TagTables, factory: ClientFactory, config: JobConfig,
-             redo_all: bool = False, staging: str | None = None) -> DataFrame:
+def _answers(
+    docs: DataFrame, tables: TagTables, factory: ClientFactory, config: JobConfig
+) -> DataFrame:
+    """Staged answers of this run; its folder goes with the state of the tag table, so that
+    a lost run finds its answers again and a later run asks anew."""
     requests = tag_requests(docs, config.prompt_template)
-    schema = answer_schema(requests, PAIR)
-    staged = StagedResults(tables.docs.spark, staging or tables.staging, schema)
+    folder = f"{tables.staging}/{tables.tags.version()}"
+    staged = StagedResults(tables.docs.spark, folder, answer_schema(requests, PAIR))
     return stage_once(
         requests, PAIR, staged,
-        lambda df: generate_answers(df, PAIR, factory, config.model_partitions),
+        lambda df, parts: generate_answers(df, PAIR, factory, parts), config,
     )
 
 
@@ -81,12 +84,8 @@ def _failure_keys(results: DataFrame) -> DataFrame:
     return retried.select(pair_key(F.col("user_id"), F.col("post_id")).alias("key"))
 
 
-def run(tables: TagTables, factory: ClientFactory, config: JobConfig, attempt: str = "1") -> DataFrame:
-    """Tag every post without tags, failed ones again, dead ones not. Returns reasons.
-
-    ``attempt`` names the staging folder of this run: an answer that failed the
-    gate is asked for anew in the next attempt.
-    """
+def run(tables: TagTables, factory: ClientFactory, config: JobConfig) -> DataFrame:
+    """Tag every post without tags, failed ones again, dead ones not. Returns reasons."""
     failures = tables.failures.read()
     docs = candidates.posts_with_keys(tables.docs.read(), config.location_id)
     todo = candidates.without_tags(docs, tables.tags.read(), dead_pairs(failures))
@@ -96,7 +95,7 @@ def run(tables: TagTables, factory: ClientFactory, config: JobConfig, attempt: s
     lanes = candidates.key_page(lanes, ["_id", *PAIR], None, config.cap)
     captions = candidates.latest_captions(tables.captions.read())
     work = candidates.attach_captions(lanes, captions)
-    answers = _answers(work, tables, factory, config, staging=f"{tables.staging}/{attempt}")
+    answers = _answers(work, tables, factory, config)
     results = tag_results(work, answers)
     tables.tags.replace(merge_tags(tables.tags.read(), results))
     counted = ledger.count_attempts(failures, _failure_keys(results), config.max_attempts)
@@ -105,12 +104,12 @@ def run(tables: TagTables, factory: ClientFactory, config: JobConfig, attempt: s
     return reason_histogram(results)
 
 
-def repair(tables: TagTables, factory: ClientFactory, config: JobConfig, attempt: str = "repair") -> DataFrame:
+def repair(tables: TagTables, factory: ClientFactory, config: JobConfig) -> DataFrame:
     """Ask again for every pair with a bad tag row and overwrite what passes the gate."""
     bad = candidates.bad_tag_pairs(tables.tags.read())
     captions = candidates.latest_captions(tables.captions.read())
     work = candidates.pairs_with_captions(bad, captions)
-    answers = _answers(work, tables, factory, config, staging=f"{tables.staging}/{attempt}")
+    answers = _answers(work, tables, factory, config)
     results = tag_results(work, answers)
     tables.tags.replace(merge_tags(tables.tags.read(), results))
     return results.agg(

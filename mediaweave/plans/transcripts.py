@@ -13,8 +13,13 @@ from ..functions.text import caption_class, clean_text, is_blank, stored_caption
 from ..operators import candidates, ledger
 from ..operators.merge import merge
 from ..operators.metrics import run_counts, transcript_status
+from ..schemas import CAPTIONS_RESPONSE
 from ..sources.clients import (
-    ClientFactory, captions_schema, fetch_captions, request_hash, stage_once,
+    ClientFactory,
+    best_answers,
+    fetch_captions,
+    request_hash,
+    stage_once,
 )
 from ..sources.payloads import with_object_url, write_payloads
 from ..sources.tables import StagedResults, VersionedTable
@@ -23,10 +28,6 @@ INDEX_COLUMNS = ["language_code", "s3_url", "error"]
 SINKS = ("object", "index", "source")
 
 
-class ServerErrors(RuntimeError):
-    """More responses of 500 and above than the job allows."""
-
-
 @dataclass
 class TranscriptTables:
     videos: VersionedTable
@@ -79,50 +80,61 @@ def merge_source(videos: DataFrame, rows: DataFrame) -> DataFrame:
     return merge(videos, rows, ["video_id"], ["srt_id", "srt_updated_at"], insert=False)
 
 
-def _set_status(tables: TranscriptTables, ids: DataFrame, sink: str, error: str | None) -> None:
-    state = ids.select(
-        "video_id",
-        F.lit(sink).alias("sink"),
-        F.lit("saved" if error is None else "pending").alias("status"),
-        F.lit(error).cast("string").alias("error"),
-    )
-    tables.sink_status.update(lambda old: merge(old, state, ["video_id", "sink"]))
+# -- sinks --------------------------------------------------------------------
+
+
+def queue(tables: TranscriptTables, payloads: DataFrame) -> None:
+    """Enter new payloads as pending for each sink; a payload already entered keeps its state."""
+    sinks = F.explode(F.array(*[F.lit(s) for s in SINKS])).alias("sink")
+    rows = payloads.select("video_id", "request_hash", sinks)
+    names = ["video_id", "sink", "request_hash"]
+
+    def enter(old: DataFrame) -> DataFrame:
+        new = rows.join(old.select(*names), names, "left_anti")
+        state = new.withColumns({"status": F.lit("pending"), "error": F.lit(None).cast("string")})
+        return merge(old, state, ["video_id", "sink"])
+
+    tables.sink_status.update(enter)
+
+
+def _in_state(tables: TranscriptTables, sink: str, saved: bool) -> DataFrame:
+    wanted = (F.col("sink") == sink) & ((F.col("status") == "saved") == F.lit(saved))
+    return tables.sink_status.read().filter(wanted).select("video_id", "request_hash")
 
 
 def flush(tables: TranscriptTables, payloads: DataFrame, config: JobConfig, now: Column) -> list[str]:
-    """Write new payloads to the object folder, then index and source independently.
+    """Write pending payloads to the object folder, then index and source independently.
 
-    Rows a sink could not take stay pending and are part of the next flush of
-    that sink.  Returns the errors.
+    Index and source take only payloads whose object was written.  What a sink
+    could not take stays pending for its next flush.  Returns the errors.
     """
     errors = []
+    request = ["video_id", "request_hash"]
 
-    def attempt(sink: str, rows: DataFrame, write) -> None:
+    def attempt(sink: str, write) -> None:
+        pending = _in_state(tables, sink, False)
+        if sink != "object":
+            pending = pending.join(_in_state(tables, "object", True), request, "left_semi")
+        error = None
         try:
-            write()
-            _set_status(tables, rows, sink, None)
+            write(payloads.join(pending, request, "left_semi"))
         except Exception as problem:
-            errors.append(f"{sink}: {problem}")
-            _set_status(tables, rows, sink, str(problem))
-
-    def rows_for(sink: str) -> DataFrame:
-        done = tables.sink_status.read().filter(
-            (F.col("sink") == sink) & (F.col("status") == "saved")
+            error = str(problem)
+            errors.append(f"{sink}: {error}")
+        state = pending.select(
+            *request,
+            F.lit(sink).alias("sink"),
+            F.lit("saved" if error is None else "pending").alias("status"),
+            F.lit(error).cast("string").alias("error"),
         )
-        return payloads.join(done.select("video_id"), "video_id", "left_anti")
-
-    to_store = rows_for("object")
-    attempt("object", to_store, lambda: write_payloads(to_store, tables.objects, config))
-    stored = tables.sink_status.read().filter("sink = 'object' AND status = 'saved'")
-    committed = stored.select("video_id")
+        tables.sink_status.update(lambda old: merge(old, state, ["video_id", "sink"]))
 
-    to_index = rows_for("index").join(committed, "video_id", "left_semi")
-    attempt("index", to_index, lambda: tables.index.replace(
-        merge_index(tables.index.read(), index_rows(to_index, config), now)
+    attempt("object", lambda rows: write_payloads(rows, tables.objects, config, now))
+    attempt("index", lambda rows: tables.index.replace(
+        merge_index(tables.index.read(), index_rows(rows, config), now)
     ))
-    to_source = rows_for("source").join(committed, "video_id", "left_semi")
-    attempt("source", to_source, lambda: tables.videos.replace(
-        merge_source(tables.videos.read(), source_rows(to_source, now))
+    attempt("source", lambda rows: tables.videos.replace(
+        merge_source(tables.videos.read(), source_rows(rows, now))
     ))
     return errors
 
@@ -130,8 +142,12 @@ def flush(tables: TranscriptTables, payloads: DataFrame, config: JobConfig, now:
 def run(
     tables: TranscriptTables, factory: ClientFactory, config: JobConfig, now: Column
 ) -> DataFrame:
-    """Fetch, stage and save the captions of all videos still without them. Returns run counters."""
-    spark = tables.videos.spark
+    """Fetch, stage and save the captions of all videos still without them. Returns run counters.
+
+    More server errors than ``config.server_error_limit`` stop the run before
+    anything is saved; what was fetched stays staged.
+    """
+    names = ["video_id", "request_hash"]
     videos = candidates.videos_with_id(tables.videos.read()).select("_id", "video_id")
     marked = candidates.videos_marked_done(
         videos.withColumn("video_id", clean_text(F.col("video_id"))),
@@ -139,54 +155,53 @@ def run(
     )
     if config.cap:
         marked = candidates.key_page(marked, ["_id"], None, config.cap)
-    todo = marked.filter(~F.col("done")).select("video_id").distinct()
-    requests = todo.withColumn("request_hash", request_hash(F.col("video_id")))
-    staged = StagedResults(spark, tables.staging, captions_schema(requests, ["video_id"]))
+    todo = marked.filter(~F.col("done") & (F.col("video_id") != "")).select("video_id").distinct()
+    # asking again for a video that has an answer needs a request of its own
+    again = str(tables.index.version()) if config.reprocess or config.redo_failed else ""
+    requests = todo.withColumn("request_hash", request_hash(F.concat("video_id", F.lit("|" + again))))
+    staged = StagedResults(tables.videos.spark, tables.staging, CAPTIONS_RESPONSE)
     answers = stage_once(
         requests, ["video_id"], staged,
-        lambda df: fetch_captions(df, ["video_id"], factory, config.model_partitions),
-        redo_errors=True,
+        lambda df, parts: fetch_captions(df, ["video_id"], factory, parts), config,
     )
     broken = answers.filter("status >= 500").limit(config.server_error_limit + 1).count()
     stopped = broken > config.server_error_limit
-    usable = answers.filter(F.col("error").isNull() & (F.col("status") < 500))
-    payloads = to_payload(usable, config)
-    errors = [] if stopped else flush(tables, payloads, config, now)
+    errors = []
+    if not stopped:
+        usable = F.col("error").isNull() & (F.col("status") < 500)
+        queue(tables, answers.filter(usable))
+        everything = best_answers(staged.read().filter(usable), names)
+        errors = flush(tables, to_payload(everything, config), config, now)
 
-    outcome = answers.select(
-        "video_id",
-        video_status(F.lit(False), F.col("error"), F.col("status")).alias("status"),
-        F.col("error").alias("_call_error"),
-        F.col("body"),
-        F.col("status").alias("_http"),
-    )
-    texts = with_captions(outcome.withColumn("status", F.col("_http"))).select(
-        "video_id", F.coalesce("_call_error", "error").alias("error")
+    attempts = _attempts(tables, marked, answers)
+    tables.failures.update(lambda old: ledger.record_failures(old, attempts, now))
+    pending = tables.sink_status.read().filter("status = 'pending'").limit(1).count()
+    failed = F.col("errors") + len(errors)
+    return run_counts(attempts, []).withColumns(
+        {"errors": failed, "status": transcript_status(F.lit(stopped), F.lit(pending), failed)}
     )
-    outcomes = outcome.select("video_id", "status").join(texts, "video_id")
-    skipped = marked.filter("done").select(
-        "video_id", F.lit("SKIPPED").alias("status"), F.lit("").alias("error")
+
+
+def _attempts(tables: TranscriptTables, marked: DataFrame, answers: DataFrame) -> DataFrame:
+    """One row per video of this run: status, error and what was saved."""
+    fetched = with_captions(answers.withColumnRenamed("error", "_call")).select(
+        "video_id",
+        "request_hash",
+        video_status(F.lit(False), F.col("_call"), F.col("status")).alias("status"),
+        F.coalesce("_call", "error").alias("error"),
     )
-    attempts = outcomes.unionByName(skipped)
-    tables.failures.update(lambda old: ledger.record_failures(old, attempts, now))
-    pending = tables.sink_status.read().filter("status = 'pending'")
-    saved = tables.sink_status.read().groupBy("video_id").agg(
+    saved = tables.sink_status.read().groupBy("video_id", "request_hash").agg(
         *[F.max((F.col("sink") == s) & (F.col("status") == "saved")).alias(s) for s in SINKS]
     )
-    flags = attempts.join(saved, "video_id", "left").select(
-        "status", "error",
-        *[
-            (F.coalesce(F.col(s), F.lit(False)) & (F.col("status") == "CHECKPOINTED")).alias(name)
-            for s, name in zip(SINKS, ("uploaded", "saved_index", "saved_source"))
-        ],
+    flags = [
+        F.coalesce(F.col(s), F.lit(False)).alias(name)
+        for s, name in zip(SINKS, ("uploaded", "saved_index", "saved_source"))
+    ]
+    done = fetched.join(saved, ["video_id", "request_hash"], "left").select(
+        "video_id", "status", "error", *flags
     )
-    counts = run_counts(flags, [])
-    left = pending.limit(1).count()
-    return counts.withColumns(
-        {
-            "errors": F.col("errors") + len(errors),
-            "status": transcript_status(
-                F.lit(stopped), F.lit(left), F.col("errors") + len(errors)
-            ),
-        }
+    nothing = [F.lit(False).alias(name) for name in ("uploaded", "saved_index", "saved_source")]
+    skipped = marked.filter("done").select(
+        "video_id", F.lit("SKIPPED").alias("status"), F.lit("").alias("error"), *nothing
     )
+    return done.unionByName(skipped)

@@ -39,7 +39,7 @@ def work_items(
     here = vectors.location_docs(docs, config.location_id, config.embed_dim)
     again = ledger.retryable_records(records)
     retry = vectors.retry_dispositions(again, texts, here, config.reprocess)
-    fresh_texts = texts.join(again.select(*PAIR), PAIR, "left_anti")
+    fresh_texts = texts.join(again.select(*PAIR).distinct(), PAIR, "left_anti")
     fresh = vectors.dispositions(fresh_texts, records, here, config.reprocess)
     return retry.unionByName(fresh)
 
@@ -92,7 +92,7 @@ def _save_records(tables: VectorTables, rows: DataFrame) -> None:
     tables.records.update(lambda old: merge(old, rows, PAIR, RECORD_COLUMNS))
 
 
-def run(tables: VectorTables, factory: ClientFactory, config: JobConfig, now: Column, attempt: str = "1") -> DataFrame:
+def run(tables: VectorTables, factory: ClientFactory, config: JobConfig, now: Column) -> DataFrame:
     """Embed and write every pair that needs it. Returns the number of records per status."""
     records = tables.records.read()
     items = work_items(tables.tags.read(), tables.docs.read(), records, config)
@@ -103,13 +103,16 @@ def run(tables: VectorTables, factory: ClientFactory, config: JobConfig, now: Co
         *PAIR, F.col("tag_text").alias("prompt"), request_hash(F.col("tag_text")).alias("request_hash")
     )
     staged = StagedResults(
-        tables.docs.spark, f"{tables.staging}/{attempt}", vector_schema(requests, PAIR)
+        tables.docs.spark,
+        f"{tables.staging}/{tables.records.version()}",
+        vector_schema(requests, PAIR),
     )
     answers = stage_once(
         requests, PAIR, staged,
-        lambda df: embed_texts(
-            df, PAIR, factory, config.model_partitions, config.request_size, config.embed_dim
+        lambda df, parts: embed_texts(
+            df, PAIR, factory, parts, config.request_size, config.embed_dim
         ),
+        config,
     )
     checked = vectors.check_answers(answers, config.embed_dim)
     embedded = records_after_embedding(queued, checked, now)

@@ -26,7 +26,7 @@ STATS = _table(publishedAt=S, publishedAt_ts=L, **{name: L for name in COUNTERS}
 VIDEO = _table(
     _id=S, channel_id=S, video_id=S, location_id=I, stats=STATS, srt_id=I, srt_updated_at=T
 )
-CAPTIONS_RESPONSE = _table(video_id=S, status=I, body=S, error=S, fetched_at=S)
+CAPTIONS_RESPONSE = _table(video_id=S, request_hash=S, status=I, body=S, error=S)
 TRANSCRIPT_PAYLOAD = _table(
     video_id=S, language_code=S, language_name=S, format=S, content=S, error=S
 )
@@ -71,7 +71,7 @@ EMBEDDING_RECORD = _table(
 )
 TAG_FAILURE = _table(key=S, attempts=I, state=S)
 FAILED_VIDEO = _table(video_id=S, error=S, updated_at=S)
-SINK_STATUS = _table(video_id=S, sink=S, status=S, error=S)
+SINK_STATUS = _table(video_id=S, sink=S, request_hash=S, status=S, error=S)
 RUN_COUNTERS = _table(
     run_id=S,
     stage=S,

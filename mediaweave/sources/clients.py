@@ -24,6 +24,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from ..config import JobConfig
 from .tables import StagedResults
 
 
@@ -176,30 +177,37 @@ def stage_once(
     requests: DataFrame,
     keys: list[str],
     staged: StagedResults,
-    call: Callable[[DataFrame], DataFrame],
-    redo_errors: bool = True,
-    waves: int = 1,
+    call: Callable[[DataFrame, int], DataFrame],
+    config: JobConfig,
 ) -> DataFrame:
     """Answers for ``requests`` (keys, request_hash, prompt); only missing ones are called.
 
-    Each wave is one commit, so a lost run repeats at most one wave of calls.
-    With ``redo_errors`` a request whose only answers are errors is called again.
+    A request whose only answers are errors is called again.  Partitions and
+    commits are sized by the number of open requests, so a lost task repeats a
+    bounded number of calls and a lost run at most one commit's worth.
     """
     names = [*keys, "request_hash"]
-    for wave in range(waves):
-        known = staged.read()
-        if redo_errors:
-            known = known.filter(F.col("error").isNull())
-        mine = requests
+
+    def missing() -> DataFrame:
+        known = staged.read().filter(F.col("error").isNull())
+        return requests.join(known.select(*names).distinct(), names, "left_anti")
+
+    count = missing().count()
+    waves = max(1, -(-count // config.requests_per_commit))
+    per_wave = -(-count // waves)
+    partitions = max(config.model_partitions, -(-per_wave // config.requests_per_task))
+    for wave in range(waves if count else 0):
+        todo = missing()
         if waves > 1:
-            mine = requests.filter(F.pmod(F.xxhash64(*keys), F.lit(waves)) == wave)
-        todo = mine.join(known.select(*names).distinct(), names, "left_anti")
-        staged.append(call(todo))
-    answered = staged.read()
-    rest = [c for c in answered.columns if c not in names]
-    # an answer without an error outranks any number of earlier errors
-    best = answered.groupBy(*names).agg(
-        F.max_by(F.struct(*rest), F.struct(F.col("error").isNull())).alias("_answer")
+            todo = todo.filter(F.pmod(F.xxhash64(*names), F.lit(waves)) == wave)
+        staged.append(call(todo, partitions))
+    return requests.select(*names).join(best_answers(staged.read(), names), names, "inner")
+
+
+def best_answers(answers: DataFrame, names: list[str]) -> DataFrame:
+    """One staged answer per request; one without an error outranks any error."""
+    rest = [c for c in answers.columns if c not in names]
+    best = answers.groupBy(*names).agg(
+        F.max_by(F.struct(*rest), F.struct(F.col("error").isNull(), F.col("error"))).alias("_answer")
     )
-    picked = best.select(*names, *[F.col(f"_answer.{c}").alias(c) for c in rest])
-    return requests.select(*names).join(picked, names, "inner")
+    return best.select(*names, *[F.col(f"_answer.{c}").alias(c) for c in rest])

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import JobConfig
 from ..functions.responses import is_object, strict_json, text_or_blank
+from ..operators.merge import last_wins
 from ..functions.text import clean_text, object_key, object_location, object_url
 
 PAYLOAD_FIELDS = ("video_id", "language_code", "language_name", "format", "content", "error")
@@ -25,17 +26,26 @@ def with_object_url(df: DataFrame, config: JobConfig) -> DataFrame:
     )
 
 
-def write_payloads(captions: DataFrame, path: str, config: JobConfig) -> None:
-    """Objects as JSON lines with their key, many per file."""
-    with_object_url(payload_rows(captions), config).drop("s3_url").write.mode("append").json(path)
+def write_payloads(captions: DataFrame, path: str, config: JobConfig, now: Column | None = None) -> None:
+    """Objects as JSON lines with their key and time, many per file."""
+    at = F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    rows = with_object_url(payload_rows(captions), config).drop("s3_url")
+    rows.withColumn("written_at", at).write.mode("append").json(path)
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Objects written by ``write_payloads``: one row per line with its key."""
+    """Objects written by ``write_payloads``: the newest of each key."""
     lines = spark.read.text(path).select(strict_json(F.col("value")).alias("_v"))
-    return _payload_columns(
-        lines.withColumn("s3_key", F.try_variant_get("_v", "$.s3_key", "string"))
+    objects = _payload_columns(
+        lines.withColumns(
+            {
+                "s3_key": F.try_variant_get("_v", "$.s3_key", "string"),
+                "written_at": F.try_variant_get("_v", "$.written_at", "string"),
+            }
+        ),
+        "written_at",
     )
+    return last_wins(objects, ["s3_key"], ["written_at", *READ_FIELDS], drop_seq=False).drop("written_at")
 
 
 def read_object_files(spark: SparkSession, path: str) -> DataFrame:
@@ -47,12 +57,12 @@ def read_object_files(spark: SparkSession, path: str) -> DataFrame:
     return _payload_columns(files)
 
 
-def _payload_columns(df: DataFrame) -> DataFrame:
+def _payload_columns(df: DataFrame, *others: str) -> DataFrame:
     def field(name: str):
         value = text_or_blank(F.try_variant_get(F.col("_v"), f"$.{name}", "variant"))
         return F.when(is_object(F.col("_v")), value).otherwise("")
 
-    return df.select("s3_key", *[field(c).alias(c) for c in READ_FIELDS])
+    return df.select("s3_key", *others, *[field(c).alias(c) for c in READ_FIELDS])
 
 
 def locate_objects(index: DataFrame, config: JobConfig) -> DataFrame:
