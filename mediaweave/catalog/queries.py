@@ -136,9 +136,8 @@ def documents_merged(t: Given) -> DataFrame:
     config = JobConfig(
         location_id=LOCATION, start_date=START, end_date=END, excluded_channels=EXCLUDED
     )
-    _, documents = posts_job.documents_to_save(
-        inputs.locations(t), inputs.bios(t), inputs.posts(t), config
-    )
+    channels = posts_job.channels_to_process(inputs.locations(t), inputs.bios(t), config)
+    documents = posts_job.documents_to_save(channels, inputs.posts(t), config)
     old = last_wins(_old_videos(t), ["video_id"], ["publishedAt"]).drop("publishedAt")
     merged = posts_job.merge_documents(old, documents)
     return merged.select("video_id", "channel_id", "location_id", "srt_id", *FLAT)

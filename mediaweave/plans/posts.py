@@ -5,31 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import JobConfig
+from ..config import JobConfig, scratch_path
 from ..operators import candidates, ledger
 from ..operators.merge import last_wins, merge
 from ..operators.metrics import channel_progress
-from ..sources.tables import VersionedTable
+from ..sources.tables import VersionedTable, written
 
 SET_COLUMNS = ["channel_id", "location_id", "stats"]
 
 
-def documents_to_save(
-    locations: DataFrame, bios: DataFrame, posts: DataFrame, config: JobConfig,
-    finished: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Channels to process and the documents of their posts (copies included)."""
+def channels_to_process(
+    locations: DataFrame, bios: DataFrame, config: JobConfig, finished: DataFrame | None = None
+) -> DataFrame:
     channels = candidates.eligible_channels(
         locations, bios, config.location_id, config.excluded_channels
     )
-    if finished is not None and not config.reprocess:
-        key = ledger.run_key(config.location_id, config.start_date, config.end_date)
-        channels = ledger.unfinished_channels(channels, finished, key)
+    if finished is None or config.reprocess:
+        return channels
+    key = ledger.run_key(config.location_id, config.start_date, config.end_date)
+    return ledger.unfinished_channels(channels, finished, key)
+
+
+def documents_to_save(channels: DataFrame, posts: DataFrame, config: JobConfig) -> DataFrame:
+    """Documents of the channels' posts, copies included."""
     found = candidates.posts_in_range(
         posts, channels, config.start_date, config.end_date, config.excluded_channels
     )
-    capped = candidates.capped_posts(found, config.cap)
-    return channels, candidates.post_documents(capped, config.location_id)
+    return candidates.post_documents(candidates.capped_posts(found, config.cap), config.location_id)
 
 
 def one_per_video(documents: DataFrame) -> DataFrame:
@@ -48,10 +50,12 @@ def run(
 ) -> DataFrame:
     """Save the posts; without a cap the channels are recorded as finished. Returns progress."""
     done_before = finished.read()
-    channels, documents = documents_to_save(locations, bios, posts, config, done_before)
-    progress = channel_progress(
-        channels, documents.select("channel_id")
+    channels = written(
+        channels_to_process(locations, bios, config, done_before),
+        scratch_path(videos.spark, "channels"),
     )
+    documents = documents_to_save(channels, posts, config)
+    progress = channel_progress(channels, documents.select("channel_id"))
     videos.replace(merge_documents(videos.read(), documents))
     if config.cap == 0:
         key = ledger.run_key(config.location_id, config.start_date, config.end_date)

@@ -17,7 +17,7 @@ from ..sources.clients import (
     ClientFactory, answer_schema, generate_answers, request_hash, stage_once,
 )
 from ..sources.payloads import attach_transcripts
-from ..sources.tables import StagedResults, VersionedTable
+from ..sources.tables import StagedResults, VersionedTable, written
 
 KEY = ["video_id"]
 ANALYSIS = [
@@ -71,16 +71,17 @@ def run(
     )
     todo = candidates.key_page(todo, ["id"], None, config.cap)
     trimmed = todo.withColumn("video_id", clean_text(F.col("video_id")))
-    transcripts = attach_transcripts(trimmed, objects, config)
-    requests = summary_requests(transcripts, config.prompt_template)
     # a run that was lost finds its answers again, a later run asks anew
     folder = f"{tables.staging}/{tables.summaries.version()}"
+    found = attach_transcripts(trimmed, objects, config).select(*KEY, "content")
+    transcripts = written(found, f"{tables.staging}-work")
+    requests = summary_requests(transcripts, config.prompt_template)
     staged = StagedResults(spark, folder, answer_schema(requests, KEY))
     answers = stage_once(
         requests, KEY, staged,
         lambda df, parts: generate_answers(df, KEY, factory, parts), config,
     )
-    results = summary_results(transcripts, answers)
+    results = written(summary_results(transcripts, answers), f"{tables.staging}-results")
     rows = rows_to_save(results)
     tables.summaries.replace(merge_summaries(tables.summaries.read(), rows, now))
     tables.failures.update(

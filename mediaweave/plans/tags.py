@@ -17,7 +17,7 @@ from ..operators.metrics import reason_histogram
 from ..sources.clients import (
     ClientFactory, answer_schema, generate_answers, request_hash, stage_once,
 )
-from ..sources.tables import StagedResults, VersionedTable
+from ..sources.tables import StagedResults, VersionedTable, written
 
 TAG_COLUMNS = [
     "topic_tags", "is_sponsorship", "brand_name", "associated_brand", "associated_mention",
@@ -65,18 +65,24 @@ def failed_pairs(failures: DataFrame) -> DataFrame:
     return pairs.filter((F.col("user_id") != "") & (F.col("post_id") != ""))
 
 
-def _answers(
-    docs: DataFrame, tables: TagTables, factory: ClientFactory, config: JobConfig
+def _ask(
+    work: DataFrame, tables: TagTables, factory: ClientFactory, config: JobConfig
 ) -> DataFrame:
-    """Staged answers of this run; its folder goes with the state of the tag table, so that
-    a lost run finds its answers again and a later run asks anew."""
-    requests = tag_requests(docs, config.prompt_template)
+    """Results for posts with captions; posts, answers and results are each written once.
+
+    The answers' folder goes with the state of the tag table, so that a lost run
+    finds its answers again and a later run asks anew.
+    """
+    work = written(work, f"{tables.staging}-work")
+    requests = tag_requests(work, config.prompt_template)
     folder = f"{tables.staging}/{tables.tags.version()}"
     staged = StagedResults(tables.docs.spark, folder, answer_schema(requests, PAIR))
-    return stage_once(
+    answers = stage_once(
         requests, PAIR, staged,
         lambda df, parts: generate_answers(df, PAIR, factory, parts), config,
     )
+    kept = [*PAIR, "ok", "reason", "skip_retry", "quota_fail", *TAG_COLUMNS]
+    return written(tag_results(work, answers).select(*kept), f"{tables.staging}-results")
 
 
 def _failure_keys(results: DataFrame) -> DataFrame:
@@ -95,8 +101,7 @@ def run(tables: TagTables, factory: ClientFactory, config: JobConfig) -> DataFra
     lanes = candidates.key_page(lanes, ["_id", *PAIR], None, config.cap)
     captions = candidates.latest_captions(tables.captions.read())
     work = candidates.attach_captions(lanes, captions)
-    answers = _answers(work, tables, factory, config)
-    results = tag_results(work, answers)
+    results = _ask(work, tables, factory, config)
     tables.tags.replace(merge_tags(tables.tags.read(), results))
     counted = ledger.count_attempts(failures, _failure_keys(results), config.max_attempts)
     fixed = results.filter("ok").select(pair_key(F.col("user_id"), F.col("post_id")).alias("key"))
@@ -109,8 +114,7 @@ def repair(tables: TagTables, factory: ClientFactory, config: JobConfig) -> Data
     bad = candidates.bad_tag_pairs(tables.tags.read())
     captions = candidates.latest_captions(tables.captions.read())
     work = candidates.pairs_with_captions(bad, captions)
-    answers = _answers(work, tables, factory, config)
-    results = tag_results(work, answers)
+    results = _ask(work, tables, factory, config)
     tables.tags.replace(merge_tags(tables.tags.read(), results))
     return results.agg(
         F.count_if("ok").alias("repaired_ok"), F.count_if(~F.col("ok")).alias("repaired_failed")

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..config import JobConfig
 from ..functions.responses import with_captions
@@ -22,7 +23,7 @@ from ..sources.clients import (
     stage_once,
 )
 from ..sources.payloads import with_object_url, write_payloads
-from ..sources.tables import StagedResults, VersionedTable
+from ..sources.tables import StagedResults, VersionedTable, read_or_empty, written
 
 INDEX_COLUMNS = ["language_code", "s3_url", "error"]
 SINKS = ("object", "index", "source")
@@ -83,23 +84,44 @@ def merge_source(videos: DataFrame, rows: DataFrame) -> DataFrame:
 # -- sinks --------------------------------------------------------------------
 
 
-def queue(tables: TranscriptTables, payloads: DataFrame) -> None:
-    """Enter new payloads as pending for each sink; a payload already entered keeps its state."""
+def queue(tables: TranscriptTables, answers: DataFrame, run: int) -> None:
+    """Enter the answers of a run as pending for each sink.
+
+    Rows of this run keep their state (a lost run goes on where it stopped);
+    of earlier runs only what is still pending stays in the ledger.
+    """
     sinks = F.explode(F.array(*[F.lit(s) for s in SINKS])).alias("sink")
-    rows = payloads.select("video_id", "request_hash", sinks)
-    names = ["video_id", "sink", "request_hash"]
+    rows = answers.select("video_id", sinks, F.lit(run).alias("run"))
+    names = ["video_id", "sink", "run"]
 
     def enter(old: DataFrame) -> DataFrame:
-        new = rows.join(old.select(*names), names, "left_anti")
+        open_rows = old.filter((F.col("status") == "pending") | (F.col("run") == run))
+        new = rows.join(open_rows.select(*names), names, "left_anti")
         state = new.withColumns({"status": F.lit("pending"), "error": F.lit(None).cast("string")})
-        return merge(old, state, ["video_id", "sink"])
+        return merge(open_rows, state, ["video_id", "sink"])
 
     tables.sink_status.update(enter)
 
 
-def _in_state(tables: TranscriptTables, sink: str, saved: bool) -> DataFrame:
-    wanted = (F.col("sink") == sink) & ((F.col("status") == "saved") == F.lit(saved))
-    return tables.sink_status.read().filter(wanted).select("video_id", "request_hash")
+def _in_state(tables: TranscriptTables, sink: str, status: str) -> DataFrame:
+    wanted = (F.col("sink") == sink) & (F.col("status") == status)
+    return tables.sink_status.read().filter(wanted).select("video_id", "run")
+
+
+def pending_payloads(tables: TranscriptTables, config: JobConfig) -> DataFrame:
+    """Payloads some sink still waits for, from the staged answers of their runs only."""
+    spark = tables.videos.spark
+    pending = tables.sink_status.read().filter("status = 'pending'").select("video_id", "run")
+    runs = [r.run for r in pending.select("run").distinct().collect()]
+    with_run = StructType([*CAPTIONS_RESPONSE, StructField("run", IntegerType())])
+    staged = read_or_empty(spark, tables.staging, with_run).filter(F.col("run").isin(runs))
+    asked = staged.filter(_usable()).join(pending.distinct(), ["video_id", "run"], "left_semi")
+    answers = best_answers(asked, ["video_id", "run"])
+    return written(to_payload(answers, config), f"{tables.staging}-payloads")
+
+
+def _usable() -> Column:
+    return F.col("error").isNull() & (F.col("status") < 500)
 
 
 def flush(tables: TranscriptTables, payloads: DataFrame, config: JobConfig, now: Column) -> list[str]:
@@ -109,12 +131,15 @@ def flush(tables: TranscriptTables, payloads: DataFrame, config: JobConfig, now:
     could not take stays pending for its next flush.  Returns the errors.
     """
     errors = []
-    request = ["video_id", "request_hash"]
+    request = ["video_id", "run"]
 
     def attempt(sink: str, write) -> None:
-        pending = _in_state(tables, sink, False)
+        pending = _in_state(tables, sink, "pending")
         if sink != "object":
-            pending = pending.join(_in_state(tables, "object", True), request, "left_semi")
+            unwritten = _in_state(tables, "object", "pending")
+            pending = pending.join(unwritten, request, "left_anti")
+        if not pending.limit(1).count():
+            return
         error = None
         try:
             write(payloads.join(pending, request, "left_semi"))
@@ -147,7 +172,8 @@ def run(
     More server errors than ``config.server_error_limit`` stop the run before
     anything is saved; what was fetched stays staged.
     """
-    names = ["video_id", "request_hash"]
+    # the index changes with every finished run: a lost run comes back to its own folder
+    number = tables.index.version()
     videos = candidates.videos_with_id(tables.videos.read()).select("_id", "video_id")
     marked = candidates.videos_marked_done(
         videos.withColumn("video_id", clean_text(F.col("video_id"))),
@@ -155,11 +181,10 @@ def run(
     )
     if config.cap:
         marked = candidates.key_page(marked, ["_id"], None, config.cap)
+    marked = written(marked, f"{tables.staging}-work")
     todo = marked.filter(~F.col("done") & (F.col("video_id") != "")).select("video_id").distinct()
-    # asking again for a video that has an answer needs a request of its own
-    again = str(tables.index.version()) if config.reprocess or config.redo_failed else ""
-    requests = todo.withColumn("request_hash", request_hash(F.concat("video_id", F.lit("|" + again))))
-    staged = StagedResults(tables.videos.spark, tables.staging, CAPTIONS_RESPONSE)
+    requests = todo.withColumn("request_hash", request_hash(F.col("video_id")))
+    staged = StagedResults(tables.videos.spark, f"{tables.staging}/run={number}", CAPTIONS_RESPONSE)
     answers = stage_once(
         requests, ["video_id"], staged,
         lambda df, parts: fetch_captions(df, ["video_id"], factory, parts), config,
@@ -168,12 +193,10 @@ def run(
     stopped = broken > config.server_error_limit
     errors = []
     if not stopped:
-        usable = F.col("error").isNull() & (F.col("status") < 500)
-        queue(tables, answers.filter(usable))
-        everything = best_answers(staged.read().filter(usable), names)
-        errors = flush(tables, to_payload(everything, config), config, now)
+        queue(tables, answers.filter(_usable()), number)
+        errors = flush(tables, pending_payloads(tables, config), config, now)
 
-    attempts = _attempts(tables, marked, answers)
+    attempts = written(_attempts(tables, marked, answers, number), f"{tables.staging}-attempts")
     tables.failures.update(lambda old: ledger.record_failures(old, attempts, now))
     pending = tables.sink_status.read().filter("status = 'pending'").limit(1).count()
     failed = F.col("errors") + len(errors)
@@ -182,22 +205,23 @@ def run(
     )
 
 
-def _attempts(tables: TranscriptTables, marked: DataFrame, answers: DataFrame) -> DataFrame:
+def _attempts(
+    tables: TranscriptTables, marked: DataFrame, answers: DataFrame, run: int
+) -> DataFrame:
     """One row per video of this run: status, error and what was saved."""
     fetched = with_captions(answers.withColumnRenamed("error", "_call")).select(
         "video_id",
-        "request_hash",
         video_status(F.lit(False), F.col("_call"), F.col("status")).alias("status"),
         F.coalesce("_call", "error").alias("error"),
     )
-    saved = tables.sink_status.read().groupBy("video_id", "request_hash").agg(
+    saved = tables.sink_status.read().filter(F.col("run") == run).groupBy("video_id").agg(
         *[F.max((F.col("sink") == s) & (F.col("status") == "saved")).alias(s) for s in SINKS]
     )
     flags = [
         F.coalesce(F.col(s), F.lit(False)).alias(name)
         for s, name in zip(SINKS, ("uploaded", "saved_index", "saved_source"))
     ]
-    done = fetched.join(saved, ["video_id", "request_hash"], "left").select(
+    done = fetched.join(saved, "video_id", "left").select(
         "video_id", "status", "error", *flags
     )
     nothing = [F.lit(False).alias(name) for name in ("uploaded", "saved_index", "saved_source")]

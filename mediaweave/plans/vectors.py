@@ -15,7 +15,7 @@ from ..operators.metrics import status_counts
 from ..sources.clients import (
     ClientFactory, embed_texts, request_hash, stage_once, vector_schema,
 )
-from ..sources.tables import StagedResults, VersionedTable
+from ..sources.tables import StagedResults, VersionedTable, written
 
 RECORD_COLUMNS = [
     "mongo_id", "status", "embed_retry_count", "mongo_write_retry_count", "last_error",
@@ -88,14 +88,11 @@ def merge_vectors(docs: DataFrame, records: DataFrame) -> DataFrame:
     return merge(docs, newest, ["_id"], ["embedding"], insert=False)
 
 
-def _save_records(tables: VectorTables, rows: DataFrame) -> None:
-    tables.records.update(lambda old: merge(old, rows, PAIR, RECORD_COLUMNS))
-
-
 def run(tables: VectorTables, factory: ClientFactory, config: JobConfig, now: Column) -> DataFrame:
     """Embed and write every pair that needs it. Returns the number of records per status."""
     records = tables.records.read()
-    items = work_items(tables.tags.read(), tables.docs.read(), records, config)
+    found = work_items(tables.tags.read(), tables.docs.read(), records, config)
+    items = written(found, f"{tables.staging}-work")
     todo = items.filter("disposition = 'needs_embedding'")
     todo = candidates.key_page(todo, PAIR, None, config.cap)
     queued = vectors.queued_records(todo, records).filter("action <> 'skip'")
@@ -123,15 +120,19 @@ def run(tables: VectorTables, factory: ClientFactory, config: JobConfig, now: Co
         F.col("tag_text").alias("text"), "embedding", now.alias("updated_at"),
     )
     # the ledger holds the vectors before any document is touched
-    _save_records(tables, embedded.unionByName(already))
+    rows = embedded.unionByName(already)
+    tables.records.update(lambda old: merge(old, rows, PAIR, RECORD_COLUMNS))
     return drain(tables, config, now)
 
 
 def drain(tables: VectorTables, config: JobConfig, now: Column) -> DataFrame:
     """Write every vector the ledger still holds for a document; leftovers stay in the ledger."""
     held = tables.records.read().filter(F.col("status").isin(*ledger.WRITE_STATUSES))
-    written = records_after_write(held, tables.docs.read(), now)
-    tables.docs.replace(merge_vectors(tables.docs.read(), written))
-    _save_records(tables, written)
-    tables.records.update(lambda old: ledger.prune_inserted(old, config.keep_inserted))
+    judged = records_after_write(held, tables.docs.read(), now)
+    tables.docs.replace(merge_vectors(tables.docs.read(), judged))
+    tables.records.update(
+        lambda old: ledger.prune_inserted(
+            merge(old, judged, PAIR, RECORD_COLUMNS), config.keep_inserted
+        )
+    )
     return status_counts(tables.records.read())

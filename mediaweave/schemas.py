@@ -71,7 +71,7 @@ EMBEDDING_RECORD = _table(
 )
 TAG_FAILURE = _table(key=S, attempts=I, state=S)
 FAILED_VIDEO = _table(video_id=S, error=S, updated_at=S)
-SINK_STATUS = _table(video_id=S, sink=S, request_hash=S, status=S, error=S)
+SINK_STATUS = _table(video_id=S, sink=S, run=I, status=S, error=S)
 RUN_COUNTERS = _table(
     run_id=S,
     stage=S,

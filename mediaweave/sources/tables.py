@@ -65,6 +65,13 @@ def write_connector(df: DataFrame, sink: str, options: dict[str, str]) -> None:
     df.write.format(sink).mode("append").options(**options).save()
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back: later steps start from the files instead of
+    computing it again.  A rerun replaces what a lost run left there."""
+    df.write.mode("overwrite").parquet(path)
+    return read_parquet(df.sparkSession, path, df.schema)
+
+
 class VersionedTable:
     """A keyed table whose every state is a folder of its own.
 
