@@ -361,7 +361,8 @@ def _summary_answers(t: Given) -> DataFrame:
     )
     body = F.concat(F.lit('{"is_sponsorship": '), flag, F.lit(", "), F.substring(lists, F.lit(2), F.length(lists)))
     fenced = F.concat(F.lit("```json\n"), body, F.lit("\n```"))
-    return t.documents.select("doc_id", F.when(F.col("doc_id") % 10 == 9, "no json").otherwise(fenced).alias("raw"))
+    raw = F.when(F.col("doc_id") % 10 == 9, "no json").otherwise(fenced)
+    return t.documents.select("doc_id", "text", raw.alias("raw"))
 
 
 def _distinct_sql(parts: str, name: str) -> str:
@@ -383,8 +384,7 @@ SELECT d.doc_id, CASE WHEN d.doc_id % 10 = 9 THEN '' ELSE lang END AS video_titl
 FROM documents d LEFT JOIN b ON b.doc_id = d.doc_id LEFT JOIN g ON g.doc_id = d.doc_id""")
 def analysis_normalised(t: Given) -> DataFrame:
     parsed = responses.with_object(_summary_answers(t), "raw", "data")
-    shown = responses.with_analysis(parsed, "data").join(t.documents.select("doc_id", "text"), "doc_id")
-    return shown.select(
+    return responses.with_analysis(parsed, "data").select(
         "doc_id", "video_title", F.md5("summary").alias("summary_md5"),
         F.size("brand_mentioned").cast("bigint").alias("n_brands"),
         F.md5(F.array_join("brand_mentioned", "|")).alias("brands_md5"),

@@ -80,12 +80,14 @@ def tune(spark: SparkSession) -> SparkSession:
     """Set the runtime SQL options the operators depend on.
 
     Timestamps are UTC.  AQE splits a hot join partition; the force flag keeps
-    that split even where it costs one more shuffle further up the plan.
+    that split even where it costs one more shuffle further up the plan.  A
+    top-N of the size left to windows is cut down before its shuffle.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10000")
     return spark
 
 

@@ -27,6 +27,15 @@ def keyed_union(old: DataFrame, new: DataFrame, keys: list[str], seq: list[str])
     return last_wins(both, keys, ["_new", *seq]).drop("_new")
 
 
+def _spread(df: DataFrame, keys: list[str]) -> Column:
+    """0, or a hash of the row where a key is NULL."""
+    keyless = F.col(keys[0]).isNull()
+    for key in keys[1:]:
+        keyless = keyless | F.col(key).isNull()
+    spread = F.when(keyless, F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("bigint"))
+    return spread.alias("_spread")
+
+
 def merge(
     target: DataFrame,
     updates: DataFrame,
@@ -50,13 +59,9 @@ def merge(
         *keys,
         *[F.col(c).alias(f"_new_{c}") for c in changed],
         F.lit(True).alias("_updated"),
-        F.lit(0).cast("bigint").alias("_spread"),
+        _spread(updates, keys),
     )
-    keyless = F.lit(False)
-    for key in keys:
-        keyless = keyless | F.col(key).isNull()
-    spread = F.when(keyless, F.xxhash64(*columns)).otherwise(F.lit(0).cast("bigint"))
-    old = target.withColumns({"_existing": F.lit(True), "_spread": spread})
+    old = target.select("*", F.lit(True).alias("_existing"), _spread(target, keys))
     joined = old.join(new, [*keys, "_spread"], "full_outer" if insert else "left_outer")
     updated = F.col("_updated").isNotNull()
     matched = updated & F.col("_existing").isNotNull()

@@ -20,6 +20,18 @@ def _partition_offsets(placed: DataFrame, total: Column) -> DataFrame:
     return sums.select("_part", F.coalesce(before, F.lit(0)).alias("_offset"))
 
 
+def _best(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
+    """A superset of the first ``limit`` rows: the first of each of a few buckets.
+
+    Every task sends at most ``limit`` rows to its bucket and every bucket passes
+    on at most ``limit``, so the last step does not depend on the number of tasks.
+    """
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.withColumn("_bucket", F.spark_partition_id() % buckets)
+    rank = F.row_number().over(W.partitionBy("_bucket").orderBy(*order))
+    return placed.withColumn("_rank", rank).filter(F.col("_rank") <= limit).select(df.columns)
+
+
 def _placed(df: DataFrame, order: list[Column]) -> DataFrame:
     """Rows range-partitioned and sorted, their place fixed by a checkpoint.
 
@@ -49,7 +61,7 @@ def first_rows(
     """
     most = limit if isinstance(limit, int) else bound
     if most is not None and most <= SMALL_LIMIT:
-        top = df.orderBy(*order).limit(most)
+        top = _best(df, order, most).orderBy(*order).limit(most)
         if isinstance(limit, int):
             return top
         numbered = top.withColumn("_pos", F.row_number().over(W.orderBy(*order)))
@@ -86,7 +98,7 @@ def first_rows_by_group(
     sizes = df.groupBy(group).agg(F.count("*").alias("_size"))
     if limit <= small:
         # every group has a row, so no group beyond the first `limit` can take part
-        near = sizes.orderBy(group).limit(limit)
+        near = _best(sizes, [F.col(group)], limit).orderBy(group).limit(limit)
         before = F.sum("_size").over(W.orderBy(group).rowsBetween(W.unboundedPreceding, -1))
         totals = near.withColumn("_before", F.coalesce(before, F.lit(0)))
     else:
@@ -96,7 +108,8 @@ def first_rows_by_group(
         F.least(F.col("_size"), F.lit(limit) - F.col("_before")).alias("_quota"),
         (F.col("_size") + F.col("_before") > limit).alias("_cut"),
     )
-    taken = df.join(quota, group)
+    # up to `limit` groups hold a quota: few enough to broadcast on the small path
+    taken = df.join(F.broadcast(quota) if limit <= small else quota, group)
     whole = taken.filter(~F.col("_cut"))
     cut = first_rows(
         taken.filter("_cut"), order, F.col("_quota"), limit if limit <= small else None

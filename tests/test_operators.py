@@ -102,6 +102,24 @@ def test_merge_twice_is_merge_once(spark):
     assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, twice.collect()), key=str)
 
 
+def test_rows_without_a_key_are_spread(spark):
+    updates = spark.createDataFrame([("a", "7"), ("c", "9")], "k string, v string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for insert in (True, False):
+            plan = merge(_target(spark), updates, ["k"], insert=insert)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("hashpartitioning(k") == 2 and plan.count("_spread#") and ", _spread#" in plan.split("hashpartitioning(k")[1][:30]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_small_limit_is_cut_before_the_shuffle(posts):
+    top = first_rows(posts[1], [F.col("publishedAt"), F.col("n")], 5)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert [r.n for r in top.collect()] == [r[3] for r in sorted(posts[0], key=lambda r: (r[2], r[3]))[:5]]
+
+
 def test_update_only_never_inserts(spark):
     updates = spark.createDataFrame([("a", "7"), ("c", "9")], "k string, v string")
     got = merge(_target(spark), updates, ["k"], insert=False)
