@@ -81,7 +81,7 @@ def _ask(
         requests, PAIR, staged,
         lambda df, parts: generate_answers(df, PAIR, factory, parts), config,
     )
-    kept = [*PAIR, "ok", "reason", "skip_retry", "quota_fail", *TAG_COLUMNS]
+    kept = ["_id", *PAIR, "ok", "reason", "skip_retry", "quota_fail", *TAG_COLUMNS]
     return written(tag_results(work, answers).select(*kept), f"{tables.staging}-results")
 
 
@@ -91,22 +91,44 @@ def _failure_keys(results: DataFrame) -> DataFrame:
 
 
 def run(tables: TagTables, factory: ClientFactory, config: JobConfig) -> DataFrame:
-    """Tag every post without tags, failed ones again, dead ones not. Returns reasons."""
+    """Tag every post without tags, failed ones again, dead ones not. Returns reasons.
+
+    A cap counts tagged posts: as long as some are left to tag, further posts
+    behind the last ones are taken.
+    """
+    reasons: dict[str, int] = {}
+    last, left = None, config.cap
+    while True:
+        results, last = _pass(tables, factory, config, last, left)
+        for row in reason_histogram(results).collect():
+            reasons[row["reason"]] = reasons.get(row["reason"], 0) + row["n"]
+        left = config.cap - reasons.get("ok", 0)
+        if config.cap == 0 or last is None or left <= 0:
+            break
+    rows = sorted(reasons.items())
+    return tables.docs.spark.createDataFrame(rows, "reason STRING, n BIGINT")
+
+
+def _pass(
+    tables: TagTables, factory: ClientFactory, config: JobConfig, last: list | None, size: int
+) -> tuple[DataFrame, list | None]:
+    """Tag the next ``size`` posts behind ``last`` (0: all); gives the results and the last key."""
     failures = tables.failures.read()
     docs = candidates.posts_with_keys(tables.docs.read(), config.location_id)
     todo = candidates.without_tags(docs, tables.tags.read(), dead_pairs(failures))
     retry = failed_pairs(failures).withColumn("_id", F.lit(""))
     retry = candidates.without_tags(retry, tables.tags.read()).select("_id", *PAIR)
     lanes = ledger.retry_and_fresh(retry, todo, PAIR).drop("lane")
-    lanes = candidates.key_page(lanes, ["_id", *PAIR], None, config.cap)
+    order = ["_id", *PAIR]
+    lanes = candidates.key_page(lanes, order, last, size)
     captions = candidates.latest_captions(tables.captions.read())
-    work = candidates.attach_captions(lanes, captions)
-    results = _ask(work, tables, factory, config)
+    results = _ask(candidates.attach_captions(lanes, captions), tables, factory, config)
     tables.tags.replace(merge_tags(tables.tags.read(), results))
     counted = ledger.count_attempts(failures, _failure_keys(results), config.max_attempts)
     fixed = results.filter("ok").select(pair_key(F.col("user_id"), F.col("post_id")).alias("key"))
     tables.failures.replace(ledger.clear_finished(counted, fixed, ["key"]))
-    return reason_histogram(results)
+    top = ledger.high_water(results, order).first()
+    return results, None if top["_id"] is None else list(top)
 
 
 def repair(tables: TagTables, factory: ClientFactory, config: JobConfig) -> DataFrame:

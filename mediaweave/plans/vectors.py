@@ -89,12 +89,34 @@ def merge_vectors(docs: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def run(tables: VectorTables, factory: ClientFactory, config: JobConfig, now: Column) -> DataFrame:
-    """Embed and write every pair that needs it. Returns the number of records per status."""
+    """Embed and write every pair that needs it. Returns the number of records per status.
+
+    A cap counts written vectors: as long as some are left to write, further
+    pairs behind the last ones are taken.
+    """
+    last, left = None, config.cap
+    while True:
+        tried, last = _embed_page(tables, factory, config, now, last, left)
+        if config.cap == 0 or last is None:
+            break
+        outcome = vectors.write_outcome(tried, tables.docs.read())
+        left -= outcome.filter("status = 'embedded' AND write_status = 'inserted'").count()
+        if left <= 0:
+            break
+    return drain(tables, config, now)
+
+
+def _embed_page(
+    tables: VectorTables, factory: ClientFactory, config: JobConfig, now: Column,
+    last: list | None, size: int,
+) -> tuple[DataFrame, list | None]:
+    """Embed the next ``size`` pairs behind ``last`` (0: all) and enter them in the ledger;
+    gives their records and the last pair."""
     records = tables.records.read()
     found = work_items(tables.tags.read(), tables.docs.read(), records, config)
     items = written(found, f"{tables.staging}-work")
     todo = items.filter("disposition = 'needs_embedding'")
-    todo = candidates.key_page(todo, PAIR, None, config.cap)
+    todo = candidates.key_page(todo, PAIR, last, size)
     queued = vectors.queued_records(todo, records).filter("action <> 'skip'")
     requests = queued.filter("action = 'embed'").select(
         *PAIR, F.col("tag_text").alias("prompt"), request_hash(F.col("tag_text")).alias("request_hash")
@@ -122,7 +144,10 @@ def run(tables: VectorTables, factory: ClientFactory, config: JobConfig, now: Co
     # the ledger holds the vectors before any document is touched
     rows = embedded.unionByName(already)
     tables.records.update(lambda old: merge(old, rows, PAIR, RECORD_COLUMNS))
-    return drain(tables, config, now)
+    pairs = todo.select(*PAIR)
+    tried = tables.records.read().join(pairs, PAIR, "left_semi")
+    top = ledger.high_water(pairs, PAIR).first()
+    return tried, None if top["user_id"] is None else list(top)
 
 
 def drain(tables: VectorTables, config: JobConfig, now: Column) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mediaweave import schemas
 from mediaweave.config import JobConfig, checked_identifier, scratch_path
-from mediaweave.plans import posts, summaries, tags, transcripts, vectors
+from mediaweave.plans import posts, runs, summaries, tags, transcripts, vectors
 from mediaweave.sources import payloads
 from mediaweave.sources.offline import OfflineClient
 from mediaweave.sources.tables import VersionedTable, read_or_empty
@@ -124,6 +124,10 @@ def transcript_tables(spark, ids):
     )
 
 
+def transcripts_counts(row, spark):
+    return spark.createDataFrame([row])
+
+
 def test_transcripts_and_rerun(spark, tmp_path):
     calls = str(tmp_path / "calls")
     tables = transcript_tables(spark, ["d0", "d1", "d2", "d3", "bad", None])
@@ -136,6 +140,12 @@ def test_transcripts_and_rerun(spark, tmp_path):
     assert srt == {"d0": 1, "d1": 2, "d2": 3, "d3": 3, "bad": None, None: None}
     failed = {r.video_id for r in tables.failures.read().collect()}
     assert failed == {"d3", "bad"}
+    kept = table(spark, scratch_path(spark, "k"), "runs", schemas.RUN_COUNTERS)
+    for _ in range(2):
+        runs.record_run(kept, transcripts_counts(counts, spark), "transcripts", "run 1")
+    runs.record_run(kept, transcripts_counts(counts, spark), "transcripts", "run 2")
+    total = runs.cumulative(kept).first()
+    assert (total.cumulative_processed, total.cumulative_errors) == (10, 4)
     # only the failed call is made again
     again = transcripts.run(tables, failing_client((), calls), CONFIG, now()).first()
     assert (again.skipped, again.fetched) == (4, 1)
@@ -246,6 +256,16 @@ def test_tags_retry_until_dead(spark):
     assert [r.post_id for r in tables.tags.read().collect()] == ["ok"]
 
 
+def test_cap_counts_tagged_posts(spark):
+    captions = {f"p{i}": TEN if i % 2 else "too short" for i in range(8)}
+    tables = tag_tables(spark, captions)
+    capped = JobConfig(model_partitions=2, max_rows=3, max_total=2)
+    got = {r.reason: r.n for r in tags.run(tables, OfflineClient, capped).collect()}
+    assert got["ok"] == 2 and sorted(r.post_id for r in tables.tags.read().collect()) == ["p1", "p3"]
+    tags.run(tables, OfflineClient, JobConfig(model_partitions=2, max_rows=100))
+    assert tables.tags.read().count() == 4
+
+
 def test_failure_is_cleared_by_success(spark):
     tables = tag_tables(spark, {"p": "bad " + TEN})
     tags.run(tables, failing_client(("bad",)), CONFIG)
@@ -305,6 +325,15 @@ def test_vectors_and_retry(spark):
     assert all(len(d.embedding) == 8 and d.embedding[0] == len(f"tag {d.post_id}, x") for d in docs)
 
 
+def test_cap_counts_written_vectors(spark):
+    tables = vector_tables(spark, 6)
+    capped = JobConfig(model_partitions=2, embed_dim=8, request_size=1, max_rows=3)
+    got = {r.status: r.n for r in vectors.run(tables, failing_client(("tag 1",)), capped, F.lit(1)).collect()}
+    assert got == {"inserted": 3, "failed_embed": 1}
+    filled = tables.docs.read().filter("embedding IS NOT NULL")
+    assert sorted(r.post_id for r in filled.collect()) == ["0", "2", "3"]
+
+
 def test_wrong_dimension_is_an_error(spark):
     tables = vector_tables(spark, 3)
     got = {r.status: r.n for r in vectors.run(tables, lambda: OfflineClient(dim=5), CONFIG, F.lit(1)).collect()}
