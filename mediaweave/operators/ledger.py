@@ -61,6 +61,16 @@ def record_failures(ledger: DataFrame, outcomes: DataFrame, now: Column) -> Data
     return keyed_union(kept, bad, ["video_id"], ["updated_at", "error"])
 
 
+def capped_work(todo: DataFrame, failures: DataFrame, order: str, cap: int) -> DataFrame:
+    """The next ``cap`` open videos (0: all); those that failed before come last, so that
+    a capped run always gets on."""
+    if cap <= 0:
+        return todo
+    failed = failures.select("video_id").distinct().withColumn("_failed", F.lit(1))
+    marked = todo.join(failed, "video_id", "left").withColumn("_failed", F.coalesce("_failed", F.lit(0)))
+    return first_rows(marked, [F.col("_failed").asc(), F.col(order).asc()], cap).drop("_failed")
+
+
 # -- positions ----------------------------------------------------------------
 
 

@@ -69,7 +69,7 @@ def run(
     todo = candidates.transcripts_to_summarise(
         tables.index.read(), tables.summaries.read(), config.reprocess
     )
-    todo = candidates.key_page(todo, ["id"], None, config.cap)
+    todo = ledger.capped_work(todo, tables.failures.read(), "id", config.cap)
     trimmed = todo.withColumn("video_id", clean_text(F.col("video_id")))
     # a run that was lost finds its answers again, a later run asks anew
     folder = f"{tables.staging}/{tables.summaries.version()}"

@@ -180,7 +180,10 @@ def run(
         tables.index.read(), config.reprocess, config.redo_failed,
     )
     if config.cap:
-        marked = candidates.key_page(marked, ["_id"], None, config.cap)
+        still_open = ledger.capped_work(
+            marked.filter(~F.col("done")), tables.failures.read(), "_id", config.cap
+        )
+        marked = marked.filter("done").unionByName(still_open)
     marked = written(marked, f"{tables.staging}-work")
     todo = marked.filter(~F.col("done") & (F.col("video_id") != "")).select("video_id").distinct()
     requests = todo.withColumn("request_hash", request_hash(F.col("video_id")))

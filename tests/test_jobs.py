@@ -179,6 +179,14 @@ def test_source_sink_pending_although_indexed(spark, monkeypatch):
     assert tables.videos.read().first().srt_id == 1
 
 
+def test_capped_runs_get_on(spark):
+    tables = transcript_tables(spark, ["bad", "d0", "d1", "d2"])
+    capped = JobConfig(model_partitions=2, max_rows=1)
+    for _ in range(3):
+        transcripts.run(tables, failing_client(("bad",)), capped, now())
+    assert sorted(r.video_id for r in tables.index.read().collect()) == ["d0", "d1"]
+
+
 def test_server_errors_stop_the_run(spark):
     def make():
         class Client(OfflineClient):
