@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, secret_scan
+from . import minhash, mixing, secret_scan
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return minhash.near_duplicates(table(spark, folder, "documents")).drop("node")
+
+
 MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, md5('mix' || coalesce(doc_id::VARCHAR, '')) AS key,

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import minhash, secret_scan
 from . import mixing as mixing_operator
-from . import secret_scan
 from .common import prepare
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    prepare(spark)
+    return minhash.one_of_each(docs)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Every document, its secrets replaced by a mark."""
     prepare(spark)
