@@ -133,3 +133,19 @@ def portions(texts: list[str], limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         held += len(text)
     if start < len(texts):
         yield start, len(texts)
+
+
+def text_slices(texts: list[str], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, str]]:
+    """(text number, part): texts whole, very long ones cut at ASCII white space.
+
+    The parts hold about ``limit`` characters; a longer run without white space stays whole.
+    """
+    for i, text in enumerate(texts):
+        start = 0
+        while len(text) - start > limit:
+            cut = start + limit
+            while cut < len(text) and text[cut] not in " \t\n\x0b\x0c\r":
+                cut += 1
+            yield i, text[start:cut]
+            start = cut
+        yield i, text[start:]

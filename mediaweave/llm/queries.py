@@ -6,9 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, secret_scan
+from . import minhash, mixing, packing, secret_scan
 from .common import table
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -29,6 +38,12 @@ def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents")).drop("node")
 
 
+@query()
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens."""
+    return packing.packed(table(spark, folder, "documents"), tokenizer_path())
+
+
 MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, md5('mix' || coalesce(doc_id::VARCHAR, '')) AS key,
