@@ -6,17 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, packing, secret_scan
+from . import minhash, mixing, packing, quality, secret_scan
 from .common import table
-
-TOKENIZER = "word_bpe_49k.json"
-
-
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
+from .token_ids import tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +30,12 @@ def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents")).drop("node")
 
 
+@query()
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality score of every document."""
+    return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query()
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""

@@ -6,7 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import minhash, secret_scan
 from . import mixing as mixing_operator
-from .common import prepare
+from . import packing as packing_operator
+from . import quality as quality_operator
+from .common import prepare, table
+from .token_ids import tokenizer_path
+
+
+def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The documents that the classifier, fitted on the labels of these documents, accepts."""
+    return quality_operator.good_documents(docs, table(spark, folder, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -25,3 +33,9 @@ def mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents as the mix takes them: left out, once or twice."""
     prepare(spark)
     return mixing_operator.mixed_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    prepare(spark)
+    return packing_operator.packed(docs, tokenizer_path())

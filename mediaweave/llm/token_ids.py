@@ -22,6 +22,16 @@ _SIMPLE = re.compile(r"[!-~]+")
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """The place of an installed public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 class TokenIds:
     """Ids by a tokenizer that lower-cases, drops white space and splits by the pattern above."""
 
