@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, packing, quality, secret_scan
+from . import minhash, mixing, packing, quality, secret_scan, warc
 from .common import table
 from .token_ids import tokenizer_path
 
@@ -89,3 +89,22 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """The secrets of every document."""
     return secret_scan.digests(table(spark, folder, "documents"))
+
+
+WARC_SQL = """
+WITH rows AS (
+  SELECT page_id, coalesce(html, '') AS body, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+hashed AS (SELECT *, sha1(body) AS h FROM rows)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::INTEGER >> (15 - 5 * (i % 4))) & 31) + 1, 1) FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM hashed
+"""
+
+
+@query(WARC_SQL)
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages archived and read back."""
+    return warc.round_trip(table(spark, folder, "pages"))
