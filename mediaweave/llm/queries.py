@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, packing, quality, secret_scan, warc
+from . import minhash, mixing, packing, quality, secret_scan, spotsigs, topk, warc, wordpiece
 from .common import table
 from .token_ids import tokenizer_path
 
@@ -30,6 +30,26 @@ def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents")).drop("node")
 
 
+TOP_K_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query(TOP_K_SQL)
+def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best vectors for every hundredth vector."""
+    vectors = table(spark, folder, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 @query()
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     """The quality score of every document."""
@@ -91,6 +111,18 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(table(spark, folder, "documents"))
 
 
+@query()
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The word pieces of every document, counted."""
+    return wordpiece.token_counts(table(spark, folder, "documents"))
+
+
+@query()
+def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """The fingerprints of every document and of its edited text."""
+    return spotsigs.fingerprints(table(spark, folder, "documents"))
+
+
 WARC_SQL = """
 WITH rows AS (
   SELECT page_id, coalesce(html, '') AS body, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
