@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, packing, quality, secret_scan, spotsigs, topk, warc, wordpiece
+from . import minhash, mixing, packing, quality, secret_scan, spotsigs, topk, urlfilter, warc, wordpiece
 from .common import table
 from .token_ids import tokenizer_path
 
@@ -123,6 +123,12 @@ def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return spotsigs.fingerprints(table(spark, folder, "documents"))
 
 
+@query()
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on every page's url."""
+    return urlfilter.filtered(table(spark, folder, "pages"))
+
+
 WARC_SQL = """
 WITH rows AS (
   SELECT page_id, coalesce(html, '') AS body, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
