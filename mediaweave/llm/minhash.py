@@ -28,8 +28,8 @@ from .components import components
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
-#: Rows of a block when an open bucket is compared in blocks.
-BLOCK = 2048
+#: Rows and bytes of text of a chunk when an open bucket is compared in blocks of two chunks.
+BLOCK_ROWS, BLOCK_TEXT = 1024, 4 << 20
 #: Node ids that may be broadcast: 16 bytes each, 8 MB; beyond it the join is shuffled.
 BROADCAST_NODES = 500_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -115,7 +115,7 @@ def bag_signatures(n: int, doc: np.ndarray, key: np.ndarray, weight: np.ndarray,
     return out
 
 
-_SIGNED = "doc_id long, node binary, bands array<long>, signature binary"
+_SIGNED = "doc_id long, node binary, bands array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,15 +132,13 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in range(ROWS):
                 bands = mixed(bands * _ODD[1] + rows[:, :, r])
             some = ~np.isinf(times[:, 0])
-            short = (marks >> np.uint64(32)).astype(np.uint32)
             yield pa.record_batch(
                 [
                     ids.slice(a, b - a),
                     pa.array([node_id(t) for t in part], pa.binary()),
                     pa.array([x if ok else None for x, ok in zip(bands.view(np.int64), some)], pa.list_(pa.int64())),
-                    pa.array([x.tobytes() if ok else None for x, ok in zip(short, some)], pa.binary()),
                 ],
-                names=["doc_id", "node", "bands", "signature"],
+                names=["doc_id", "node", "bands"],
             )
 
 
@@ -177,24 +175,56 @@ def _linked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(_verify, "a binary, b binary, similarity double").where(F.col("similarity") >= similarity).select("a", "b")
 
 
-def _close(keys, members):
-    """Pairs of a block whose signatures agree often enough; one row of the block at a time."""
-    import pandas as pd
+def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, token): the n-th occurrence of a shingle is a token of its own.
 
-    size = BANDS * ROWS
-    enough = int(size * (SIMILARITY - 4.5 * (SIMILARITY * (1 - SIMILARITY) / size) ** 0.5))
-    i, j = keys[1], keys[2]
-    left = members[members["chunk"] == i]
-    right = members[members["chunk"] == j] if i != j else left
-    matrix = np.stack([np.frombuffer(s, dtype=np.uint32) for s in right["signature"]]) if len(right) else None
-    names, roots = right["node"].to_numpy(), right["root"].to_numpy()
-    found = []
-    for node, root, signature in zip(left["node"], left["root"], left["signature"]) if len(right) else ():
-        agree = np.count_nonzero(matrix == np.frombuffer(signature, dtype=np.uint32), axis=1)
-        for k in np.flatnonzero(agree >= enough):
-            if roots[k] != root:
-                found.append((max(node, names[k]), min(node, names[k])))
-    return pd.DataFrame(found, columns=["a", "b"]).drop_duplicates()
+    The overlap of two multisets is then that of two sets.
+    """
+    doc, key, weight = shingle_bags(texts)
+    nth = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+    return np.repeat(doc, weight), mixed(np.repeat(key, weight) + nth.astype(np.uint64) * _ODD[4])
+
+
+def _close(similarity: float):
+    """Links between the components of a block: at most one less than the block has components."""
+
+    def run(keys, members):
+        import pandas as pd
+
+        members = members.sort_values("node")
+        parent: dict[bytes, bytes] = {r: r for r in members["root"]}
+        found: list[tuple[bytes, bytes]] = []
+
+        def top(r: bytes) -> bytes:
+            while parent[r] != r:
+                parent[r] = r = parent[parent[r]]
+            return r
+
+        chunk, nodes, roots = members["chunk"].to_numpy(), members["node"].tolist(), members["root"].tolist()
+        left, right = np.flatnonzero(chunk == keys[1]), np.flatnonzero(chunk == keys[2])
+        if len(parent) > 1 and len(left) and len(right):
+            doc, token = _tokens(members["text"].tolist())
+            count = np.bincount(doc, minlength=len(nodes))
+            first = np.concatenate([[0], np.cumsum(count)])
+            known, code = np.unique(token, return_inverse=True)
+            inside = np.isin(doc, right)
+            order = np.argsort(code[inside], kind="stable")
+            posted = doc[inside][order]
+            begin = np.searchsorted(code[inside][order], np.arange(len(known) + 1))
+            for x in left:
+                mine = code[first[x] : first[x + 1]]
+                sizes = begin[mine + 1] - begin[mine]
+                at = np.repeat(begin[mine] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+                both = np.bincount(posted[at], minlength=len(nodes))
+                alike = both >= similarity * (count[x] + count - both)
+                for y in np.flatnonzero(alike & (both > 0)):
+                    a, b = top(roots[x]), top(roots[y])
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+                        found.append((nodes[x], nodes[y]))
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return run
 
 
 def _labelled(nodes: DataFrame, roots: DataFrame, node: str, root: str) -> DataFrame:
@@ -227,22 +257,23 @@ def _classes(docs: DataFrame, similarity: float) -> DataFrame:
     links = stored(links.unionByName(_linked(second, texts, similarity)), "verified")
     roots = stored(components(links), "roots")
 
-    # Buckets that still hold several components: their rows meet in blocks, by signature.
-    members = _labelled(shared.select("bucket", "node", "n"), roots, "node", "root")
-    split = members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high and low is not null")
-    members = members.join(split.select("bucket"), "bucket")
-    signatures = signed.where("signature is not null").groupBy("node").agg(F.max("signature").alias("signature"))
-    members = members.join(signatures, "node")
-    chunks = F.ceil(F.col("n") / BLOCK).cast("int")
+    # Buckets that still hold several components: their rows meet in blocks, where only links
+    # that join two components are sent on.  Buckets of the same rows are compared once.
+    sizes = texts.select("node", F.octet_length("text").alias("bytes"))
+    members = _labelled(shared.select("bucket", "node"), roots, "node", "root").join(sizes, "node")
+    split = members.groupBy("bucket").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"),
+        F.bit_xor(F.xxhash64("node")).alias("mark"), F.bit_xor(F.xxhash64(F.lit(1), F.col("node"))).alias("other"),
+    ).where("low <> high")
+    split = split.groupBy("n", "mark", "other").agg(F.min("bucket").alias("bucket"), F.max("bytes").alias("total"))
+    members = stored(members.join(split.select("bucket", "n", "total"), "bucket"), "open")
+    chunks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("total") / BLOCK_TEXT)).cast("int")
     members = members.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), chunks - 1))
-    blocks = members.withColumn("other", other).select(
-        "bucket", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "root", "signature"
+    blocks = members.join(texts, "node").withColumn("with", F.explode(F.sequence(F.lit(0), chunks - 1))).select(
+        "bucket", F.least("chunk", "with").alias("i"), F.greatest("chunk", "with").alias("j"), "chunk", "node", "root", "text"
     )
-    third = blocks.groupBy("bucket", "i", "j").applyInPandas(_close, "a binary, b binary").distinct()
-    tried = first.unionByName(second).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    third = stored(third.join(tried, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(_linked(third, texts, similarity))
+    third = blocks.groupBy("bucket", "i", "j").applyInPandas(_close(similarity), "a binary, b binary")
+    links = links.unionByName(third)
     roots = stored(components(links), "roots")
 
     rows = _labelled(signed.select("doc_id", "node"), roots, "node", "root")
