@@ -19,6 +19,8 @@ MAGIC = "WARC/1.1\r\n"
 BLANK = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
+#: Repeated digests that may be broadcast: about 60 bytes each, 12 MB.
+BROADCAST_DIGESTS = 200_000
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -51,7 +53,10 @@ def write_archive(pages: DataFrame, path: str, least_bytes: int = 0, date: str =
     )
     same = rows.where(F.col("bytes") >= least_bytes).groupBy("digest", "bytes")
     same = same.agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    rows = rows.join(same, ["digest", "bytes"], "left")
+    same = stored(same, "repeated")
+    # Payloads stay where they were read if the repeated digests are few; else they are shuffled.
+    few = same.count() <= BROADCAST_DIGESTS
+    rows = rows.join(F.broadcast(same) if few else same, ["digest", "bytes"], "left")
     revisits = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
     http = F.concat(
