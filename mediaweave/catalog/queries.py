@@ -16,6 +16,7 @@ from ..plans import posts as posts_job
 from ..plans import transcripts as transcripts_job
 from ..schemas import COUNTERS, VIDEO
 from ..sources import payloads
+from ..sources.clients import best_answers
 from . import inputs
 from .inputs import (
     CAPTIONS_SQL,
@@ -308,6 +309,60 @@ def s3_location(t: Given) -> DataFrame:
     )
 
 
+@query("""SELECT doc_id::VARCHAR AS video_id,
+  CASE WHEN doc_id % 5 = 1 THEN 'OBJECT_NOT_FOUND' WHEN doc_id % 5 = 2 THEN 'OBJECT_NOT_FOUND'
+       WHEN doc_id % 5 = 3 THEN 'INVALID_OBJECT' WHEN doc_id % 5 = 4 OR trim(text, """ + SPACE_SQL + """) = '' THEN 'NO_TRANSCRIPT'
+       ELSE 'NO_RESPONSE' END AS error,
+  CASE WHEN doc_id % 5 = 0 THEN md5(trim(text, """ + SPACE_SQL + """)) WHEN doc_id % 5 = 4 THEN md5('') END AS content_md5
+FROM documents""")
+def object_outcomes(t: Given) -> DataFrame:
+    """Objects that are there, missing, in another bucket, no JSON object, or blank."""
+    kind = F.col("doc_id") % 5
+    key = F.concat(F.lit("transcript/"), F.col("doc_id").cast("string"), F.lit(".json"))
+    body = F.when(kind == 3, F.to_json(F.array(F.col("text")))).otherwise(
+        F.to_json(F.struct(F.when(kind == 4, " ").otherwise(F.col("text")).alias("content")))
+    )
+    stored = t.documents.filter(kind != 1).select(
+        F.when(kind == 2, "elsewhere").otherwise("transcripts").alias("bucket"),
+        key.alias("s3_key"), F.lit("2025").alias("written_at"), body.alias("body"),
+    )
+    index = t.documents.select(
+        F.col("doc_id").cast("string").alias("video_id"), F.concat(F.lit("s3://transcripts/"), key).alias("s3_url")
+    )
+    wanted = payloads.wanted_objects(stored, index, JobConfig())
+    found = payloads.attach_transcripts(index, payloads.newest_objects(wanted), JobConfig())
+    nothing = F.lit(None).cast("string")
+    error = responses.summary_outcome(F.col("content"), nothing, nothing, nothing, F.col("object_error"))
+    return found.select("video_id", error.alias("error"), F.md5("content").alias("content_md5"))
+
+
+@query("""SELECT doc_id::VARCHAR AS video_id, doc_id % 4 IN (1, 2) AS asked_again,
+  CASE WHEN doc_id % 4 = 1 THEN 503 ELSE 200 END::INTEGER AS status, CASE WHEN doc_id % 4 <> 1 THEN md5(text) END AS body_md5
+FROM documents""")
+def server_error_retry(t: Given) -> DataFrame:
+    """Staged answers of two runs: a 503 or a failed call is asked again, a usable answer outranks both.
+
+    Every fourth video gets a 503 twice, every fourth one first a failed call, then an answer.
+    """
+    from ..plans.transcripts import usable_answer
+
+    kind = F.col("doc_id") % 4
+    video = F.col("doc_id").cast("string").alias("video_id")
+    text_or_none = lambda good: F.when(good, F.col("text")).alias("body")
+    first = t.documents.select(
+        video, F.when(kind == 1, 503).when(kind == 2, 0).otherwise(200).alias("status"),
+        text_or_none(~kind.isin(1, 2)), F.when(kind == 2, "timeout").alias("error"),
+    )
+    again = first.filter(~F.coalesce(usable_answer(), F.lit(False))).select("video_id", F.lit(True).alias("_again"))
+    second = t.documents.filter(kind.isin(1, 2)).select(
+        video, F.when(kind == 1, 503).otherwise(200).alias("status"), text_or_none(kind == 2), F.lit(None).cast("string").alias("error"),
+    )
+    best = best_answers(first.unionByName(second), ["video_id"], usable_answer())
+    return best.join(again, "video_id", "left").select(
+        "video_id", F.coalesce("_again", F.lit(False)).alias("asked_again"), "status", F.md5("body").alias("body_md5")
+    )
+
+
 @query(f"""SELECT doc_id, {CONTENT_SQL.replace("''", "NULL")} IS NOT NULL AND doc_id % 7 <> 6 AS readable,
   md5(coalesce({CONTENT_SQL}, '')) AS content_md5
 FROM documents WHERE doc_id % 7 NOT IN (5, 6)""")
@@ -414,9 +469,8 @@ def summary_outcome(t: Given) -> DataFrame:
         F.when(bad, "503 unavailable").alias("error"),
     )
     results = job.summary_results(transcripts, answers)
-    saved = job.rows_to_save(results).select("video_id", F.lit(True).alias("_saved"))
-    return results.join(saved, "video_id", "left").select(
-        "video_id", "error", F.coalesce("_saved", F.lit(False)).alias("saved")
+    return results.select(
+        "video_id", "error", job.is_saved().alias("saved")
     )
 
 

@@ -64,7 +64,7 @@ class JobConfig:
     embed_dim: int = 1536
     request_size: int = 100
     max_attempts: int = 3
-    keep_inserted: int = 200
+    keep_inserted: int = -1
     model_partitions: int = 64
     requests_per_task: int = 10_000
     requests_per_commit: int = 10_000_000

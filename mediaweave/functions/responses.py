@@ -289,10 +289,14 @@ def json_items_text(items: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(items, lambda x: F.to_json(x)), ", "), F.lit("]"))
 
 
-def summary_outcome(content: Column, raw: Column, data: Column, error: Column) -> Column:
-    """Outcome of one video: blank transcripts are saved without a model call."""
+def summary_outcome(
+    content: Column, raw: Column, data: Column, error: Column, object_error: Column | None = None
+) -> Column:
+    """Outcome of one video: only an object that was read and is blank has no transcript."""
+    unread = F.lit(None).cast("string") if object_error is None else object_error
     return (
-        F.when(clean_text(content) == "", "NO_TRANSCRIPT")
+        F.when(unread.isNotNull(), unread)
+        .when(clean_text(content) == "", "NO_TRANSCRIPT")
         .when(error.isNotNull(), error)
         .when(raw.isNull(), "NO_RESPONSE")
         .when(data.isNull(), "INVALID_JSON")

@@ -44,17 +44,23 @@ def summary_requests(transcripts: DataFrame, template: str) -> DataFrame:
 
 def summary_results(transcripts: DataFrame, answers: DataFrame) -> DataFrame:
     """One row per transcript: its analysis and its outcome in ``error``."""
-    joined = transcripts.select(*KEY, "content").join(
+    if "object_error" not in transcripts.columns:
+        transcripts = transcripts.withColumn("object_error", F.lit(None).cast("string"))
+    joined = transcripts.select(*KEY, "content", "object_error").join(
         answers.select(*KEY, "raw", F.col("error").alias("_call")), KEY, "left"
     )
     parsed = with_analysis(with_object(joined, "raw", "_data"), "_data")
-    error = summary_outcome(F.col("content"), F.col("raw"), F.col("_data"), F.col("_call"))
+    error = summary_outcome(F.col("content"), F.col("raw"), F.col("_data"), F.col("_call"), F.col("object_error"))
     return parsed.withColumn("error", error).select(*KEY, *ANALYSIS, "error")
 
 
+def is_saved() -> Column:
+    """A failed call or an object that could not be read writes no row; a blank transcript does."""
+    return F.col("error").isin("", "NO_TRANSCRIPT")
+
+
 def rows_to_save(results: DataFrame) -> DataFrame:
-    """A failed model call writes no row; a blank transcript does."""
-    return results.filter(F.col("error").isin("", "NO_TRANSCRIPT"))
+    return results.filter(is_saved())
 
 
 def merge_summaries(summaries: DataFrame, rows: DataFrame, now: Column) -> DataFrame:
@@ -73,7 +79,7 @@ def run(
     trimmed = todo.withColumn("video_id", clean_text(F.col("video_id")))
     # a run that was lost finds its answers again, a later run asks anew
     folder = f"{tables.staging}/{tables.summaries.version()}"
-    found = attach_transcripts(trimmed, objects, config).select(*KEY, "content")
+    found = attach_transcripts(trimmed, objects, config).select(*KEY, "content", "object_error")
     transcripts = written(found, f"{tables.staging}-work")
     requests = summary_requests(transcripts, config.prompt_template)
     staged = StagedResults(spark, folder, answer_schema(requests, KEY))
@@ -87,7 +93,7 @@ def run(
     tables.failures.update(
         lambda old: ledger.record_failures(old, results.select("video_id", "error"), now)
     )
-    saved = F.col("error").isin("", "NO_TRANSCRIPT")
+    saved = is_saved()
     attempts = results.select(
         F.when(saved, "CHECKPOINTED").otherwise("STOPPED").alias("status"),
         "error",

@@ -112,15 +112,14 @@ def pending_payloads(tables: TranscriptTables, config: JobConfig) -> DataFrame:
     """Payloads some sink still waits for, from the staged answers of their runs only."""
     spark = tables.videos.spark
     pending = tables.sink_status.read().filter("status = 'pending'").select("video_id", "run")
-    runs = [r.run for r in pending.select("run").distinct().collect()]
     with_run = StructType([*CAPTIONS_RESPONSE, StructField("run", IntegerType())])
-    staged = read_or_empty(spark, tables.staging, with_run).filter(F.col("run").isin(runs))
-    asked = staged.filter(_usable()).join(pending.distinct(), ["video_id", "run"], "left_semi")
+    staged = read_or_empty(spark, tables.staging, with_run)
+    asked = staged.filter(usable_answer()).join(pending.distinct(), ["video_id", "run"], "left_semi")
     answers = best_answers(asked, ["video_id", "run"])
     return written(to_payload(answers, config), f"{tables.staging}-payloads")
 
 
-def _usable() -> Column:
+def usable_answer() -> Column:
     return F.col("error").isNull() & (F.col("status") < 500)
 
 
@@ -190,13 +189,14 @@ def run(
     staged = StagedResults(tables.videos.spark, f"{tables.staging}/run={number}", CAPTIONS_RESPONSE)
     answers = stage_once(
         requests, ["video_id"], staged,
-        lambda df, parts: fetch_captions(df, ["video_id"], factory, parts), config,
+        lambda df, parts: fetch_captions(df, ["video_id"], factory, parts), config, usable_answer(),
     )
+    answers = written(answers, f"{tables.staging}-answers")
     broken = answers.filter("status >= 500").limit(config.server_error_limit + 1).count()
     stopped = broken > config.server_error_limit
     errors = []
     if not stopped:
-        queue(tables, answers.filter(_usable()), number)
+        queue(tables, answers.filter(usable_answer()), number)
         errors = flush(tables, pending_payloads(tables, config), config, now)
 
     attempts = written(_attempts(tables, marked, answers, number), f"{tables.staging}-attempts")

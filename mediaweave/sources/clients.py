@@ -179,17 +179,19 @@ def stage_once(
     staged: StagedResults,
     call: Callable[[DataFrame, int], DataFrame],
     config: JobConfig,
+    usable: Column | None = None,
 ) -> DataFrame:
     """Answers for ``requests`` (keys, request_hash, prompt); only missing ones are called.
 
-    A request whose only answers are errors is called again.  Partitions and
+    A request without a ``usable`` answer (one without an error) is called again.  Partitions and
     commits are sized by the number of open requests, so a lost task repeats a
     bounded number of calls and a lost run at most one commit's worth.
     """
     names = [*keys, "request_hash"]
+    good = F.col("error").isNull() if usable is None else usable
 
     def missing() -> DataFrame:
-        known = staged.read().filter(F.col("error").isNull())
+        known = staged.read().filter(good)
         return requests.join(known.select(*names).distinct(), names, "left_anti")
 
     count = missing().count()
@@ -201,13 +203,13 @@ def stage_once(
         if waves > 1:
             todo = todo.filter(F.pmod(F.xxhash64(*names), F.lit(waves)) == wave)
         staged.append(call(todo, partitions))
-    return requests.select(*names).join(best_answers(staged.read(), names), names, "inner")
+    return requests.select(*names).join(best_answers(staged.read(), names, good), names, "inner")
 
 
-def best_answers(answers: DataFrame, names: list[str]) -> DataFrame:
-    """One staged answer per request; one without an error outranks any error."""
+def best_answers(answers: DataFrame, names: list[str], usable: Column | None = None) -> DataFrame:
+    """One staged answer per request: a usable one, else one without an error, else any."""
     rest = [c for c in answers.columns if c not in names]
-    best = answers.groupBy(*names).agg(
-        F.max_by(F.struct(*rest), F.struct(F.col("error").isNull(), F.col("error"))).alias("_answer")
-    )
+    clean = F.col("error").isNull()
+    rank = F.struct(F.coalesce(clean if usable is None else usable, F.lit(False)), clean, F.col("error"))
+    best = answers.groupBy(*names).agg(F.max_by(F.struct(*rest), rank).alias("_answer"))
     return best.select(*names, *[F.col(f"_answer.{c}").alias(c) for c in rest])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from ..operators.merge import last_wins
 from ..functions.text import clean_text, object_key, object_location, object_url
 
 PAYLOAD_FIELDS = ("video_id", "language_code", "language_name", "format", "content", "error")
+OBJECT_KEY = ["bucket", "s3_key"]
+STORED_OBJECT = "bucket string, s3_key string, written_at string, body string"
 READ_FIELDS = ("content", "language_code", "language_name", "format")
 
 
@@ -27,42 +31,57 @@ def with_object_url(df: DataFrame, config: JobConfig) -> DataFrame:
 
 
 def write_payloads(captions: DataFrame, path: str, config: JobConfig, now: Column | None = None) -> None:
-    """Objects as JSON lines with their key and time, many per file."""
+    """Objects as rows (bucket, s3_key, written_at, body), many per file; the body is JSON text."""
     at = F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    rows = with_object_url(payload_rows(captions), config).drop("s3_url")
-    rows.withColumn("written_at", at).write.mode("append").json(path)
+    rows = with_object_url(payload_rows(captions), config)
+    rows.select(
+        F.lit(config.bucket).alias("bucket"), "s3_key", at.alias("written_at"),
+        F.to_json(F.struct(*PAYLOAD_FIELDS)).alias("body"),
+    ).write.mode("append").parquet(path)
+
+
+def stored_objects(spark: SparkSession, path: str) -> DataFrame:
+    """Every object written by ``write_payloads``, unread."""
+    return spark.read.schema(STORED_OBJECT).parquet(path)
+
+
+def newest_objects(stored: DataFrame) -> DataFrame:
+    """The newest of each key, parsed."""
+    newest = last_wins(stored, OBJECT_KEY, ["written_at", "body"], drop_seq=False)
+    return _payload_columns(newest.select(*OBJECT_KEY, strict_json(F.col("body")).alias("_v")))
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Objects written by ``write_payloads``: the newest of each key."""
-    lines = spark.read.text(path).select(strict_json(F.col("value")).alias("_v"))
-    objects = _payload_columns(
-        lines.withColumns(
-            {
-                "s3_key": F.try_variant_get("_v", "$.s3_key", "string"),
-                "written_at": F.try_variant_get("_v", "$.written_at", "string"),
-            }
-        ),
-        "written_at",
+    return newest_objects(stored_objects(spark, path))
+
+
+def read_object_files(spark: SparkSession, path: str, bucket: str, prefix: str = "") -> DataFrame:
+    """Objects stored one per file below ``path``, keyed by ``prefix`` and their place below it.
+
+    A file that is not a JSON object is not ``readable`` and has blank fields.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    file = F.regexp_replace(F.url_decode(F.col("_metadata.file_path")), "^[a-z0-9]+:/*", "/")
+    root = re.sub("^[a-z0-9]+:/*", "/", path).rstrip("/") + "/"
+    below = F.substring_index(file, root, -1)
+    return _payload_columns(
+        files.select(
+            F.lit(bucket).alias("bucket"),
+            F.concat(F.lit(f"{prefix.strip('/')}/" if prefix.strip("/") else ""), below).alias("s3_key"),
+            strict_json(clean_text(F.col("value"))).alias("_v"),
+        )
     )
-    return last_wins(objects, ["s3_key"], ["written_at", *READ_FIELDS], drop_seq=False).drop("written_at")
 
 
-def read_object_files(spark: SparkSession, path: str) -> DataFrame:
-    """Objects stored one per file; a file that is not a JSON object has blank fields."""
-    files = spark.read.text(path, wholetext=True).select(
-        F.regexp_extract(F.col("_metadata.file_path"), "[^/]+$", 0).alias("s3_key"),
-        strict_json(clean_text(F.col("value"))).alias("_v"),
-    )
-    return _payload_columns(files)
-
+def _payload_columns(df: DataFrame) -> DataFrame:
+    readable = F.coalesce(is_object(F.col("_v")), F.lit(False))
 
-def _payload_columns(df: DataFrame, *others: str) -> DataFrame:
     def field(name: str):
         value = text_or_blank(F.try_variant_get(F.col("_v"), f"$.{name}", "variant"))
-        return F.when(is_object(F.col("_v")), value).otherwise("")
+        return F.when(readable, value).otherwise("")
 
-    return df.select("s3_key", *others, *[field(c).alias(c) for c in READ_FIELDS])
+    return df.select(*OBJECT_KEY, readable.alias("readable"), *[field(c).alias(c) for c in READ_FIELDS])
 
 
 def locate_objects(index: DataFrame, config: JobConfig) -> DataFrame:
@@ -73,7 +92,21 @@ def locate_objects(index: DataFrame, config: JobConfig) -> DataFrame:
     ).drop("_place")
 
 
+def wanted_objects(stored: DataFrame, index: DataFrame, config: JobConfig) -> DataFrame:
+    """The stored objects that index rows point to, so that no other is parsed."""
+    wanted = locate_objects(index, config).select(*OBJECT_KEY).distinct()
+    return stored.join(wanted, OBJECT_KEY, "left_semi")
+
+
 def attach_transcripts(index: DataFrame, objects: DataFrame, config: JobConfig) -> DataFrame:
-    """Index rows with their object's content; a missing object leaves NULL."""
+    """Index rows with their object's content and, where it cannot be used, why.
+
+    ``object_error`` is OBJECT_NOT_FOUND without an object in that bucket and
+    INVALID_OBJECT for one that is no JSON object; the content is then NULL.
+    """
     located = locate_objects(index, config)
-    return located.join(objects.select("s3_key", "content"), "s3_key", "left")
+    found = objects.select(*OBJECT_KEY, "readable", "content")
+    joined = located.join(found, OBJECT_KEY, "left")
+    error = F.when(F.col("readable").isNull(), "OBJECT_NOT_FOUND").when(~F.col("readable"), "INVALID_OBJECT")
+    content = F.when(F.col("readable"), F.col("content"))
+    return joined.withColumns({"object_error": error, "content": content}).drop("readable")

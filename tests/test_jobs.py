@@ -84,8 +84,18 @@ def test_object_files(spark, tmp_path):
     good = {"content": " c ", "language_code": "en"}
     (tmp_path / "a.json").write_text(json.dumps(good, indent=2))
     (tmp_path / "b.json").write_text("[1,\n 2]")
-    got = {r.s3_key: r.content for r in payloads.read_object_files(spark, str(tmp_path)).collect()}
-    assert got == {"a.json": "c", "b.json": ""}
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "v 1.json").write_text(json.dumps({"content": "d"}))
+    found = payloads.read_object_files(spark, str(tmp_path), "transcripts", "transcript").collect()
+    got = {r.s3_key: (r.bucket, r.readable, r.content) for r in found}
+    assert got == {
+        "transcript/a.json": ("transcripts", True, "c"), "transcript/b.json": ("transcripts", False, ""),
+        "transcript/deep/v 1.json": ("transcripts", True, "d"),
+    }
+    index = spark.createDataFrame([("a", "s3://transcripts/transcript/a.json"), ("x", "s3://other/transcript/a.json")], "video_id string, s3_url string")
+    objects = payloads.read_object_files(spark, str(tmp_path), "transcripts", "transcript")
+    rows = {r.video_id: (r.content, r.object_error) for r in payloads.attach_transcripts(index, objects, JobConfig()).collect()}
+    assert rows == {"a": ("c", None), "x": (None, "OBJECT_NOT_FOUND")}
 
 
 # -- stage A ------------------------------------------------------------------
@@ -165,7 +175,7 @@ def test_failed_sink_is_caught_up(spark, monkeypatch):
     transcripts.run(tables, OfflineClient, CONFIG, now())
     assert tables.index.read().count() == 2
     assert tables.sink_status.read().filter("status <> 'saved'").count() == 0
-    assert spark.read.text(tables.objects).count() == 2
+    assert payloads.stored_objects(spark, tables.objects).count() == 2
 
 
 def test_source_sink_pending_although_indexed(spark, monkeypatch):
@@ -198,6 +208,9 @@ def test_server_errors_stop_the_run(spark):
     tables = transcript_tables(spark, ["d0", "d1"])
     counts = transcripts.run(tables, make, CONFIG, now()).first()
     assert counts.status == "STOPPED_SERVER_ERROR" and tables.index.read().count() == 0
+    counts = transcripts.run(tables, OfflineClient, CONFIG, now()).first()
+    assert counts.status == "DONE" and tables.index.read().count() == 2
+    assert tables.failures.read().filter("video_id = 'd1' AND error <> ''").count() == 0
 
 
 def test_reprocess_fetches_again(spark, tmp_path):
@@ -221,7 +234,8 @@ def test_summaries(spark):
         staging=f"{root}/staging",
     )
     objects = spark.createDataFrame(
-        [("transcript/v0.json", "First. Second"), ("transcript/v1.json", " "), ("transcript/v2.json", "bad text")], "s3_key string, content string"
+        [("transcripts", f"transcript/v{n}.json", True, c) for n, c in enumerate(("First. Second", " ", "bad text"))],
+        "bucket string, s3_key string, readable boolean, content string",
     )
     counts = summaries.run(tables, objects, failing_client(("bad",)), CONFIG, now()).first()
     assert counts.status == "STOPPED_IMMEDIATE_ERROR" and counts.errors == 2
