@@ -571,7 +571,7 @@ def posts_pending(t: Given) -> DataFrame:
     done, dead = labelled.filter("quality = 1"), labelled.filter("quality = 0")
     docs = candidates.posts_with_keys(inputs.post_docs(t), 1)
     todo = candidates.without_tags(docs, done, dead)
-    work = candidates.attach_captions(todo, candidates.latest_captions(inputs.caption_posts(t)))
+    work = candidates.attach_captions(todo, candidates.latest_captions(inputs.caption_posts(t), wanted=todo))
     return work.select("_id", *PAIR, F.md5("content").alias("content_md5"))
 
 
@@ -690,12 +690,10 @@ SELECT count(*) AS bad, count_if(user_id > 'en' OR (user_id = 'en' AND post_id >
 FROM stored WHERE kept IS NULL OR len(kept) <> 10""")
 def bad_tag_count(t: Given) -> DataFrame:
     """All bad rows, and those behind a resume key compared as text."""
-    bad = candidates.bad_tag_pairs(_stored_tags(t))
-    behind = candidates.after_key(bad.withColumn("left", F.lit(1)), PAIR, ["en", "5"])
-    left = behind.agg(F.count("*").alias("bad_left"))
-    return bad.agg(F.count("*").alias("bad")).withColumn("_k", F.lit(1)).join(
-        left.withColumn("_k", F.lit(1)), "_k"
-    ).drop("_k")
+    behind = candidates.behind_key(PAIR, ["en", "5"])
+    return candidates.bad_tag_pairs(_stored_tags(t)).agg(
+        F.count("*").alias("bad"), F.count_if(behind).alias("bad_left")
+    )
 
 
 @query(f"""WITH {STORED_SQL}, {CAPTIONS_SQL}
@@ -922,9 +920,10 @@ def keyset_page_id(t: Given) -> DataFrame:
   max((o_custkey::VARCHAR, o_orderkey::VARCHAR))[2] AS post_id FROM orders""")
 def high_water(t: Given) -> DataFrame:
     """Resume positions: greatest id and greatest text pair."""
-    pairs = t.orders.select(F.col("o_custkey").cast("string").alias("user_id"), F.col("o_orderkey").cast("string").alias("post_id"))
-    by_id = ledger.high_water(t.orders, ["o_orderkey"]).withColumn("_k", F.lit(1))
-    return by_id.join(ledger.high_water(pairs, PAIR).withColumn("_k", F.lit(1)), "_k").drop("_k")
+    keys = t.orders.select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("user_id"), F.col("o_orderkey").cast("string").alias("post_id")
+    )
+    return ledger.high_waters(keys, ["o_orderkey"], PAIR)
 
 
 @query(f"""WITH {POSTS_SQL} SELECT channel_id FROM channels

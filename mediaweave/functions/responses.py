@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +57,33 @@ def strict_json(text: Column) -> Column:
     return let(_wrapped(text), _unwrapped)
 
 
+_BRACKET = re.compile(r"[\[\]{}]")
+_CLOSING = {"[": "]", "{": "}"}
+
+
+def _json_candidates(text: str) -> Iterator[str]:
+    """Parts of a text that may be JSON, from the likeliest: all of it, the widest bracketed part,
+    and the part that ends where the brackets opened so far are closed for the first time."""
+    yield text
+    marks = [m for m in _BRACKET.finditer(text)]
+    while marks and marks[0][0] not in _CLOSING:
+        marks.pop(0)
+    if not marks:
+        return
+    first = marks[0].start()
+    if closers := [m.end() for m in marks if m[0] not in _CLOSING]:
+        yield text[first : closers[-1]]
+    expected = ""
+    for mark in marks:
+        if mark[0] in _CLOSING:
+            expected += _CLOSING[mark[0]]
+        elif expected.endswith(mark[0]):
+            expected = expected[:-1]
+        if not expected:
+            yield text[first : mark.end()]
+            return
+
+
 @F.pandas_udf(StringType())
 def _python_json(texts: pd.Series, tolerant: pd.Series) -> pd.Series:
     """Canonical JSON of text Spark's parser refuses: repeated keys, NaN, a cut-off rest."""
@@ -61,42 +91,14 @@ def _python_json(texts: pd.Series, tolerant: pd.Series) -> pd.Series:
 
     special = {"NaN": "nan", "Infinity": "inf", "-Infinity": "-inf"}
 
-    def load(text):
-        try:
-            return json.dumps(json.loads(text, parse_constant=special.get), ensure_ascii=False)
-        except (ValueError, RecursionError):
-            return None
-
-    def balanced_end(text, start):
-        closing = {"[": "]", "{": "}"}
-        stack = []
-        for at in range(start, len(text)):
-            char = text[at]
-            if char in closing:
-                stack.append(closing[char])
-            elif stack and char == stack[-1]:
-                stack.pop()
-            if not stack and at > start:
-                return at
+    def read(text, parts):
+        for part in (() if text is None else _json_candidates(text) if parts else (text,)):
+            try:
+                return json.dumps(json.loads(part, parse_constant=special.get), ensure_ascii=False)
+            except (ValueError, RecursionError):
+                continue
         return None
 
-    def read(text, try_parts):
-        if text is None:
-            return None
-        found = load(text)
-        if found is not None or not try_parts:
-            return found
-        starts = [at for at in (text.find("["), text.find("{")) if at >= 0]
-        if not starts:
-            return None
-        start, last = min(starts), max(text.rfind("]"), text.rfind("}"))
-        if last > start:
-            found = load(text[start : last + 1])
-        if found is None:
-            end = balanced_end(text, start)
-            found = None if end is None else load(text[start : end + 1])
-        return found
-
     return pd.Series([read(t, p) for t, p in zip(texts, tolerant)], dtype="object")
 
 
@@ -225,13 +227,27 @@ def item_texts_or_blank(v: Column) -> Column:
 
 
 def distinct_texts(v: Column) -> Column:
-    """Texts of ``as_list`` items, first of each case-insensitive trimmed key, blank keys dropped."""
-    texts = _texts(v, "None", F.transform(as_list(v), item_text))
+    """Texts of ``as_list`` items, first of each trimmed key, blank keys dropped.
+
+    Plain values are compared without case; an object or a list is compared as its JSON, and never
+    equals a text that reads the same.
+    """
+
+    def tagged(x: Column, boxed: Column) -> Column:
+        return F.struct(x.alias("text"), boxed.alias("boxed"))
+
+    plain = F.transform(
+        F.try_variant_get(v, "$", "array<string>"), lambda x: tagged(F.coalesce(x, F.lit("None")), F.lit(False))
+    )
+    mixed = F.transform(as_list(v), lambda x: tagged(item_text(x), F.coalesce(_kind(x).isin("OBJECT", "ARRAY"), F.lit(False))))
+    items = F.when(F.schema_of_variant(v) == "ARRAY<STRING>", plain).otherwise(mixed)
 
     def key(x: Column) -> Column:
-        return F.lower(strip(x))
+        text = strip(x["text"])
+        return F.when(x["boxed"], F.concat(F.lit("json:"), text)).otherwise(F.concat(F.lit("text:"), F.lower(text)))
 
-    return ordered_distinct(F.filter(F.array_distinct(texts), lambda x: strip(x) != ""), key)
+    kept = F.filter(items, lambda x: strip(x["text"]) != "")
+    return F.transform(ordered_distinct(kept, key), lambda x: x["text"])
 
 
 # -- summaries ----------------------------------------------------------------

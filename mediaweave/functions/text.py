@@ -253,14 +253,12 @@ def parse_list_text(df: DataFrame, stored: str, out: str) -> DataFrame:
     """Add ``out``: stored list text (JSON or Python literal) as an array of non-blank
     trimmed items.
 
-    A flat quoted list is read by ``from_json``; only other text reaches Python.
+    A list of nothing but double-quoted texts is read by ``from_json``; only other text reaches
+    Python, which shows values its own way (True, nan).
     """
     text = F.col("_text")
-
-    def once(char: str) -> Column:
-        return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit(""))) == 1
-
-    flat = text.startswith("[") & text.endswith("]") & once("[") & once("]")
+    quoted = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    flat = text.rlike(rf"^\[\s*+(?:{quoted}\s*+(?:,\s*+{quoted}\s*+)*+)?\]$")
     read = df.withColumn("_text", clean_text(F.col(stored))).withColumn(
         "_native", F.when(flat, F.from_json(text, "array<string>"))
     )

@@ -65,7 +65,8 @@ def posts_in_range(
 
 
 def newest_first() -> list[Column]:
-    return [F.col("publishedAt").desc(), F.col("video_id").asc()]
+    """A total order: posts that tie on time and id are ordered by their counters."""
+    return [F.col("publishedAt").desc(), F.col("video_id").asc(), *[F.col(c).asc() for c in COUNTERS]]
 
 
 def capped_posts(posts: DataFrame, cap: int, small: int = SMALL_LIMIT) -> DataFrame:
@@ -158,8 +159,13 @@ def with_tags(docs: DataFrame, tags: DataFrame) -> DataFrame:
     return docs.join(tags.select(*PAIR).distinct(), PAIR, "left_semi")
 
 
-def latest_captions(posts: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
-    """Newest caption per pair; undated rows come last, a missing caption is empty."""
+def latest_captions(
+    posts: DataFrame, tiebreak: list[str] | None = None, wanted: DataFrame | None = None
+) -> DataFrame:
+    """Newest caption per pair; undated rows come last, a missing caption is empty.
+
+    With ``wanted`` only the captions of its pairs are gathered, however long the history is.
+    """
     trimmed = posts.select(
         clean_text(F.col("ig_user_id").cast("string")).alias("user_id"),
         clean_text(F.col("ig_post_id").cast("string")).alias("post_id"),
@@ -167,6 +173,9 @@ def latest_captions(posts: DataFrame, tiebreak: list[str] | None = None) -> Data
         "postDate",
         *(tiebreak or []),
     ).filter((F.col("user_id") != "") & (F.col("post_id") != ""))
+    if wanted is not None:
+        pairs = wanted.select(*[clean_text(F.col(c).cast("string")).alias(c) for c in PAIR]).distinct()
+        trimmed = trimmed.join(pairs, PAIR, "left_semi")
     order = ["postDate", *(tiebreak or ["content"])]
     return last_wins(trimmed, PAIR, order).select(*PAIR, "content")
 
@@ -220,16 +229,19 @@ def tag_texts(tags: DataFrame) -> DataFrame:
 # -- pages --------------------------------------------------------------------
 
 
-def after_key(df: DataFrame, columns: list[str], last: list | None) -> DataFrame:
-    """Rows behind a resume key, compared column by column (text ids as text)."""
-    if last is None:
-        return df
+def behind_key(columns: list[str], last: list) -> Column:
+    """Whether a row is behind a resume key, compared column by column (text ids as text)."""
     behind = F.lit(False)
     equal = F.lit(True)
     for name, value in zip(columns, last):
         behind = behind | (equal & (F.col(name) > value))
         equal = equal & (F.col(name) == value)
-    return df.filter(behind)
+    return behind
+
+
+def after_key(df: DataFrame, columns: list[str], last: list | None) -> DataFrame:
+    """Rows behind a resume key; all without one."""
+    return df if last is None else df.filter(behind_key(columns, last))
 
 
 def key_page(df: DataFrame, columns: list[str], last: list | None, size: int) -> DataFrame:

@@ -87,8 +87,13 @@ def unfinished_channels(channels: DataFrame, finished: DataFrame, key: str) -> D
 
 def high_water(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row: the greatest key of ``df``."""
-    top = df.agg(F.max(F.struct(*columns)).alias("_top"))
-    return top.select(*[F.col(f"_top.{c}").alias(c) for c in columns])
+    return high_waters(df, columns)
+
+
+def high_waters(df: DataFrame, *keys: list[str]) -> DataFrame:
+    """One row: the greatest of each of several keys, in one pass."""
+    tops = df.agg(*[F.max(F.struct(*columns)).alias(f"_top{n}") for n, columns in enumerate(keys)])
+    return tops.select(*[F.col(f"_top{n}.{c}").alias(c) for n, columns in enumerate(keys) for c in columns])
 
 
 def retry_and_fresh(retry: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:

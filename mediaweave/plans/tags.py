@@ -121,7 +121,7 @@ def _pass(
     lanes = ledger.retry_and_fresh(retry, todo, PAIR).drop("lane")
     order = ["_id", *PAIR]
     lanes = candidates.key_page(lanes, order, last, size)
-    captions = candidates.latest_captions(tables.captions.read())
+    captions = candidates.latest_captions(tables.captions.read(), wanted=lanes)
     results = _ask(candidates.attach_captions(lanes, captions), tables, factory, config)
     tables.tags.replace(merge_tags(tables.tags.read(), results))
     counted = ledger.count_attempts(failures, _failure_keys(results), config.max_attempts)
@@ -134,7 +134,7 @@ def _pass(
 def repair(tables: TagTables, factory: ClientFactory, config: JobConfig) -> DataFrame:
     """Ask again for every pair with a bad tag row and overwrite what passes the gate."""
     bad = candidates.bad_tag_pairs(tables.tags.read())
-    captions = candidates.latest_captions(tables.captions.read())
+    captions = candidates.latest_captions(tables.captions.read(), wanted=bad)
     work = candidates.pairs_with_captions(bad, captions)
     results = _ask(work, tables, factory, config)
     tables.tags.replace(merge_tags(tables.tags.read(), results))
