@@ -21,6 +21,6 @@ def test_entry_has_rows(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_same_rows_as_sql(spark, connection, name):
     assert not differences(queries()[name](spark, FOLDER), connection, oracle_sql()[name])

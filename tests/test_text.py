@@ -103,12 +103,13 @@ def test_list_texts(spark):
 def test_stored_lists_read_back(spark):
     stored = [
         "['a', ' b ', '']", '["a", "b"]', "[1, 2]", "['it\\'s', None]", "", "no list", "{'a': 1}",
-        "[['x']]", '["a"], ["b"]', None, '[null, "z"]',
+        "[['x']]", '["a"], ["b"]', None, '[null, "z"]', "[true, false]", "[NaN]", '["a\\"]b", "c"]',
     ]
     df = spark.createDataFrame([(i, s) for i, s in enumerate(stored)], "i int, s string")
     got = [r.out for r in text.parse_list_text(df, "s", "out").orderBy("i").collect()]
     assert got == [
         ["a", "b"], ["a", "b"], ["1", "2"], ["it's", "None"], [], [], [], ["['x']"], [], [], ["None", "z"],
+        ["True", "False"], ["nan"], ['a"]b', "c"],
     ]
 
 
