@@ -84,7 +84,7 @@ class ByteNetwork:
         second = {n: np.zeros_like(getattr(self, n)) for n in names}
         begin = np.searchsorted(owner, np.arange(len(labels) + 1))
         random, step = np.random.default_rng(SEED), 0
-        epochs = max(epochs, -(-LEAST_STEPS * BATCH // len(labels)))
+        epochs = max(epochs, -(-LEAST_STEPS // -(-len(labels) // BATCH)))
         for epoch in range(epochs):
             order = random.permutation(len(labels))
             rate = RATE * (1 - epoch / epochs) + RATE / 20
