@@ -14,9 +14,10 @@ from ..operators.candidates import PAIR
 from ..operators.merge import keyed_union, last_wins, merge
 from ..plans import posts as posts_job
 from ..plans import transcripts as transcripts_job
-from ..schemas import COUNTERS, VIDEO
+from ..schemas import COUNTERS, FAILED_VIDEO, VIDEO
 from ..sources import payloads
 from ..sources.clients import best_answers
+from ..sources.tables import read_or_empty
 from . import inputs
 from .inputs import (
     CAPTIONS_SQL,
@@ -394,9 +395,19 @@ def tolerant_json(t: Given) -> DataFrame:
 # -- summaries ----------------------------------------------------------------
 
 
+@query(f"""SELECT doc_id::VARCHAR AS video_id FROM documents d WHERE {LANGUAGE_SQL} IN ('en', 'a.en')""")
+def todo_summaries_again(t: Given) -> DataFrame:
+    """Reprocessing asks for transcripts that have a summary, too."""
+    return _todo_summaries(t, True)
+
+
 @query(f"""SELECT doc_id::VARCHAR AS video_id FROM documents d
 WHERE {LANGUAGE_SQL} IN ('en', 'a.en') AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
 def todo_summaries(t: Given) -> DataFrame:
+    return _todo_summaries(t, False)
+
+
+def _todo_summaries(t: Given, reprocess: bool) -> DataFrame:
     index = t.documents.select(
         F.col("doc_id").alias("id"),
         F.col("doc_id").cast("string").alias("video_id"),
@@ -404,7 +415,7 @@ def todo_summaries(t: Given) -> DataFrame:
         F.lit("https://b.s3.r.amazonaws.com/k").alias("s3_url"),
     )
     done = t.labels.select(F.col("doc_id").cast("string").alias("video_id"))
-    return candidates.transcripts_to_summarise(index, done).select("video_id")
+    return candidates.transcripts_to_summarise(index, done, reprocess).select("video_id")
 
 
 def _summary_answers(t: Given) -> DataFrame:
@@ -870,6 +881,23 @@ def candidate_counts(t: Given) -> DataFrame:
     return metrics.candidate_count(candidates.posts_with_keys(inputs.post_docs(t), 1))
 
 
+@query("SELECT count(*) AS candidates FROM documents WHERE source <> 'src0'")
+def location_count(t: Given) -> DataFrame:
+    """Candidates of the vector stage, counted by location alone."""
+    return metrics.candidate_count(inputs.post_docs(t).filter("locationId = 1"))
+
+
+@query("""SELECT doc_id::VARCHAR AS video_id, CASE WHEN doc_id % 2 = 0 THEN source END AS error, NULL::TIMESTAMP AS updated_at FROM documents""")
+def ledger_defaults(t: Given) -> DataFrame:
+    """A ledger kept with some columns and one that does not exist yet, read with one schema."""
+    path = scratch_path(t.spark, "ledger")
+    video = F.col("doc_id").cast("string").alias("video_id")
+    t.documents.filter("doc_id % 2 = 0").select(video, F.col("source").alias("error")).write.parquet(f"{path}/even")
+    t.documents.filter("doc_id % 2 = 1").select(video).write.parquet(f"{path}/odd")
+    kept = [read_or_empty(t.spark, f"{path}/{name}", FAILED_VIDEO) for name in ("even", "odd", "absent")]
+    return kept[0].unionByName(kept[1]).unionByName(kept[2])
+
+
 def _records(t: Given) -> DataFrame:
     """Events as embedding records: the event type gives the status."""
     status = (
@@ -1036,6 +1064,17 @@ def embedding_disposition(t: Given) -> DataFrame:
     return vectors.dispositions(texts, records, docs)
 
 
+@query(f"""WITH {DISPOSITION_SQL}
+SELECT t.user_id, t.post_id, t.tag_text, d._id AS mongo_id,
+  CASE WHEN r.status = 'inserted' THEN 'checkpoint_inserted' WHEN t.user_id = '' THEN 'blank_key' WHEN t.tag_text = '' THEN 'no_text'
+       WHEN d._id IS NULL THEN 'mongo_doc_not_found' ELSE 'needs_embedding' END AS disposition
+FROM texts t LEFT JOIN records r ON r.doc_id = t.doc_id LEFT JOIN docs d ON d.doc_id = t.doc_id""")
+def embedding_overwrite(t: Given) -> DataFrame:
+    """The same pairs when stored vectors are to be replaced."""
+    texts, records, docs = _disposition_inputs(t)
+    return vectors.dispositions(texts, records, docs, overwrite=True)
+
+
 @query(f"""WITH {DISPOSITION_SQL},
 q AS (SELECT r.user_id, r.post_id, r.status, d._id, d.stored, coalesce(r.own, t.tag_text, '') AS tag_text
       FROM records r LEFT JOIN texts t ON t.doc_id = r.doc_id LEFT JOIN docs d ON d.doc_id = r.doc_id

@@ -72,6 +72,12 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return read_parquet(df.sparkSession, path, df.schema)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system; a missing one is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 class VersionedTable:
     """A keyed table whose every state is a folder of its own.
 
@@ -110,6 +116,12 @@ class VersionedTable:
         commit.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return read_parquet(self.spark, f"{self.path}/v{version}", self.schema)
 
+    def vacuum(self, keep: int = 2) -> None:
+        """Delete all versions but the newest ``keep`` (one at least); no reader may be on them."""
+        version = self.version()
+        for old in range(version - max(keep, 1), 0, -1):
+            remove(self.spark, f"{self.path}/v{old}")
+
     def update(self, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """Replace the state by ``change(state)``."""
         return self.replace(change(self.read()))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.merge import last_wins, merge
-from ..sources.tables import VersionedTable
+from ..sources.tables import VersionedTable, read_or_empty, remove
 
 
 def run_available(
@@ -55,6 +55,38 @@ def merge_handler(
     return handle
 
 
+class DeltaTable:
+    """A versioned table whose micro-batches are kept beside it until they are compacted.
+
+    A batch writes its newest rows only, whatever the size of the table; a batch that is given
+    twice replaces its own folder.  Reading takes the row with the greatest ``seq`` of each key,
+    so order of arrival does not matter.
+    """
+
+    def __init__(self, base: VersionedTable, keys: list[str], seq: list[str]):
+        self.base, self.keys, self.seq = base, keys, seq
+        self.deltas = f"{base.path}/deltas"
+
+    def append(self, batch: DataFrame, batch_id: int) -> None:
+        names = [f.name for f in self.base.schema]
+        rows = last_wins(batch.select(names), self.keys, self.seq)
+        rows.write.mode("overwrite").parquet(f"{self.deltas}/batch={batch_id}")
+
+    def read(self) -> DataFrame:
+        schema = StructType([*self.base.schema.fields, StructField("batch", LongType())])
+        late = read_or_empty(self.base.spark, self.deltas, schema).drop("batch")
+        return last_wins(self.base.read().unionByName(late), self.keys, self.seq)
+
+    def compact(self) -> DataFrame:
+        """Fold the batches into the table's next version; no stream may be writing."""
+        merged = self.base.replace(self.read())
+        remove(self.base.spark, self.deltas)
+        return merged
+
+    def handler(self, shape: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
+        return lambda batch, batch_id: self.append(shape(batch), batch_id)
+
+
 def newest_handler(
     target: VersionedTable,
     keys: list[str],

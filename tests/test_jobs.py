@@ -9,6 +9,7 @@ from mediaweave import schemas
 from mediaweave.config import JobConfig, checked_identifier, scratch_path
 from mediaweave.plans import posts, runs, summaries, tags, transcripts, vectors
 from mediaweave.sources import payloads
+from mediaweave.streaming.incremental import DeltaTable
 from mediaweave.sources.offline import OfflineClient
 from mediaweave.sources.tables import VersionedTable, read_or_empty
 from mediaweave.streaming.incremental import merge_handler, run_available
@@ -73,6 +74,33 @@ def test_uncommitted_version_is_not_seen(spark):
     assert sorted(r.channel_id for r in made.read().collect()) == ["a", "b"] and made.version() == 2
 
 
+def test_old_versions_are_removed(spark):
+    made = table(spark, scratch_path(spark, "t"), "x", schemas.CHANNEL_BIOS, [{"channel_id": "a"}])
+    for name in "bcd":
+        made.replace(spark.createDataFrame([(name,)], "channel_id string"))
+    made.vacuum(keep=2)
+    assert [r.channel_id for r in made.read().collect()] == ["d"] and made.version() == 4
+    assert spark.read.parquet(f"{made.path}/v3").count() == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{made.path}/v2")
+
+
+def test_batches_write_only_their_delta(spark):
+    schema = schemas.TRANSCRIPT_INDEX
+    base = table(spark, scratch_path(spark, "t"), "x", schema, [{"id": 1, "video_id": "a", "error": "old"}, {"id": 1, "video_id": "b", "error": None}])
+    kept = DeltaTable(base, ["video_id"], ["id"])
+    blank = {f.name: None for f in schema}
+    rows = [{"id": 3, "video_id": "a", "error": "new"}, {"id": 2, "video_id": "a"}, {"id": 1, "video_id": "c"}]
+    batch = spark.createDataFrame([blank | r for r in rows], schema)
+    for _ in range(2):  # the same batch again replaces itself
+        kept.append(batch, 7)
+    assert base.version() == 1 and spark.read.parquet(kept.deltas).count() == 2
+    wanted = {("a", 3, "new"), ("b", 1, None), ("c", 1, None)}
+    assert {(r.video_id, r.id, r.error) for r in kept.read().collect()} == wanted
+    assert {(r.video_id, r.id, r.error) for r in kept.compact().collect()} == wanted
+    assert base.version() == 2 and {(r.video_id, r.id, r.error) for r in kept.read().collect()} == wanted
+
+
 def test_identifiers():
     assert checked_identifier("ok_1") == "ok_1"
     for bad in ("a b", "a;", "", None):
