@@ -154,15 +154,21 @@ class BoostedTrees:
 def _suffixed(rows: DataFrame) -> DataFrame:
     """The rows with their suffix's share of all rows and its smoothed rate of label 1.
 
-    Statistics are over all rows.  A row's own label is left out of the rate it sees, so that the
-    trees cannot read it back.
+    Statistics are over all rows.  A row's rate is that of the urls of the other fold, so that
+    trees cannot read a row's own label back from it.
     """
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(2)))
     total = F.sum(F.lit(1))
-    stats = rows.groupBy("suffix").agg(total.alias("suffix_rows"), F.count("label").alias("known"), F.coalesce(F.sum("label"), F.lit(0)).alias("ones"))
+    of_fold = lambda n: F.when(F.col("fold") == n, F.col("label"))
+    stats = rows.groupBy("suffix").agg(
+        total.alias("suffix_rows"),
+        F.array(*[F.count(of_fold(n)) for n in (1, 0)]).alias("known"),
+        F.array(*[F.coalesce(F.sum(of_fold(n)), F.lit(0)) for n in (1, 0)]).alias("ones"),
+    )
     everything = rows.agg(total.alias("all_rows"), F.avg("label").alias("mean")).first()
     count, mean = max(everything["all_rows"] or 0, 1), everything["mean"] if everything["mean"] is not None else 0.5
-    own = F.col("label").isNotNull().cast("int")
-    rate = (F.col("ones") - F.coalesce("label", F.lit(0)) + 10 * mean) / (F.col("known") - own + 10)
+    other = lambda c: F.element_at(c, F.col("fold").cast("int") + 1)
+    rate = (other("ones") + 10 * mean) / (other("known") + 10)
     joined = rows.join(stats, "suffix")
     return joined.withColumn("suffix_share", F.col("suffix_rows") / float(count)).withColumn("suffix_rate", rate)
 
@@ -181,7 +187,7 @@ def classified(urls: DataFrame, sample_rows: int = TRAINING_ROWS) -> DataFrame:
     x = np.array(sample["x"].tolist(), dtype=np.float64).reshape(len(sample), len(FEATURES))
     trees = BoostedTrees().fit(x, sample["label"].to_numpy(dtype=np.float64))
 
-    kept = [c for c in rows.columns if c not in FEATURES and c not in ("suffix", "suffix_rows", "known", "ones")]
+    kept = [c for c in rows.columns if c not in FEATURES and c not in ("suffix", "fold", "suffix_rows", "known", "ones")]
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.select(*kept).dtypes) + ", score double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
