@@ -31,7 +31,6 @@ from ..schemas import (
     VIDEO_SUMMARY,
 )
 from ..sources import payloads
-from ..sources.offline import OfflineClient
 from ..sources.tables import VersionedTable
 from ..streaming.incremental import newest_handler, run_available
 from . import inputs
@@ -46,6 +45,7 @@ from .inputs import (
     Given,
     phrases_sql,
 )
+from .offline import OfflineClient
 from .queries import ISO_SQL, LAST_SQL, STORED_SQL, TAGS_SQL, _list_sql, _stored_tags, query
 
 NOW = "2024-06-01 00:00:00"

@@ -10,7 +10,7 @@ from mediaweave.config import JobConfig, checked_identifier, scratch_path
 from mediaweave.plans import posts, runs, summaries, tags, transcripts, vectors
 from mediaweave.sources import payloads
 from mediaweave.streaming.incremental import DeltaTable
-from mediaweave.sources.offline import OfflineClient
+from mediaweave.catalog.offline import OfflineClient
 from mediaweave.sources.tables import VersionedTable, read_or_empty
 from mediaweave.streaming.incremental import merge_handler, run_available
 
