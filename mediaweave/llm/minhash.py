@@ -29,7 +29,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
 #: Rows and bytes of text of a chunk when an open bucket is compared in blocks of two chunks.
-BLOCK_ROWS, BLOCK_TEXT = 1024, 4 << 20
+BLOCK_ROWS, BLOCK_TEXT = 1024, 2 << 20
 #: Node ids that may be broadcast: 16 bytes each, 8 MB; beyond it the join is shuffled.
 BROADCAST_NODES = 500_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
