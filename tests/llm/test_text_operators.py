@@ -87,6 +87,31 @@ def test_redaction(spark, odd_documents, no_documents):
     assert secret_scan.digests(no_documents).count() == 0
 
 
+LETTERS = [
+    "kQzRmXpLvBnWcTyHjDfG", "hf_" + "QwZrTyUiOpAsDfGhJkLzXcVbNmqWeRtYuI", "kQzRmXpLvBnWcTyHjDfG7", "kQzRmXpLvBnWcTyHjDfG2024",
+    "kQzRm-XpLvBn_WcTyHjDfGa", "QkZrTyUiOpAsDfGhJkLz==",
+]
+WORDS = [
+    "Kraftfahrzeughaftpflichtversicherung", "donaudampfschifffahrtsgesellschaft", "SCREAMING_SNAKE_CASE_NAME", "getElementByIdFromDocument",
+    "XMLHttpRequestParserFactory", "JavaScriptObjectNotation2024", "/usr/local/share/applications/", "post-PhD-fellowship-year", "-" * 40,
+]
+
+
+def test_secrets_of_letters(spark):
+    """Letters-only secrets stand out by their mixed case and entropy; words of any length do not."""
+    long = ["a-" * 3000, "aB" * 3000, "Abc" * 3000 + "D"]
+    rows = [(i, f"é {w} end") for i, w in enumerate(LETTERS + WORDS + long)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.digests(df).collect()}
+    assert got == {i: f"entropy:2:{2 + len(w)}" if w in LETTERS else "" for i, w in enumerate(LETTERS + WORDS + long)}
+    clean = {r.doc_id: r.text for r in secret_scan.redacted(df).collect()}
+    assert clean == {i: "é [SECRET] end" if got[i] else t for i, t in rows}
+    random.seed(9)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    found = lambda n, tail: sum(bool(entropy_spans("".join(random.choices(letters, k=n)) + tail)) for _ in range(1000))
+    assert found(20, "") > 960 and found(20, "7") > 960 and found(20, "2024") > 960 and found(34, "") > 990
+
+
 # -- mixing -------------------------------------------------------------------
 
 
