@@ -50,6 +50,7 @@ class ByteNetwork:
         self.shift = np.zeros(HIDDEN, dtype=np.float32)
         self.outer = random.normal(0, HIDDEN**-0.5, HIDDEN).astype(np.float32)
         self.bias = np.zeros(1, dtype=np.float32)
+        self.learned = False
 
     def pooled(self, chunks: np.ndarray, where: bool = False):
         """Each filter's maximum over each chunk; with ``where`` also its place."""
@@ -80,6 +81,7 @@ class ByteNetwork:
     def fit(self, chunks: np.ndarray, owner: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS) -> None:
         """Adam steps on the log loss; chunks[i] belongs to text owner[i], owners ascending."""
         names = ("filters", "inner", "shift", "outer", "bias")
+        self.learned = True
         first = {n: np.zeros_like(getattr(self, n)) for n in names}
         second = {n: np.zeros_like(getattr(self, n)) for n in names}
         begin = np.searchsorted(owner, np.arange(len(labels) + 1))
@@ -140,19 +142,22 @@ def _training_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def trained(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> ByteNetwork:
     """A network fitted on at most ``rows`` labelled texts outside the held-out part.
 
-    A doc_id with several labels counts with the lowest; null ids and labels do not count.  Without
-    a labelled text the network keeps a score of one half for every text.
+    A doc_id with several labels counts with the lowest, one with several texts with the first in
+    order; null ids and labels do not count.  Labels of other documents take no place in the
+    sample.  Without a labelled text the network keeps a score of one half for every text.
     """
     known = labels.where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     sample = known.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(rows)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(F.col("doc_id").cast("long"), "quality", "text")
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    texts = texts.select(F.col("doc_id").cast("long"), "quality", "text")
     found = texts.mapInArrow(_training_chunks, "doc_id long, quality int, chunks binary").toPandas()
     network = ByteNetwork()
     if found.empty:
         network.outer[:] = 0
         return network
-    found = found.sort_values(["doc_id", "chunks"]).head(rows)
+    found = found.sort_values("doc_id")
     parts = [np.frombuffer(c, dtype=np.uint8).reshape(-1, CHUNK) for c in found["chunks"]]
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     network.fit(np.concatenate(parts), owner, found["quality"].to_numpy(dtype=np.float32))
@@ -183,8 +188,10 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores KEEP or more."""
+    """The rows of ``docs``, all columns, whose text scores KEEP or more; all rows where no label could be learned."""
     network = trained(docs, labels)
+    if not network.learned:
+        return docs
     place = docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

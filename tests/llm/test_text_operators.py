@@ -243,6 +243,22 @@ def test_quality(spark, documents, odd_documents, no_documents):
     assert quality.good_documents(odd_documents, some).columns == odd_documents.columns
 
 
+def test_labels_of_other_documents(spark):
+    """Labels without a text take no place in the sample; a repeated id counts once; nothing learned drops nothing."""
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    text = lambda i: f"{'good' if i % 2 else 'bad'} text {i}"
+    docs = spark.createDataFrame([(i, text(i)) for i in ids] + [(ids[0], "z again")] * 300, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    more = labels.unionByName(spark.range(10**6, 10**6 + 20000).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality")))
+    probe = [text(i).encode() for i in ids[:50]]
+    alone, among = quality.trained(docs, labels, 100), quality.trained(docs, more, 100)
+    assert alone.learned and (alone.scores(probe) == among.scores(probe)).all()
+    once = quality.trained(docs.where("text <> 'z again'"), labels, 100)
+    assert (alone.scores(probe) == once.scores(probe)).all()
+    others = more.where("doc_id >= 1000000")
+    assert Counter(quality.good_documents(docs, others).collect()) == Counter(docs.collect())
+
+
 # -- word pieces --------------------------------------------------------------
 
 
