@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import MASK, NOT_WORD, Words, mixed, portions, stored
@@ -299,5 +299,4 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     keepers = _classes(docs, similarity).groupBy("root").agg(first)
     keepers = keepers.select(_row_key(F.col("first.doc_id"), F.col("first.node")).alias("key"))
     rows = docs.select(_row_key(F.col("doc_id"), _node(F.col("text"))).alias("key"), F.struct("*").alias("row"))
-    nth = F.row_number().over(Window.partitionBy("key").orderBy("key"))
-    return rows.join(keepers, "key", "left_semi").withColumn("nth", nth).where("nth = 1").select("row.*")
+    return rows.join(keepers, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row")).select("row.*")

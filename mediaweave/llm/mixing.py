@@ -126,12 +126,29 @@ def mix(
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: left out, once, or repeated.
 
-    The choice is joined back by a digest of doc_id, source and text.  Rows equal in all three
-    share it and take the copies counted for them in turn.  All columns are kept as they are.
+    The choice is joined back by a digest of doc_id, source and text, as the number of rows that
+    take each number of copies.  Rows equal in all three share it; where they take different
+    numbers, they are written with the part they came in, numbered within it, and the numbers of
+    the parts before are added, so that no task holds all of them.  A source's order has
+    ``passes`` such places at most.  All columns are kept as they are.
     """
-    chosen = mix(docs, **settings).groupBy("identity").agg(F.sort_array(F.collect_list("copies")).alias("each"))
+    counts = mix(docs, **settings).groupBy("identity", "copies").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(counts, "mix-copies")
     kept = docs.select(_identity().alias("identity"), F.struct("*").alias("row"))
-    joined = kept.join(chosen, "identity")
-    nth = F.row_number().over(Window.partitionBy("identity").orderBy("identity"))
-    joined = joined.withColumn("copies", F.element_at("each", nth)).where("copies > 0")
-    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    kinds = counts.groupBy("identity").agg(F.count(F.lit(1)).alias("kinds"), F.max("copies").alias("copies"))
+    alike = kept.join(kinds.where("kinds = 1 and copies > 0").select("identity", "copies"), "identity").select("row", "copies")
+
+    split = kinds.where("kinds > 1").select("identity")
+    rows = kept.join(F.broadcast(split), "identity").withColumn("part", F.spark_partition_id())
+    rows = stored(rows.withColumn("at", F.monotonically_increasing_id()), "mix-split")
+    earlier = Window.partitionBy("identity").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("identity", "part").agg(F.count(F.lit(1)).alias("n"))
+    parts = parts.select("identity", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    upto = Window.partitionBy("identity").orderBy("copies").rowsBetween(Window.unboundedPreceding, 0)
+    ranges = counts.join(F.broadcast(split), "identity").withColumn("last", F.sum("n").over(upto))
+    ranges = ranges.select("identity", "copies", (F.col("last") - F.col("n")).alias("first"), "last")
+    nth = F.row_number().over(Window.partitionBy("identity", "part").orderBy("at"))
+    rows = rows.withColumn("nth", nth).join(F.broadcast(parts), ["identity", "part"]).withColumn("nth", F.col("nth") + F.col("before"))
+    rows = rows.join(F.broadcast(ranges), "identity").where("nth > first and nth <= last and copies > 0").select("row", "copies")
+    both = alike.unionByName(rows)
+    return both.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

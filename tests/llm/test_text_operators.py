@@ -155,6 +155,20 @@ def test_mix(documents, odd_documents, no_documents):
     assert mixing.mix(no_documents).count() == 0 and mixing.mixed_documents(no_documents).count() == 0
 
 
+def test_mixed_documents_of_repeated_rows(spark):
+    """A group of equal rows with different numbers of copies is numbered part by part."""
+    rows = [(7, "one two three", "a", i) for i in range(600)] + [(i, f"w{i} x", "ab"[i % 2], i) for i in range(1000, 1300)]
+    rows += [(None, "", None, i) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n long").repartition(6, "n")
+    got = Counter((r.doc_id, r.copies) for r in mixing.mix(docs).collect())
+    assert len([c for d, c in got if d == 7]) > 1
+    taken = Counter(r.n for r in mixing.mixed_documents(docs).where("doc_id = 7").collect())
+    assert Counter(taken[i] for i in range(600)) == {c: n for (d, c), n in got.items() if d == 7}
+    mixed = mixing.mixed_documents(docs)
+    assert Counter(r.doc_id for r in mixed.collect()) == +Counter({d: sum(n * c for (e, c), n in got.items() if e == d) for d, _ in got})
+    assert "collect_list" not in mixed._jdf.queryExecution().toString()
+
+
 # -- packing ------------------------------------------------------------------
 
 
