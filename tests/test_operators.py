@@ -12,26 +12,32 @@ from mediaweave.operators.ranking import first_rows, first_rows_by_group, runnin
 
 @pytest.fixture(scope="module")
 def posts(spark):
-    """A third of all posts in one channel, many of them copies of one post."""
+    """A third of all posts in one channel, many of them copies of one post that differ in the counters only."""
     rng = random.Random(5)
     rows = []
     for i in range(3000):
         channel = "c050" if i % 3 == 0 else f"c{rng.randrange(100):03d}"
         copy = channel == "c050" and i % 2 == 0
-        rows.append((channel, "same" if copy else f"v{rng.randrange(2000)}", 77 if copy else rng.randrange(50), i))
-    df = spark.createDataFrame(rows, "channel_id string, video_id string, publishedAt bigint, n int")
+        counters = [rng.choice([None, 0, 1, 2]) for _ in candidates.COUNTERS]
+        rows.append((channel, "same" if copy else f"v{rng.randrange(2000)}", 77 if copy else rng.randrange(50), i, *counters))
+    counted = ", ".join(f"{c} bigint" for c in candidates.COUNTERS)
+    df = spark.createDataFrame(rows, f"channel_id string, video_id string, publishedAt bigint, n int, {counted}")
     return rows, df
 
 
+def nulls_first(values):
+    return [(v is not None, v or 0) for v in values]
+
+
 def keys(rows):
-    return sorted((r[0], r[1], r[2]) for r in rows)
+    return sorted((r[0], r[1], r[2], *nulls_first(r[4:])) for r in rows)
 
 
 @pytest.mark.parametrize("small", [10_000, 0])
 @pytest.mark.parametrize("cap", [1, 40, 1400, 1900, 2999, 3000, 5000])
 def test_capped_posts(posts, small, cap):
     rows, df = posts
-    wanted = sorted(rows, key=lambda r: (r[0], -r[2], r[1]))[:cap]
+    wanted = sorted(rows, key=lambda r: (r[0], -r[2], r[1], *nulls_first(r[4:])))[:cap]
     got = candidates.capped_posts(df, cap, small=small).collect()
     assert keys(got) == keys(wanted)
     assert len({r.n for r in got}) == len(got)
