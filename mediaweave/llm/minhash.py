@@ -61,7 +61,7 @@ def shingle_bags(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.n
     sums = h * _ODD[0]
     for k in range(1, words):
         more = np.zeros(len(h), dtype=np.uint64)
-        more[: len(h) - k] = h[k:] * (_ODD[k % 5] + np.uint64(2 * (k // 5)))
+        more[: max(len(h) - k, 0)] = h[k:] * (_ODD[k % 5] + np.uint64(2 * (k // 5)))
         inside = left > k
         sums[inside] += more[inside]
     use = (left >= words) | (place == 0)

@@ -15,8 +15,10 @@ import numpy as np
 
 from .common import WHITE, Words, text_slices
 
-#: Words kept in a worker's table; a full table is emptied, which costs time only.
-KEPT_WORDS = 2_000_000
+#: Bytes of a worker's table of words and of its table of parts.  A full table drops the words it
+#: was not asked for since it was last full, oldest first: that costs time only.
+TABLE_BYTES = 24 << 20
+PARTS_KEPT = 20_000
 _SIMPLE = re.compile(r"[!-~]+")
 #: What the tokenizer's pattern finds in lower-case ASCII without white space.
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
@@ -48,9 +50,32 @@ class TokenIds:
         self.keys = np.zeros(0, dtype=np.uint64)
         self.starts = np.zeros(0, dtype=np.int64)
         self.lengths = np.zeros(0, dtype=np.int64)
+        self.asked = np.zeros(0, dtype=bool)
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
 
+    def held(self) -> int:
+        """Bytes of the table: the words' hashes, places, lengths and marks, and their ids."""
+        return 25 * len(self.keys) + 4 * self.used
+
+    def _make_room(self) -> None:
+        """Drop what was not met again since the last time, then the older half, until half the bytes are free."""
+        self._keep(self.asked)
+        if self.held() > TABLE_BYTES // 2:
+            self._keep(self.starts >= self.used // 2)
+        self.asked[:] = False
+
+    def _keep(self, mask: np.ndarray) -> None:
+        keep = np.flatnonzero(mask)
+        order = np.argsort(self.starts[keep], kind="stable")  # ids stay in the order they were learned
+        lengths = self.lengths[keep][order]
+        ends = np.cumsum(lengths)
+        used = int(ends[-1]) if len(ends) else 0
+        self.flat = self.flat[np.repeat(self.starts[keep][order] - ends + lengths, lengths) + np.arange(used)]
+        places = np.empty(len(keep), dtype=np.int64)
+        places[order] = ends - lengths
+        self.keys, self.starts, self.lengths, self.asked, self.used = self.keys[keep], places, self.lengths[keep], self.asked[keep], used
+
     def word(self, word: str) -> list[int]:
         """The ids of one word; what is not plain ASCII goes through the whole tokenizer."""
         if "<|" in word or not _SIMPLE.fullmatch(word):
@@ -59,7 +84,7 @@ class TokenIds:
         for part in _PARTS.findall(word.lower()):
             ids = self.parts.get(part)
             if ids is None:
-                if len(self.parts) > KEPT_WORDS // 4:
+                if len(self.parts) >= PARTS_KEPT:
                     self.parts.clear()
                 ids = self.parts[part] = [t.id for t in self.model.tokenize(part)]
             out += ids
@@ -72,22 +97,24 @@ class TokenIds:
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         more = int(lengths.sum())
         if self.used + more > len(self.flat):
-            self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(len(self.flat), more), dtype=np.uint32)])
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(len(self.flat) // 2, more), dtype=np.uint32)])
         self.flat[self.used : self.used + more] = np.fromiter((x for ids in found for x in ids), dtype=np.uint32, count=more)
         at = np.searchsorted(self.keys, keys)
         self.starts = np.insert(self.starts, at, self.used + np.cumsum(lengths) - lengths)
         self.lengths = np.insert(self.lengths, at, lengths)
         self.keys = np.insert(self.keys, at, keys)
+        self.asked = np.insert(self.asked, at, False)
         self.used += more
 
     def many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has."""
         words = Words(texts, WHITE)
-        if len(self.keys) > KEPT_WORDS:
-            self._empty()
+        if self.held() > TABLE_BYTES:
+            self._make_room()
         keys, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
         at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
         new = self.keys[at] != keys if len(self.keys) else np.ones(len(keys), dtype=bool)
+        self.asked[at[~new]] = True
         if new.any():
             self._learn(words, keys[new], first[new])
         at = np.searchsorted(self.keys, keys)

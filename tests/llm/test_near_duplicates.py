@@ -68,6 +68,20 @@ def test_odd_rows(odd_documents, no_documents):
     assert not found(no_documents) and minhash.one_of_each(no_documents).count() == 0
 
 
+SHORT = ["one", "one!", "One two!", "one two", "one two three", "one, two, three", "a b c d", "A b c D", "a b c d e", "a b c d e f"]
+
+
+def test_short_texts(spark):
+    """Pairs of one to six words, alone in a batch, beside a longer text and in verification."""
+    longer = "some longer text of more than five words " * 3
+    for texts in (SHORT, SHORT[2:4], SHORT[4:6], SHORT[6:8], [*SHORT, longer, longer.upper()]):
+        rows = list(enumerate(texts))
+        assert found(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)) == expected(rows)
+    for text in SHORT:
+        doc, key, weight = minhash.shingle_bags([text])
+        assert len(doc) == max(len(bag(text)), 1) and weight.sum() == sum(bag(text).values())
+
+
 def test_open_buckets_lose_no_link(spark):
     """A chain of edited copies: neighbours are alike, the ends are not."""
     words = [f"w{i}" for i in range(200)]

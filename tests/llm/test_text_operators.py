@@ -172,6 +172,23 @@ def test_mixed_documents_of_repeated_rows(spark):
 # -- packing ------------------------------------------------------------------
 
 
+def test_a_small_table_gives_the_same_ids(documents, monkeypatch):
+    from mediaweave.llm import token_ids
+
+    texts = [r.text or "" for r in documents.collect()]
+    wanted = [ids.tolist() for _, ids in TokenIds(tokenizer_path()).each(texts)]
+    monkeypatch.setattr(token_ids, "TABLE_BYTES", 40_000)
+    monkeypatch.setattr(token_ids, "PARTS_KEPT", 100)
+    tokens, most = TokenIds(tokenizer_path()), 0
+    got = []
+    for i in range(0, len(texts), 5):
+        got += [ids.tolist() for _, ids in tokens.each(texts[i : i + 5])]
+        most = max(most, len(tokens.parts))
+    assert got == wanted and most <= 100
+    tokens._make_room()
+    assert tokens.held() <= 20_000
+
+
 def test_token_ids(documents):
     tokens = TokenIds(tokenizer_path())
     odd = ["", "  ", "It's DON'T <|endoftext|> a<|startoftext|>b", "Σίσυφος ΣΑΣ é\u2003x\u00a0y \x00\x1c\x85 A1b2 ... 'd're", "İstanbul", "a" * 3000 + " é" * 900]
