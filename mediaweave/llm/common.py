@@ -35,6 +35,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table of :func:`stored` that no later step reads."""
+    context = df.sparkSession.sparkContext
+    for file in df.inputFiles()[:1]:
+        path = context._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -107,16 +115,16 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 
 class Words:
-    """The words of some texts: hash, start and end byte of each, and the words of text i at first[i]:first[i+1]."""
+    """The words of some texts: hash (if wanted), start and end byte of each, and the words of text i at first[i]:first[i+1]."""
 
-    def __init__(self, texts: list[str], breaks: np.ndarray):
+    def __init__(self, texts: list[str], breaks: np.ndarray, hashed: bool = True):
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
         self.data = np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)
         inside = np.zeros(len(self.data) + 1, dtype=np.int8)
         inside[1:] = ~breaks[self.data]
         edges = np.flatnonzero(np.diff(inside))
         self.starts, self.ends = edges[0::2], edges[1::2]
-        self.hash = span_hashes(self.data, self.starts, self.ends)
+        self.hash = span_hashes(self.data, self.starts, self.ends) if hashed else None
         bounds = np.zeros(len(raw) + 1, dtype=np.int64)
         np.cumsum([len(r) + 1 for r in raw], out=bounds[1:])
         self.bounds = bounds

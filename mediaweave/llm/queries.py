@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, packing, quality, secret_scan, spotsigs, topk, urlfilter, warc, wordpiece
+from . import alignment, divergence, minhash, mixing, packing, quality, repeats, secret_scan, spotsigs, topk, urlfilter, warc, wordpiece
 from .common import table
 from .token_ids import tokenizer_path
 
@@ -146,3 +146,71 @@ FROM hashed
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     """All pages archived and read back."""
     return warc.round_trip(table(spark, folder, "pages"))
+
+
+DIVERGENCE_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+occurring AS (
+  SELECT id, lang, source,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM docs),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM occurring GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM occurring JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+sums AS (SELECT lang, source, sum(n)::HUGEINT AS n FROM counts GROUP BY lang, source),
+whole AS (SELECT lang, sum(n)::HUGEINT AS n, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(s.n, 0) + w.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 1)) // (w.n + w.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN whole w USING (lang)
+  LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM every)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query(DIVERGENCE_SQL)
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the sources of each language lie apart."""
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
+REPEATS_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+starts AS (SELECT id, words, unnest(range(1, len(words) - 33)) AS at FROM docs),
+windows AS (SELECT id, at, md5(array_to_string(list_slice(words, at, at + 34), ' ')) AS mark FROM starts),
+repeated AS (SELECT id, at FROM windows WHERE mark IN (SELECT mark FROM windows GROUP BY mark HAVING count(*) > 1)),
+removed AS (SELECT DISTINCT id, unnest(range(at, at + 35)) AS at FROM repeated),
+placed AS (SELECT id, unnest(words) AS word, generate_subscripts(words, 1) AS at FROM docs),
+kept AS (SELECT id, string_agg(word, ' ' ORDER BY at) AS text, count(*) AS n FROM placed ANTI JOIN removed USING (id, at) GROUP BY id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (id)
+"""
+
+
+@query(REPEATS_SQL)
+def op12_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the passages of 35 words and more that occur elsewhere, too."""
+    return repeats.without_repeats(table(spark, folder, "documents"))
+
+
+@query()
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """The tokens of two tokenizers aligned in every document."""
+    return alignment.aligned(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
