@@ -29,12 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import portions, stored
 
 #: Characters of a slice and of a block of documents, and bytes of units kept by a worker.
 SLICE, BLOCK_CHARS, TABLE_BYTES = 1 << 18, 1 << 20, 24 << 20
-#: A longer unit is tokenised each time.
-KEPT_UNIT = 200
 #: A unit begins with a space and has more than that: a space alone at the end stays with the unit before.
 _UNITS = re.compile(r"(?<=\S)(?= [\s\S])")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -48,7 +46,11 @@ def byte_letters() -> dict[str, int]:
 
 
 class Tokenizers:
-    """Both tokenizers, the bytes of every token, and a table of units seen so far."""
+    """Both tokenizers, the bytes of every token, and a bounded table of the units seen so far.
+
+    Unit number n has the A ids ``flat[0][first[0][n]:][:size[0][n]]``, and so on with 1 for B; a
+    unit whose bytes a tokenizer does not give back is marked in ``broken``.
+    """
 
     def __init__(self, byte_path: str, piece_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,45 +69,87 @@ class Tokenizers:
         self.piece_tokens = [bytes([int(m[1], 16)]) if (m := _BYTE_PIECE.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces]
         #: Units may be cut apart only if no piece holds a space behind another character.
         self.splits = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.names_a = [str(i) for i in range(len(self.byte_tokens))]
-        self.names_b = [str(i) for i in range(len(pieces))]
-        self.lengths_a = np.array([len(t) for t in self.byte_tokens], dtype=np.int64)
-        self.lengths_b = np.array([len(t) for t in self.piece_tokens], dtype=np.int64)
-        self.table: dict[str, tuple[list[int], list[int]] | None] = {}
-        self.held = 0
+        self.lengths = [np.array([len(t) for t in tokens], dtype=np.int64) for tokens in (self.byte_tokens, self.piece_tokens)]
+        # How ids are written: A ids before "," and "|", then B ids before "," and ";".
+        counts = (len(self.byte_tokens), len(pieces))
+        written = [f"{i}{end}".encode() for n, ends in zip(counts, (",|", ",;")) for end in ends for i in range(n)]
+        self.written = pa.array(written, pa.binary())
+        self.written_from = (0, counts[0], 2 * counts[0], 2 * counts[0] + counts[1])
+        self._empty()
+
+    def _empty(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.first = [np.zeros(0, dtype=np.int64) for _ in range(2)]
+        self.size = [np.zeros(0, dtype=np.int64) for _ in range(2)]
+        self.flat = [np.zeros(0, dtype=np.int64) for _ in range(2)]
+        self.broken = np.zeros(0, dtype=bool)
+        self.again = np.zeros(0, dtype=bool)
+        self.spelled = 0
+
+    def held(self) -> int:
+        """Bytes of the table, about: the units with their dictionary entries, and the arrays."""
+        return 150 * len(self.rows) + self.spelled + 34 * len(self.broken) + 8 * sum(map(len, self.flat))
+
+    def _make_room(self) -> None:
+        """Keep the units that were met again since the last time; none if they are too many."""
+        keep = np.flatnonzero(self.again)
+        units = [u for u, n in self.rows.items() if self.again[n]]
+        first, size, flat, broken = self.first, self.size, self.flat, self.broken
+        self._empty()
+        if 150 * len(units) > TABLE_BYTES // 2:
+            return
+        self.rows = {u: n for n, u in enumerate(units)}
+        self.spelled = sum(map(len, units))
+        self.broken, self.again = broken[keep], np.zeros(len(keep), dtype=bool)
+        for k in range(2):
+            self.flat[k] = _gathered(flat[k], first[k][keep], size[k][keep])
+            self.size[k] = size[k][keep]
+            self.first[k] = np.cumsum(self.size[k]) - self.size[k]
 
     def units(self, text: str) -> list[str]:
         return _UNITS.split(text) if self.splits else [text]
 
-    def _fresh(self, units: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """The ids of both for each unit (it begins with a space); None if their bytes are not the unit's."""
-        out: list[tuple[list[int], list[int]] | None] = []
-        a = [e.ids for e in self.byte.encode_batch_fast(units, add_special_tokens=False)]
-        b = self.piece.encode([u[1:] for u in units], num_threads=1)
-        for unit, x, y in zip(units, a, b):
-            raw = unit.encode("utf-8", "surrogatepass")
-            same = b"".join([self.byte_tokens[i] for i in x]) == raw == b"".join([self.piece_tokens[i] for i in y])
-            out.append((x, y) if same else None)
-        return out
-
-    def ids(self, units: list[str]) -> tuple[list[int], list[int]] | None:
-        """The ids of consecutive units by both tokenizers; None if bytes differ in one."""
-        new = [u for u in dict.fromkeys(units) if u not in self.table]
-        if new:
-            if self.held > TABLE_BYTES:
-                self.table.clear()
-                self.held = 0
-                new = list(dict.fromkeys(units))
-            known = dict(zip(new, self._fresh(new)))
-            kept = {u: v for u, v in known.items() if len(u) <= KEPT_UNIT}
-            self.table.update(kept)
-            self.held += sum(350 + 2 * len(u) + (16 * (len(v[0]) + len(v[1])) if v else 0) for u, v in kept.items())
-            found = [known[u] if u in known else self.table[u] for u in units]
-        else:
-            found = [self.table[u] for u in units]
-        if None in found:
+    def learn(self, units: list[str]) -> None:
+        """Tokenise the units that the table does not hold; each begins with a space."""
+        if self.held() > TABLE_BYTES:
+            self._make_room()
+        distinct = dict.fromkeys(units)
+        known = [self.rows.get(u, -1) for u in distinct]
+        self.again[[n for n in known if n >= 0]] = True
+        new = [u for u, n in zip(distinct, known) if n < 0]
+        if not new:
+            return
+        a = [e.ids for e in self.byte.encode_batch_fast(new, add_special_tokens=False)]
+        b = self.piece.encode([u[1:] for u in new], num_threads=1)
+        raw = [u.encode("utf-8", "surrogatepass") for u in new]
+        same = [
+            b"".join([self.byte_tokens[i] for i in x]) == r == b"".join([self.piece_tokens[i] for i in y]) for r, x, y in zip(raw, a, b)
+        ]
+        self.rows.update(zip(new, range(len(self.broken), len(self.broken) + len(new))))
+        self.spelled += sum(map(len, raw))
+        self.broken = np.append(self.broken, ~np.array(same))
+        self.again = np.append(self.again, np.zeros(len(new), dtype=bool))
+        for k, ids in enumerate((a, b)):
+            size = np.array([len(x) for x in ids], dtype=np.int64)
+            self.first[k] = np.append(self.first[k], len(self.flat[k]) + np.cumsum(size) - size)
+            self.size[k] = np.append(self.size[k], size)
+            self.flat[k] = np.append(self.flat[k], np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(size.sum())))
+
+    def ids(self, units: list[str]) -> list[np.ndarray] | None:
+        """The A and the B ids of consecutive units; None if bytes differ in one."""
+        at = [self.rows.get(u) for u in units]
+        if None in at:
+            self.learn(units)
+            at = [self.rows[u] for u in units]
+        at = np.array(at, dtype=np.int64)
+        if self.broken[at].any():
             return None
-        return list(chain.from_iterable([f[0] for f in found])), list(chain.from_iterable([f[1] for f in found]))
+        return [_gathered(self.flat[k], self.first[k][at], self.size[k][at]) for k in range(2)]
+
+
+def _gathered(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """flat[first[i]:first[i] + size[i]] of all i in a row."""
+    return flat[np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())]
 
 
 def groups(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, int]]:
@@ -149,19 +193,28 @@ def groups(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, in
     return out
 
 
+def _group_ends(stretches: list[tuple[int, int, int, int]], ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """How many A and B tokens lie up to the end of each group."""
+    p, q, r, s = np.array(stretches, dtype=np.int64).T
+    # A stretch is a run if its first tokens end together; an irregular group's do not, unless it is over with them.
+    run = np.array([ends_a[x] == ends_b[y] for x, y in zip(p.tolist(), r.tolist())]) & (q - p == s - r)
+    n = np.where(run, q - p, 1)
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + 1
+    run = np.repeat(run, n)
+    return np.where(run, np.repeat(p, n) + nth, np.repeat(q, n)), np.where(run, np.repeat(r, n) + nth, np.repeat(s, n))
+
+
 class Aligned:
     """What the alignment of one text gives: counts, the digest of its groups, its links."""
 
-    def __init__(self, tokenizers: Tokenizers, text: str):
+    def __init__(self, tokenizers: Tokenizers, text: str, units: list[str] | None = None):
         self.n_a = self.n_b = self.n_groups = 0
         self.sha = ""
         self.links = np.zeros(0, dtype=np.int64)
         if not text:
             return
-        digest, links, first = hashlib.sha256(), [], True
-        units, start = tokenizers.units(" " + text), 0
-        names_a, names_b = tokenizers.names_a, tokenizers.names_b
-        n_a = n_b = n_groups = 0
+        digest, links, n_a, n_b, start = hashlib.sha256(), [], 0, 0, 0
+        units = tokenizers.units(" " + text) if units is None else units
         while start < len(units):
             stop, size = start, 0
             while stop < len(units) and (size == 0 or size + len(units[stop]) <= SLICE):
@@ -171,23 +224,24 @@ class Aligned:
             if found is None:
                 return
             a, b = found
-            ends_a, ends_b = np.cumsum(tokenizers.lengths_a[a]).tolist(), np.cumsum(tokenizers.lengths_b[b]).tolist()
-            text_a, text_b = [names_a[x] for x in a], [names_b[x] for x in b]
-            written, last_a, last_b = [], [], []
-            for p, q, r, s in groups(ends_a, ends_b):
-                if q - p == s - r and (q - p == 1 or ends_a[p] == ends_b[r]):
-                    written += map("|".join, zip(text_a[p:q], text_b[r:s]))
-                    last_a += a[p:q]
-                    last_b += b[r:s]
-                else:
-                    written.append(",".join(text_a[p:q]) + "|" + ",".join(text_b[r:s]))
-                    last_a.append(a[q - 1])
-                    last_b.append(b[s - 1])
-            digest.update((("" if first else ";") + ";".join(written)).encode())
-            links.append((np.array(last_a, dtype=np.int64) << 32) | np.array(last_b, dtype=np.int64))
-            n_a, n_b, n_groups, first, start = n_a + len(a), n_b + len(b), n_groups + len(last_a), False, stop
-        self.n_a, self.n_b, self.n_groups, self.sha = n_a, n_b, n_groups, digest.hexdigest()
+            ends_a, ends_b = (np.cumsum(tokenizers.lengths[k][ids]).tolist() for k, ids in enumerate(found))
+            up_to_a, up_to_b = _group_ends(groups(ends_a, ends_b), ends_a, ends_b)
+            # Each id as it is written, the A ids of a group before its B ids.
+            own_a, own_b = np.diff(up_to_a, prepend=0), np.diff(up_to_b, prepend=0)
+            last_a, last_b = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)
+            last_a[up_to_a - 1], last_b[up_to_b - 1] = True, True
+            shown = np.empty(len(a) + len(b), dtype=np.int64)
+            at = tokenizers.written_from
+            shown[np.arange(len(a)) + np.repeat(up_to_b - own_b, own_a)] = a + np.where(last_a, at[1], at[0])
+            shown[np.arange(len(b)) + np.repeat(up_to_a, own_b)] = b + np.where(last_b, at[3], at[2])
+            written = tokenizers.written.take(pa.array(shown))
+            end = np.frombuffer(written.buffers()[1], dtype=np.int32, count=len(written) + 1)[-1]
+            start = stop
+            digest.update(memoryview(written.buffers()[2])[: end - (start == len(units))])  # no ";" behind the last group
+            links.append((a[up_to_a - 1] << 32) | b[up_to_b - 1])
+            n_a, n_b = n_a + len(a), n_b + len(b)
         self.links = np.concatenate(links)
+        self.n_a, self.n_b, self.n_groups, self.sha = n_a, n_b, len(self.links), digest.hexdigest()
 
 
 @functools.lru_cache(maxsize=1)
@@ -241,14 +295,19 @@ def _align(byte_path: str, piece_path: str):
         tokenizers = worker_tokenizers(byte_path, piece_path)
         names, found, size = [], [], 0
         for batch in batches:
-            for name, text in zip(batch.column(0), batch.column(1)):
-                text = text.as_py() or ""
-                if found and size + len(text) > BLOCK_CHARS:
+            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            for a, b in portions(texts, BLOCK_CHARS):
+                if found and size + sum(map(len, texts[a:b])) > BLOCK_CHARS:
                     yield _block(names, found)
                     names, found, size = [], [], 0
-                names.append(name.as_py())
-                found.append(Aligned(tokenizers, text))
-                size += len(text)
+                # The units of a block are learned together; those of a very long text slice by slice.
+                units = [tokenizers.units(" " + t) for t in texts[a:b]]
+                if b > a + 1:
+                    tokenizers.learn(list(chain.from_iterable(units)))
+                for i in range(a, b):
+                    names.append(ids[i])
+                    found.append(Aligned(tokenizers, texts[i], units[i - a]))
+                    size += len(texts[i])
         if found:
             yield _block(names, found)
 

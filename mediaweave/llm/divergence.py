@@ -27,6 +27,8 @@ TERM_RANKS = 200
 #: p is a share of this many parts, and one part more.
 PARTS = 1_000_000_000
 SLICE = 1 << 20
+#: Digests of repeated texts that may be broadcast: about 60 bytes each; beyond it texts are shuffled to them.
+BROADCAST_TEXTS = 300_000
 
 #: Letters A-Z, a-z and every byte of a non-ASCII character make terms.
 _BREAK = np.ones(256, dtype=bool)
@@ -112,14 +114,20 @@ def collapsed(docs: DataFrame) -> DataFrame:
     """(lang, text, sources) of the distinct texts of each language; sources are (source, copies).
 
     Only digests are counted by source, so a text in a third of all rows is one row of each task
-    before anything is shuffled; the array has an entry for each source, not for each copy.
+    before anything is shuffled; the array has an entry for each source, not for each copy.  Texts
+    that occur once stay where they are as long as the others' digests are few enough to send.
     """
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
+    rows = rows.withColumn("digest", F.unhex(F.substring(F.sha2("text", 256), 1, 32)))
     copies = rows.groupBy("lang", "digest", "source").agg(F.count(F.lit(1)).alias("copies"))
-    copies = copies.groupBy("lang", "digest").agg(F.collect_list(F.struct("source", "copies")).alias("sources"))
-    texts = rows.groupBy("lang", "digest").agg(F.first("text").alias("text"))
-    return texts.join(copies, ["lang", "digest"]).select("lang", "text", "sources")
+    copies = copies.groupBy("lang", "digest").agg(F.collect_list(F.struct("source", "copies")).alias("sources"), F.sum("copies").alias("n"))
+    several = stored(copies.where("n > 1").select("lang", "digest", "sources"), "copies")
+    keys = several.select("lang", "digest")
+    keys = F.broadcast(keys) if several.count() <= BROADCAST_TEXTS else keys
+    once = rows.join(keys, ["lang", "digest"], "left_anti")
+    once = once.select("lang", "text", F.array(F.struct("source", F.lit(1).cast("long").alias("copies"))).alias("sources"))
+    texts = rows.join(keys, ["lang", "digest"], "left_semi").groupBy("lang", "digest").agg(F.first("text").alias("text"))
+    return once.unionByName(texts.join(several, ["lang", "digest"]).select("lang", "text", "sources"))
 
 
 def _share(count: Column, total: Column, kept: Column) -> Column:

@@ -195,7 +195,7 @@ WITH docs AS (
 starts AS (SELECT id, words, unnest(range(1, len(words) - 33)) AS place FROM docs),
 windows AS (SELECT id, place, md5(array_to_string(list_slice(words, place, place + 34), ' ')) AS mark FROM starts),
 repeated AS (SELECT id, place FROM windows WHERE mark IN (SELECT mark FROM windows GROUP BY mark HAVING count(*) > 1)),
-removed AS (SELECT DISTINCT id, unnest(range(at, at + 35)) AS place FROM repeated),
+removed AS (SELECT DISTINCT id, unnest(range(place, place + 35)) AS place FROM repeated),
 placed AS (SELECT id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM docs),
 kept AS (SELECT id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n FROM placed ANTI JOIN removed USING (id, place) GROUP BY id)
 SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,

@@ -234,8 +234,7 @@ def test_slices_and_small_tables_give_the_same_rows(spark, documents, monkeypatc
     whole = alignment.Tokenizers(tokenizer_path(BYTE), tokenizer_path(PIECE))
     wanted = [alignment.Aligned(whole, t or "") for t in texts]
     monkeypatch.setattr(alignment, "SLICE", 50)
-    monkeypatch.setattr(alignment, "TABLE_BYTES", 20_000)
-    monkeypatch.setattr(alignment, "KEPT_UNIT", 6)
+    monkeypatch.setattr(alignment, "TABLE_BYTES", 40_000)
     small = alignment.Tokenizers(tokenizer_path(BYTE), tokenizer_path(PIECE))
     for text, w in zip(texts, wanted):
         got = alignment.Aligned(small, text or "")
