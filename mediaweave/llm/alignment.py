@@ -33,6 +33,8 @@ from .common import portions, stored
 
 #: Characters of a slice and of a block of documents, and bytes of units kept by a worker.
 SLICE, BLOCK_CHARS, TABLE_BYTES = 1 << 18, 1 << 20, 24 << 20
+#: Characters of new units tokenised in a row.
+ROW = 1 << 12
 #: A unit begins with a space and has more than that: a space alone at the end stays with the unit before.
 _UNITS = re.compile(r"(?<=\S)(?= [\s\S])")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -70,6 +72,7 @@ class Tokenizers:
         #: Units may be cut apart only if no piece holds a space behind another character.
         self.splits = not any("▁" in p.lstrip("▁") for p in pieces)
         self.lengths = [np.array([len(t) for t in tokens], dtype=np.int64) for tokens in (self.byte_tokens, self.piece_tokens)]
+        self.spelling = [pa.array(tokens, pa.binary()) for tokens in (self.byte_tokens, self.piece_tokens)]
         # How ids are written: A ids before "," and "|", then B ids before "," and ";".
         counts = (len(self.byte_tokens), len(pieces))
         written = [f"{i}{end}".encode() for n, ends in zip(counts, (",|", ",;")) for end in ends for i in range(n)]
@@ -119,34 +122,71 @@ class Tokenizers:
         new = [u for u, n in zip(distinct, known) if n < 0]
         if not new:
             return
-        a = [e.ids for e in self.byte.encode_batch_fast(new, add_special_tokens=False)]
-        b = self.piece.encode([u[1:] for u in new], num_threads=1)
-        raw = [u.encode("utf-8", "surrogatepass") for u in new]
-        same = [
-            b"".join([self.byte_tokens[i] for i in x]) == r == b"".join([self.piece_tokens[i] for i in y]) for r, x, y in zip(raw, a, b)
-        ]
-        self.rows.update(zip(new, range(len(self.broken), len(self.broken) + len(new))))
-        self.spelled += sum(map(len, raw))
-        self.broken = np.append(self.broken, ~np.array(same))
-        self.again = np.append(self.again, np.zeros(len(new), dtype=bool))
-        for k, ids in enumerate((a, b)):
-            size = np.array([len(x) for x in ids], dtype=np.int64)
-            self.first[k] = np.append(self.first[k], len(self.flat[k]) + np.cumsum(size) - size)
-            self.size[k] = np.append(self.size[k], size)
-            self.flat[k] = np.append(self.flat[k], np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(size.sum())))
+        # Units that end in a character other than white space may be tokenised in a row.
+        self._add([u for u in new if not u[-1].isspace()], ROW)
+        self._add([u for u in new if u[-1].isspace()], 0)
+
+    def _add(self, units: list[str], limit: int) -> None:
+        """Enter units, tokenised in rows of about ``limit`` characters."""
+        if not units:
+            return
+        bounds = _rows_of(units, limit)
+        rows = ["".join(units[x:y]) for x, y in zip(bounds, bounds[1:])]
+        a = [e.ids for e in self.byte.encode_batch_fast(rows, add_special_tokens=False)]
+        b = self.piece.encode([r[1:] for r in rows], num_threads=1)
+        raw = [u.encode("utf-8", "surrogatepass") for u in units]
+        size = np.array([len(r) for r in raw], dtype=np.int64)
+        ends, whole = np.cumsum(size), b"".join(raw)
+        flat = [np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=sum(map(len, ids))) for ids in (a, b)]
+        up_to = [np.cumsum(self.lengths[k][flat[k]]) for k in range(2)]
+        cut = [np.searchsorted(u, ends, side="right") for u in up_to]
+        good = all(len(u) and u[-1] == ends[-1] and (u[c - 1] == ends).all() for u, c in zip(up_to, cut))
+        if not (good and all(self._spelled(k, flat[k]) == whole for k in range(2))):
+            # Some bytes are not given back: find out which units' are not.
+            if len(units) > 1:
+                self._add(units[: len(units) // 2], limit)
+                self._add(units[len(units) // 2 :], limit)
+                return
+            cut = [np.array([len(f)]) for f in flat]
+        self.rows.update(zip(units, range(len(self.broken), len(self.broken) + len(units))))
+        self.spelled += len(whole)
+        self.broken = np.append(self.broken, np.full(len(units), not good))
+        self.again = np.append(self.again, np.zeros(len(units), dtype=bool))
+        for k in range(2):
+            first = np.concatenate([[0], cut[k][:-1]])
+            self.first[k] = np.append(self.first[k], len(self.flat[k]) + first)
+            self.size[k] = np.append(self.size[k], cut[k] - first)
+            self.flat[k] = np.append(self.flat[k], flat[k])
+
+    def _spelled(self, k: int, ids: np.ndarray) -> bytes:
+        """The bytes of some tokens in a row."""
+        taken = self.spelling[k].take(pa.array(ids))
+        end = np.frombuffer(taken.buffers()[1], dtype=np.int32, count=len(taken) + 1)[-1]
+        return taken.buffers()[2][:end].to_pybytes()
 
     def ids(self, units: list[str]) -> list[np.ndarray] | None:
         """The A and the B ids of consecutive units; None if bytes differ in one."""
-        at = [self.rows.get(u) for u in units]
-        if None in at:
+        try:
+            at = np.fromiter(map(self.rows.__getitem__, units), dtype=np.int64, count=len(units))
+        except KeyError:
             self.learn(units)
-            at = [self.rows[u] for u in units]
-        at = np.array(at, dtype=np.int64)
+            at = np.fromiter(map(self.rows.__getitem__, units), dtype=np.int64, count=len(units))
         if self.broken[at].any():
             return None
         return [_gathered(self.flat[k], self.first[k][at], self.size[k][at]) for k in range(2)]
 
 
+def _rows_of(units: list[str], limit: int) -> list[int]:
+    """Bounds of rows of about ``limit`` characters, one unit at least."""
+    ends = np.cumsum([len(u) for u in units])
+    at, row = [0], limit
+    while at[-1] < len(units):
+        stop = max(at[-1] + 1, int(np.searchsorted(ends, row, side="right")))
+        at.append(stop)
+        row = int(ends[stop - 1]) + limit
+    return at
+
+
 def _gathered(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """flat[first[i]:first[i] + size[i]] of all i in a row."""
     return flat[np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())]
@@ -193,11 +233,11 @@ def groups(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, in
     return out
 
 
-def _group_ends(stretches: list[tuple[int, int, int, int]], ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def _group_ends(stretches: list[tuple[int, int, int, int]], ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How many A and B tokens lie up to the end of each group."""
     p, q, r, s = np.array(stretches, dtype=np.int64).T
     # A stretch is a run if its first tokens end together; an irregular group's do not, unless it is over with them.
-    run = np.array([ends_a[x] == ends_b[y] for x, y in zip(p.tolist(), r.tolist())]) & (q - p == s - r)
+    run = (ends_a[p] == ends_b[r]) & (q - p == s - r)
     n = np.where(run, q - p, 1)
     nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + 1
     run = np.repeat(run, n)
@@ -216,7 +256,7 @@ class Aligned:
         digest, links, n_a, n_b, start = hashlib.sha256(), [], 0, 0, 0
         units = tokenizers.units(" " + text) if units is None else units
         while start < len(units):
-            stop, size = start, 0
+            stop, size = (len(units), 0) if len(text) < SLICE else (start, 0)
             while stop < len(units) and (size == 0 or size + len(units[stop]) <= SLICE):
                 size += len(units[stop])
                 stop += 1
@@ -224,8 +264,8 @@ class Aligned:
             if found is None:
                 return
             a, b = found
-            ends_a, ends_b = (np.cumsum(tokenizers.lengths[k][ids]).tolist() for k, ids in enumerate(found))
-            up_to_a, up_to_b = _group_ends(groups(ends_a, ends_b), ends_a, ends_b)
+            ends_a, ends_b = (np.cumsum(tokenizers.lengths[k][ids]) for k, ids in enumerate(found))
+            up_to_a, up_to_b = _group_ends(groups(ends_a.tolist(), ends_b.tolist()), ends_a, ends_b)
             # Each id as it is written, the A ids of a group before its B ids.
             own_a, own_b = np.diff(up_to_a, prepend=0), np.diff(up_to_b, prepend=0)
             last_a, last_b = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)
