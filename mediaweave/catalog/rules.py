@@ -44,6 +44,30 @@ def topics_flat(t: Given) -> DataFrame:
     return rules.flat_topics(t.documents.select(F.col("doc_id").cast("string").alias("video_id"), topics.alias("key_topics")))
 
 
+@query("""WITH lines AS (
+  SELECT doc_id, source, lang, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+SELECT doc_id::VARCHAR AS video_id, lang AS topic, line AS subtopic, CASE WHEN i % 2 = 1 THEN '00:01:02' END AS timestamp,
+       CASE WHEN i % 2 = 1 THEN source END AS detail FROM lines
+UNION ALL SELECT doc_id::VARCHAR, source, NULL, NULL, NULL FROM documents
+UNION ALL SELECT doc_id::VARCHAR, doc_id::VARCHAR, NULL, NULL, NULL FROM documents
+UNION ALL SELECT doc_id::VARCHAR, 'none', NULL, NULL, NULL FROM documents
+UNION ALL SELECT doc_id::VARCHAR, 'one', source, NULL, NULL FROM documents
+UNION ALL SELECT doc_id::VARCHAR, NULL, 'lost', NULL, NULL FROM documents""")
+def topics_mixed(t: Given) -> DataFrame:
+    """Key topics of different shapes: objects, plain items, a number, a missing list, a list of another type."""
+    quoted = lambda c: F.substring(F.to_json(F.array(c)), 2, 1 << 30)  # noqa: E731  "text"]
+    part = lambda x, i: F.when(
+        i % 2 == 0, F.to_json(F.struct(x.alias("subtopic"), F.lit("1:02").alias("timestamp"), F.col("source").alias("detail")))
+    ).otherwise(F.rtrim(quoted(x), F.lit("]")))
+    lines = F.array_join(F.transform(F.split("text", "\n"), part), ",")
+    source = F.rtrim(quoted(F.col("source")), F.lit("]"))
+    whole = F.concat(
+        F.lit('[{"topic":"'), F.col("lang"), F.lit('","subtopics":['), lines, F.lit("]},"), source, F.lit(","), F.col("doc_id").cast("string"),
+        F.lit(',null,{"topic":"none"},{"topic":"one","subtopics":'), source, F.lit('},{"subtopics":[null,"lost"]}]'),
+    )
+    return rules.flat_topics(t.documents.select(F.col("doc_id").cast("string").alias("video_id"), whole.alias("key_topics")))
+
+
 @query(r"""WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
 SELECT doc_id, i::INTEGER AS number, '00:' || lpad((i // 60 % 60)::VARCHAR, 2, '0') || ':' || lpad((i % 60)::VARCHAR, 2, '0') AS start,
@@ -77,6 +101,34 @@ def tag_audit(t: Given) -> DataFrame:
     return rows.select("doc_id", *[c.alias(n) for n, c in rules.tag_audit(F.col("tags")).items()])
 
 
+@query(AUDIT_SQL.replace("len(tags) = 10", "len(tags) >= 20").replace("@F", "(" + ", ".join(f"'{f.lower()}'" for f in rules.FILLER_TAGS) + ")"))
+def transcript_tag_audit(t: Given) -> DataFrame:
+    """The same with the number that transcripts need: twenty and up."""
+    rows = t.documents.select("doc_id", F.split("text", r"\. ").alias("tags"))
+    return rows.select("doc_id", *[c.alias(n) for n, c in rules.tag_audit(F.col("tags"), 20, None).items()])
+
+
+SENTENCES_SQL = rf"""string_split(regexp_replace(regexp_replace(regexp_replace(text, '\b({rules.SHORTENED})\.(\s)', '\1\2', 'g'),
+  '{rules.SENTENCE_END.replace("'", "''")}', '\1' || chr(1) || '\2', 'g'), '([。！？])', '\1' || chr(1), 'g'), chr(1))"""
+
+
+@query(rf"""WITH t AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines, {SENTENCES_SQL} AS sentences FROM documents),
+n AS (SELECT *, list_transform(lines, lambda x: lower(trim(x, ' '))) AS names FROM t)
+SELECT doc_id, 2 + doc_id % 10 <= 10 AS topics_in_range, len(lines) <= 10 AS subtopics_in_range,
+  len(names) = len(list_distinct(names)) AS subtopics_unique, CASE WHEN doc_id % 3 = 0 THEN len(lines) ELSE 0 END::INTEGER AS bad_times,
+  len(list_filter(sentences, lambda x: regexp_matches(x, '[\p{{L}}\p{{N}}]'))) BETWEEN 2 AND 5 AS summary_in_range FROM n""")
+def topics_audit(t: Given) -> DataFrame:
+    """The lines of every document audited as subtopics of one of several topics, its text as the summary."""
+    at = F.when(F.col("doc_id") % 3 == 0, "1:02").otherwise("00:01:02")
+    parts = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("subtopic"), at.alias("timestamp"), F.lit("").alias("detail")))
+    first = F.array(F.struct(F.col("lang").alias("topic"), parts.alias("subtopics")))
+    none = F.array().cast(parts_type := "array<struct<subtopic:string,timestamp:string,detail:string>>")
+    more = F.transform(F.sequence(F.lit(0), F.col("doc_id") % 10), lambda i: F.struct(i.cast("string").alias("topic"), none.alias("subtopics")))
+    topics = F.concat(first.cast(f"array<struct<topic:string,subtopics:{parts_type}>>"), more)
+    return t.documents.select("doc_id", *[c.alias(n) for n, c in rules.topics_audit(topics, F.col("text")).items()])
+
+
 @query(f"""SELECT conv_id, turn, len(list_filter([{", ".join(f"{_phrase_sql('text', p)}" for p in rules.SPONSOR_PHRASES)}], lambda x: x))::INTEGER AS n_phrases,
   list_filter([{", ".join(f"CASE WHEN {_phrase_sql('text', p)} THEN {_quoted(p)} END" for p in rules.SPONSOR_PHRASES)}], lambda x: x IS NOT NULL)[1] AS first_phrase,
   CASE WHEN (turn % 2 = 0 AND ({_any_sql('text', rules.CALLS, rules.OFFERS, rules.PUSHES, rules.PLACES, rules.THANKS, rules.PARTNERS)}))

@@ -126,9 +126,53 @@ def handle_class(handle: Column, text: Column) -> Column:
 # -- topics and cues ----------------------------------------------------------
 
 
+SUBTOPIC = "struct<subtopic:string,timestamp:string,detail:string>"
+
+
+def _items(value: Column) -> Column:
+    """The items of a VARIANT as an array: a list's own, any other value as the one item, none of NULL and ''."""
+    several = F.try_variant_get(value, "$", "array<variant>")
+    none = value.isNull() | F.is_variant_null(value) | F.coalesce(F.try_variant_get(value, "$", "string") == "", F.lit(False))
+    return F.filter(
+        F.coalesce(several, F.when(none, F.array().cast("array<variant>")).otherwise(F.array(value))),
+        lambda x: x.isNotNull() & ~F.is_variant_null(x),
+    )
+
+
+def _part(item: Column, name: str) -> Column:
+    """A named part of an object item as text; of a plain item nothing."""
+    return F.try_variant_get(item, f"$.{name}", "string")
+
+
+def _is_object(item: Column) -> Column:
+    return F.schema_of_variant(item).startswith("OBJECT")
+
+
 def typed_topics(text: Column) -> Column:
-    """Key topics stored as JSON text, as typed values; what is no list of topics has none."""
-    return F.coalesce(F.from_json(text, TOPICS_TYPE), F.array().cast(TOPICS_TYPE))
+    """Key topics stored as JSON text, as typed values, item by item.
+
+    An item that is no object is a topic (or subtopic) of that name; a missing list, or one of
+    another type, is read as ``normalize_list`` reads it: none, or the one value.  An item of an
+    unexpected shape never costs its neighbours.  Text that is no JSON has no topics.
+    """
+
+    def subtopic(item: Column) -> Column:
+        plain = F.try_variant_get(item, "$", "string")
+        return F.struct(
+            F.when(_is_object(item), _part(item, "subtopic")).otherwise(plain).alias("subtopic"),
+            F.when(_is_object(item), _part(item, "timestamp")).alias("timestamp"),
+            F.when(_is_object(item), _part(item, "detail")).alias("detail"),
+        )
+
+    def topic(item: Column) -> Column:
+        parts = F.transform(_items(F.try_variant_get(item, "$.subtopics", "variant")), subtopic)
+        return F.struct(
+            F.when(_is_object(item), _part(item, "topic")).otherwise(F.try_variant_get(item, "$", "string")).alias("topic"),
+            F.when(_is_object(item), parts).otherwise(F.array().cast(f"array<{SUBTOPIC}>")).alias("subtopics"),
+        )
+
+    found = F.transform(_items(F.try_parse_json(text)), topic)
+    return F.coalesce(found, F.array().cast(TOPICS_TYPE))
 
 
 def flat_topics(summaries: DataFrame, topics: str = "key_topics") -> DataFrame:
@@ -163,8 +207,11 @@ def srt_cues(text: Column) -> Column:
 # -- audit --------------------------------------------------------------------
 
 
-def tag_audit(tags: Column, wanted: int = 10) -> dict[str, Column]:
-    """What of a tag list keeps the rules: its number, and how many tags break each rule."""
+def tag_audit(tags: Column, least: int = 10, most: int | None = 10) -> dict[str, Column]:
+    """What of a tag list keeps the rules: its number, and how many tags break each rule.
+
+    Captions have exactly ten tags; transcripts twenty and up (``least=20, most=None``).
+    """
 
     def broken(test) -> Column:
         return F.size(F.filter(tags, lambda x: ~test(x)))
@@ -172,7 +219,7 @@ def tag_audit(tags: Column, wanted: int = 10) -> dict[str, Column]:
     words = lambda x: F.size(F.split(F.trim(x), r"\s+"))
     return {
         "n_tags": F.size(tags),
-        "right_number": F.size(tags) == wanted,
+        "right_number": (F.size(tags) >= least) & (F.lit(True) if most is None else F.size(tags) <= most),
         "bad_words": broken(lambda x: words(x).between(1, 4)),
         "bad_case": broken(lambda x: x.rlike(r"^(?:[A-Z0-9]\S*)(?: [A-Z0-9]\S*)*$")),
         "bad_charset": broken(lambda x: x.rlike("^[A-Za-z0-9 ]+$")),
@@ -181,6 +228,19 @@ def tag_audit(tags: Column, wanted: int = 10) -> dict[str, Column]:
     }
 
 
+# Shortened words whose full stop ends no sentence.
+SHORTENED = "Mr|Mrs|Ms|Dr|Prof|St|Sr|Jr|vs|No|Vol|e\\.g|i\\.e|a\\.m|p\\.m"
+#: What ends a sentence: a mark, perhaps a closing quote or bracket, space, and a capital, a digit or a letter without case.
+SENTENCE_END = r"""([.!?]["')\]]?)\s+(["'(\[]?[\p{Lu}\p{Lo}\p{N}])"""
+
+
+def sentences(text: Column) -> Column:
+    """The sentences of a text; full stops of numbers and of shortened words do not end one."""
+    plain = F.regexp_replace(text, rf"\b({SHORTENED})\.(\s)", "$1$2")
+    parts = F.split(F.regexp_replace(F.regexp_replace(plain, SENTENCE_END, "$1\u0001$2"), "([。！？])", "$1\u0001"), "\u0001")
+    return F.filter(parts, lambda x: x.rlike(r"[\p{L}\p{N}]"))
+
+
 def topics_audit(topics: Column, summary: Column) -> dict[str, Column]:
     """What of typed topics and a summary keeps the rules."""
     parts = F.flatten(F.transform(topics, lambda t: F.coalesce(t["subtopics"], F.array().cast("array<struct<subtopic:string,timestamp:string,detail:string>>"))))
@@ -190,5 +250,5 @@ def topics_audit(topics: Column, summary: Column) -> dict[str, Column]:
         "subtopics_in_range": F.forall(topics, lambda t: F.coalesce(F.size(t["subtopics"]), F.lit(0)) <= 10),
         "subtopics_unique": F.size(names) == F.size(F.array_distinct(names)),
         "bad_times": F.size(F.filter(parts, lambda s: s["timestamp"].isNotNull() & ~s["timestamp"].rlike(r"^\d{2}:\d{2}:\d{2}$"))),
-        "summary_in_range": let(F.size(F.filter(F.split(summary, r"[.!?]+"), lambda x: F.trim(x) != "")), lambda n: n.between(2, 5)),
+        "summary_in_range": let(F.size(sentences(summary)), lambda n: n.between(2, 5)),
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,6 +73,30 @@ def capped_work(todo: DataFrame, failures: DataFrame, order: str, cap: int) -> D
     return first_rows(marked, [F.col("_failed").asc(), F.col(order).asc()], cap).drop("_failed")
 
 
+def last_place(outcomes: DataFrame, place: str, ok: Column, cap: int) -> int | None:
+    """The place of the ``cap``-th success, None if there are fewer.  Only one number is collected."""
+    hits = first_rows(outcomes.filter(ok).select(place), [F.col(place).asc()], cap)
+    found = hits.agg(F.count("*").alias("n"), F.max(place).alias("place")).first()
+    return found["place"] if found["n"] >= cap else None
+
+
+def until_successes(outcomes: DataFrame, place: str, ok: Column, cap: int) -> DataFrame:
+    """The outcomes up to the ``cap``-th success in the order of ``place`` (0: all).
+
+    What lies behind it was not reached by a run that counts successes, whatever its outcome.
+    """
+    last = None if cap <= 0 else last_place(outcomes, place, ok, cap)
+    return outcomes if last is None else outcomes.filter(F.col(place) <= last)
+
+
+def success_pages(cap: int, total: int) -> Iterator[tuple[int, int]]:
+    """Ranges of places to try one after the other until enough have succeeded, each twice the last."""
+    low, size = 0, max(cap, 1)
+    while low < total:
+        yield low, min(low + size, total)
+        low, size = low + size, 2 * size
+
+
 # -- positions ----------------------------------------------------------------
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..config import checked_identifier
+from ..functions.text import is_blank
 
 
 def last_wins(df: DataFrame, keys: list[str], seq: list[str], drop_seq: bool = False) -> DataFrame:
@@ -27,13 +29,14 @@ def keyed_union(old: DataFrame, new: DataFrame, keys: list[str], seq: list[str])
     return last_wins(both, keys, ["_new", *seq]).drop("_new")
 
 
-def _spread(df: DataFrame, keys: list[str]) -> Column:
-    """0, or a hash of the row where a key is NULL."""
-    keyless = F.col(keys[0]).isNull()
-    for key in keys[1:]:
-        keyless = keyless | F.col(key).isNull()
-    spread = F.when(keyless, F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("bigint"))
-    return spread.alias("_spread")
+def usable_key(df: DataFrame, keys: list[str]) -> Column:
+    """Whether a row can be found by its key: no part is NULL, no text part is blank."""
+    usable = F.lit(True)
+    for key in keys:
+        usable = usable & F.col(key).isNotNull()
+        if isinstance(df.schema[key].dataType, StringType):
+            usable = usable & ~is_blank(F.col(key))
+    return usable
 
 
 def merge(
@@ -48,21 +51,22 @@ def merge(
     other columns stay, unmatched updates are inserted when ``insert``.
 
     ``updates`` has one row per key (see ``last_wins``).  ``touch`` gives columns
-    set on matched rows only.  One join; both sides are read once.  Keys are
-    unique, so no partition is hot, but for rows without a key: they match
-    nothing and are spread by a hash of their other columns.
+    set on matched rows only.  Keys are unique, so no partition of the join is
+    hot.  Rows without a usable key (NULL or blank) match nothing: those of the
+    target stay as they are and never reach the join, those of the updates are
+    inserted, whatever their number.
     """
     columns = target.columns
     present = [c for c in updates.columns if c not in keys and c in columns]
     changed = present if set_columns is None else set_columns
-    new = updates.select(
+    found = usable_key(target, keys)
+    new = updates.filter(usable_key(updates, keys)).select(
         *keys,
         *[F.col(c).alias(f"_new_{c}") for c in changed],
         F.lit(True).alias("_updated"),
-        _spread(updates, keys),
     )
-    old = target.select("*", F.lit(True).alias("_existing"), _spread(target, keys))
-    joined = old.join(new, [*keys, "_spread"], "full_outer" if insert else "left_outer")
+    old = target.filter(found).select("*", F.lit(True).alias("_existing"))
+    joined = old.join(new, keys, "full_outer" if insert else "left_outer")
     updated = F.col("_updated").isNotNull()
     matched = updated & F.col("_existing").isNotNull()
 
@@ -75,7 +79,14 @@ def merge(
             return F.when(matched, touch[name]).otherwise(current)
         return current
 
-    return joined.select([value(c).alias(c) for c in columns])
+    merged = joined.select([value(c).alias(c) for c in columns])
+    aside = target.filter(~found)
+    if insert:
+        keyless = updates.filter(~usable_key(updates, keys))
+        given = [c for c in columns if c in keys or c in changed]
+        keyless = keyless.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in given])
+        aside = aside.unionByName(keyless, allowMissingColumns=True)
+    return merged.unionByName(aside)
 
 
 def merge_into_table(

@@ -87,6 +87,14 @@ def running_total(df: DataFrame, order: list[Column], weight: str, name: str) ->
     return total.withColumn(name, F.col("_offset") + F.col("_inside")).select(*df.columns, name)
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Add ``name``: the row's place from 0 in ``order``, fixed by a checkpoint."""
+    placed = _placed(df, order)
+    offsets = _partition_offsets(placed, F.count("*"))
+    found = placed.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_offset") + F.col("_pos"))
+    return found.select(*df.columns, name)
+
+
 def first_rows_by_group(
     df: DataFrame, group: str, order: list[Column], limit: int, small: int = SMALL_LIMIT
 ) -> DataFrame:

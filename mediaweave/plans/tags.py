@@ -14,11 +14,13 @@ from ..operators import candidates, ledger
 from ..operators.candidates import PAIR
 from ..operators.merge import merge
 from ..operators.metrics import reason_histogram
+from ..operators.ranking import numbered
 from ..sources.clients import (
-    ClientFactory, answer_schema, generate_answers, request_hash, stage_once,
+    ClientFactory, answer_schema, best_answers, generate_answers, request_hash, stage_once,
 )
 from ..sources.tables import StagedResults, VersionedTable, written
 
+PLACE = "_place"
 TAG_COLUMNS = [
     "topic_tags", "is_sponsorship", "brand_name", "associated_brand", "associated_mention",
 ]
@@ -65,24 +67,60 @@ def failed_pairs(failures: DataFrame) -> DataFrame:
     return pairs.filter((F.col("user_id") != "") & (F.col("post_id") != ""))
 
 
+def _staged(tables: TagTables, requests: DataFrame, version: int) -> StagedResults:
+    """The answers' folder goes with the state of the tag table, so that a lost run
+    finds its answers again and a later run asks anew."""
+    return StagedResults(tables.docs.spark, f"{tables.staging}/{version}", answer_schema(requests, PAIR))
+
+
 def _ask(
-    work: DataFrame, tables: TagTables, factory: ClientFactory, config: JobConfig
+    work: DataFrame, tables: TagTables, factory: ClientFactory, config: JobConfig, page: int = 0
 ) -> DataFrame:
-    """Results for posts with captions; posts, answers and results are each written once.
-
-    The answers' folder goes with the state of the tag table, so that a lost run
-    finds its answers again and a later run asks anew.
-    """
-    work = written(work, f"{tables.staging}-work")
+    """Results for posts with captions; posts, answers and results are each written once."""
+    work = written(work, f"{tables.staging}-work-{page}")
     requests = tag_requests(work, config.prompt_template)
-    folder = f"{tables.staging}/{tables.tags.version()}"
-    staged = StagedResults(tables.docs.spark, folder, answer_schema(requests, PAIR))
+    staged = _staged(tables, requests, tables.tags.version())
     answers = stage_once(
         requests, PAIR, staged,
         lambda df, parts: generate_answers(df, PAIR, factory, parts), config,
     )
     kept = ["_id", *PAIR, "ok", "reason", "skip_retry", "quota_fail", *TAG_COLUMNS]
-    return written(tag_results(work, answers).select(*kept), f"{tables.staging}-results")
+    kept = [c for c in [*kept, PLACE] if c in kept or c in work.columns]
+    return written(tag_results(work, answers).select(*kept), f"{tables.staging}-results-{page}")
+
+
+def _ask_until(
+    lanes: DataFrame, tables: TagTables, factory: ClientFactory, config: JobConfig
+) -> tuple[DataFrame, DataFrame]:
+    """Results up to the capped number of tagged posts, in one fixed order, and those behind it.
+
+    Posts are numbered once.  Pages of places are asked, each twice the last, until enough
+    answers pass the gate; so the number of pages grows with the logarithm of the posts tried.
+    """
+    placed = numbered(lanes, [F.col(c).asc() for c in ("_id", *PAIR)], PLACE)
+    captions = candidates.latest_captions(tables.captions.read(), wanted=placed)
+    work = written(candidates.attach_captions(placed, captions), f"{tables.staging}-order")
+    results, last = None, None
+    for page, (low, high) in enumerate(ledger.success_pages(config.cap, placed.count())):
+        part = work.filter((F.col(PLACE) >= low) & (F.col(PLACE) < high))
+        part = _ask(part, tables, factory, config, page)
+        results = part if results is None else results.unionByName(part)
+        last = ledger.last_place(results, PLACE, F.col("ok"), config.cap)
+        if last is not None:
+            break
+    if results is None:
+        results = _ask(work, tables, factory, config)
+    reached = F.lit(True) if last is None else F.col(PLACE) <= last
+    return results.filter(reached).drop(PLACE), results.filter(~reached).drop(PLACE)
+
+
+def _keep_surplus(tables: TagTables, behind: DataFrame, version: int) -> None:
+    """Good answers behind the cap go to the next run's folder, so that they are not paid for again."""
+    old = _staged(tables, behind, version)
+    names = [*PAIR, "request_hash"]
+    good = behind.filter("ok").select(*PAIR)
+    spare = best_answers(old.read(), names).join(good, PAIR, "left_semi")
+    _staged(tables, behind, tables.tags.version()).append(spare)
 
 
 def _failure_keys(results: DataFrame) -> DataFrame:
@@ -93,42 +131,28 @@ def _failure_keys(results: DataFrame) -> DataFrame:
 def run(tables: TagTables, factory: ClientFactory, config: JobConfig) -> DataFrame:
     """Tag every post without tags, failed ones again, dead ones not. Returns reasons.
 
-    A cap counts tagged posts: as long as some are left to tag, further posts
-    behind the last ones are taken.
+    A cap counts tagged posts: posts that fail on the way do not use it up.  The tag table and
+    the ledger are written once; posts behind the cap are left as they were.
     """
-    reasons: dict[str, int] = {}
-    last, left = None, config.cap
-    while True:
-        results, last = _pass(tables, factory, config, last, left)
-        for row in reason_histogram(results).collect():
-            reasons[row["reason"]] = reasons.get(row["reason"], 0) + row["n"]
-        left = config.cap - reasons.get("ok", 0)
-        if config.cap == 0 or last is None or left <= 0:
-            break
-    rows = sorted(reasons.items())
-    return tables.docs.spark.createDataFrame(rows, "reason STRING, n BIGINT")
-
-
-def _pass(
-    tables: TagTables, factory: ClientFactory, config: JobConfig, last: list | None, size: int
-) -> tuple[DataFrame, list | None]:
-    """Tag the next ``size`` posts behind ``last`` (0: all); gives the results and the last key."""
     failures = tables.failures.read()
     docs = candidates.posts_with_keys(tables.docs.read(), config.location_id)
     todo = candidates.without_tags(docs, tables.tags.read(), dead_pairs(failures))
     retry = failed_pairs(failures).withColumn("_id", F.lit(""))
     retry = candidates.without_tags(retry, tables.tags.read()).select("_id", *PAIR)
     lanes = ledger.retry_and_fresh(retry, todo, PAIR).drop("lane")
-    order = ["_id", *PAIR]
-    lanes = candidates.key_page(lanes, order, last, size)
-    captions = candidates.latest_captions(tables.captions.read(), wanted=lanes)
-    results = _ask(candidates.attach_captions(lanes, captions), tables, factory, config)
+    before = tables.tags.version()
+    if config.cap > 0:
+        results, behind = _ask_until(lanes, tables, factory, config)
+    else:
+        captions = candidates.latest_captions(tables.captions.read(), wanted=lanes)
+        results, behind = _ask(candidates.attach_captions(lanes, captions), tables, factory, config), None
     tables.tags.replace(merge_tags(tables.tags.read(), results))
+    if behind is not None:
+        _keep_surplus(tables, behind, before)
     counted = ledger.count_attempts(failures, _failure_keys(results), config.max_attempts)
     fixed = results.filter("ok").select(pair_key(F.col("user_id"), F.col("post_id")).alias("key"))
     tables.failures.replace(ledger.clear_finished(counted, fixed, ["key"]))
-    top = ledger.high_water(results, order).first()
-    return results, None if top["_id"] is None else list(top)
+    return reason_histogram(results)
 
 
 def repair(tables: TagTables, factory: ClientFactory, config: JobConfig) -> DataFrame:

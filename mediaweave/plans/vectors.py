@@ -12,11 +12,13 @@ from ..operators import candidates, ledger, vectors
 from ..operators.candidates import PAIR
 from ..operators.merge import last_wins, merge
 from ..operators.metrics import status_counts
+from ..operators.ranking import numbered
 from ..sources.clients import (
-    ClientFactory, embed_texts, request_hash, stage_once, vector_schema,
+    ClientFactory, best_answers, embed_texts, request_hash, stage_once, vector_schema,
 )
 from ..sources.tables import StagedResults, VersionedTable, written
 
+PLACE = "_place"
 RECORD_COLUMNS = [
     "mongo_id", "status", "embed_retry_count", "mongo_write_retry_count", "last_error",
     "text", "embedding", "updated_at",
@@ -91,63 +93,85 @@ def merge_vectors(docs: DataFrame, records: DataFrame) -> DataFrame:
 def run(tables: VectorTables, factory: ClientFactory, config: JobConfig, now: Column) -> DataFrame:
     """Embed and write every pair that needs it. Returns the number of records per status.
 
-    A cap counts written vectors: as long as some are left to write, further
-    pairs behind the last ones are taken.
+    A cap counts written vectors: pairs that fail on the way do not use it up.  The ledger takes
+    the vectors once, before any document is touched; pairs behind the cap are left as they were.
     """
-    last, left = None, config.cap
-    while True:
-        tried, last = _embed_page(tables, factory, config, now, last, left)
-        if config.cap == 0 or last is None:
-            break
-        outcome = vectors.write_outcome(tried, tables.docs.read())
-        left -= outcome.filter("status = 'embedded' AND write_status = 'inserted'").count()
-        if left <= 0:
-            break
-    return drain(tables, config, now)
-
-
-def _embed_page(
-    tables: VectorTables, factory: ClientFactory, config: JobConfig, now: Column,
-    last: list | None, size: int,
-) -> tuple[DataFrame, list | None]:
-    """Embed the next ``size`` pairs behind ``last`` (0: all) and enter them in the ledger;
-    gives their records and the last pair."""
     records = tables.records.read()
     found = work_items(tables.tags.read(), tables.docs.read(), records, config)
     items = written(found, f"{tables.staging}-work")
     todo = items.filter("disposition = 'needs_embedding'")
-    todo = candidates.key_page(todo, PAIR, last, size)
+    before, behind = tables.records.version(), None
+    if config.cap > 0:
+        embedded, behind = _embed_until(todo, records, tables, factory, config, now)
+    else:
+        embedded = _embed(todo, records, tables, factory, config, now)
+    stored = items.filter("disposition = 'embedding_exists_in_mongo'")
+    already = vectors.queued_records(stored, records).select(
+        *PAIR, "mongo_id", F.lit("inserted").alias("status"), "embed_retry_count",
+        "mongo_write_retry_count", F.lit(None).cast("string").alias("last_error"),
+        F.col("tag_text").alias("text"), "embedding", now.alias("updated_at"),
+    )
+    rows = embedded.unionByName(already)
+    tables.records.update(lambda old: merge(old, rows, PAIR, RECORD_COLUMNS))
+    counts = drain(tables, config, now)
+    if behind is not None:
+        _keep_surplus(tables, behind, before)
+    return counts
+
+
+def _staged(tables: VectorTables, pairs: DataFrame, version: int) -> StagedResults:
+    return StagedResults(tables.docs.spark, f"{tables.staging}/{version}", vector_schema(pairs, PAIR))
+
+
+def _keep_surplus(tables: VectorTables, behind: DataFrame, version: int) -> None:
+    """Vectors behind the cap go to the next run's folder, so that they are not paid for again."""
+    good = behind.filter("status = 'embedded'").select(*PAIR)
+    spare = best_answers(_staged(tables, behind, version).read(), [*PAIR, "request_hash"]).join(good, PAIR, "left_semi")
+    _staged(tables, behind, tables.records.version()).append(spare)
+
+
+def _embed(
+    todo: DataFrame, records: DataFrame, tables: VectorTables, factory: ClientFactory, config: JobConfig, now: Column
+) -> DataFrame:
+    """The pairs' records with their vectors; answers are staged before anything else."""
     queued = vectors.queued_records(todo, records).filter("action <> 'skip'")
     requests = queued.filter("action = 'embed'").select(
         *PAIR, F.col("tag_text").alias("prompt"), request_hash(F.col("tag_text")).alias("request_hash")
     )
-    staged = StagedResults(
-        tables.docs.spark,
-        f"{tables.staging}/{tables.records.version()}",
-        vector_schema(requests, PAIR),
-    )
     answers = stage_once(
-        requests, PAIR, staged,
+        requests, PAIR, _staged(tables, requests, tables.records.version()),
         lambda df, parts: embed_texts(
             df, PAIR, factory, parts, config.request_size, config.embed_dim
         ),
         config,
     )
     checked = vectors.check_answers(answers, config.embed_dim)
-    embedded = records_after_embedding(queued, checked, now)
-    stored = items.filter("disposition = 'embedding_exists_in_mongo'")
-    already = vectors.queued_records(stored, records).select(
-        *PAIR, "mongo_id", F.lit("inserted").alias("status"), "embed_retry_count",
-        "mongo_write_retry_count", F.lit(None).cast("string").alias("last_error"),
-        F.col("tag_text").alias("text"), "embedding", now.alias("updated_at"),
-    )
-    # the ledger holds the vectors before any document is touched
-    rows = embedded.unionByName(already)
-    tables.records.update(lambda old: merge(old, rows, PAIR, RECORD_COLUMNS))
-    pairs = todo.select(*PAIR)
-    tried = tables.records.read().join(pairs, PAIR, "left_semi")
-    top = ledger.high_water(pairs, PAIR).first()
-    return tried, None if top["user_id"] is None else list(top)
+    return records_after_embedding(queued, checked, now)
+
+
+def _embed_until(
+    todo: DataFrame, records: DataFrame, tables: VectorTables, factory: ClientFactory, config: JobConfig, now: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Records up to the capped number of vectors that can be written, in one fixed order, and those behind it.
+
+    Pairs are numbered once; pages of places are embedded, each twice the last, until enough
+    vectors have a document to go to.
+    """
+    placed = written(numbered(todo, [F.col(c).asc() for c in PAIR], PLACE), f"{tables.staging}-order")
+    done = None
+    for page, (low, high) in enumerate(ledger.success_pages(config.cap, placed.count())):
+        part = placed.filter((F.col(PLACE) >= low) & (F.col(PLACE) < high))
+        part = _embed(part.drop(PLACE), records, tables, factory, config, now)
+        part = part.join(placed.select(*PAIR, PLACE), PAIR)
+        part = written(part, f"{tables.staging}-embedded-{page}")
+        done = part if done is None else done.unionByName(part)
+        outcome = vectors.write_outcome(done, tables.docs.read())
+        good = (F.col("status") == "embedded") & (F.col("write_status") == "inserted")
+        last = ledger.last_place(outcome, PLACE, good, config.cap)
+        if last is not None:
+            return done.filter(F.col(PLACE) <= last).drop(PLACE), done.filter(F.col(PLACE) > last).drop(PLACE)
+    done = _embed(todo, records, tables, factory, config, now) if done is None else done.drop(PLACE)
+    return done, done.limit(0)
 
 
 def drain(tables: VectorTables, config: JobConfig, now: Column) -> DataFrame:

@@ -8,7 +8,7 @@ again and calls are paid for.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -25,6 +25,7 @@ from pyspark.sql.types import (
 )
 
 from ..config import JobConfig
+from ..operators.ranking import numbered
 from .tables import StagedResults
 
 
@@ -134,18 +135,20 @@ def embed_texts(
 ) -> DataFrame:
     """Vectors of requests of up to ``request_size`` texts.
 
-    A wrong number of vectors or a vector of another length is an error of the
-    whole request; what came back is staged all the same.
+    Texts share a request by their place in key order.  A wrong number of vectors or a vector of
+    another length is an error of the whole request; what came back is staged all the same.
     """
     names = [*keys, "request_hash"]
 
     def requests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Whole requests; the rows of one lie together, a batch may end within it."""
         held = None
         for rows in batches:
             held = rows if held is None else pd.concat([held, rows], ignore_index=True)
-            while len(held) >= request_size:
-                yield held.iloc[:request_size]
-                held = held.iloc[request_size:].reset_index(drop=True)
+            last = held["_request"].iloc[-1]
+            for number, part in held[held["_request"] != last].groupby("_request", sort=True):
+                yield part
+            held = held[held["_request"] == last]
         if held is not None and len(held):
             yield held
 
@@ -162,15 +165,26 @@ def embed_texts(
                 vectors, error = [], str(problem) or type(problem).__name__
             aligned = [*vectors[: len(inputs)], *[None] * (len(inputs) - len(vectors))]
             yield rows[names].assign(
-                batch_id=uuid.uuid4().hex,
+                batch_id=hashlib.sha256("".join(f"{x}" for row in rows[names].itertuples(index=False) for x in row).encode()).hexdigest(),
                 n_inputs=pd.Series(len(inputs), dtype="int32", index=rows.index),
                 n_vectors=pd.Series(len(vectors), dtype="int32", index=rows.index),
                 embedding=pd.Series(aligned, dtype="object", index=rows.index),
                 error=error,
             )
 
-    wanted = texts.select(*names, "prompt")
-    return _spread(wanted, keys, partitions).mapInPandas(call, vector_schema(texts, keys))
+    wanted = request_groups(texts.select(*names, "prompt"), keys, request_size, "_request")
+    placed = wanted.repartition(partitions, "_request").sortWithinPartitions("_request", *keys)
+    return placed.mapInPandas(call, vector_schema(texts, keys))
+
+
+def request_groups(texts: DataFrame, keys: list[str], size: int, name: str) -> DataFrame:
+    """Add ``name``: the number of the request that a text belongs to, ``size`` texts in key order each.
+
+    The numbers come from the keys alone, so that a request holds the same texts however they are
+    partitioned, and one that fails fails the same texts.
+    """
+    placed = numbered(texts, [F.col(k).asc() for k in keys], "_nth")
+    return placed.withColumn(name, F.floor(F.col("_nth") / size)).drop("_nth")
 
 
 def stage_once(

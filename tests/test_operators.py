@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mediaweave.operators import candidates, ledger, lookups, metrics, vectors
-from mediaweave.operators.merge import keyed_union, last_wins, merge
+from mediaweave.operators.merge import keyed_union, last_wins, merge, usable_key
 from mediaweave.operators.ranking import first_rows, first_rows_by_group, running_total
 
 
@@ -313,3 +313,65 @@ def test_rates_and_status(spark):
 def test_reasons_without_a_name(spark):
     df = spark.createDataFrame([("ok",), ("ok",), (None,), ("",)], "reason string")
     assert {r.reason: r.n for r in metrics.reason_histogram(df).collect()} == {"ok": 2, "unknown": 2}
+
+
+def test_cap_of_successes(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.random() < 0.3) for i in range(500)]
+    df = spark.createDataFrame(rows, "place long, ok boolean").repartition(5)
+    for cap in (0, 1, 40, 10_000):
+        wanted, hits = [], 0
+        for place, ok in rows:
+            if cap and hits >= cap:
+                break
+            wanted.append(place)
+            hits += ok
+        assert sorted(r.place for r in ledger.until_successes(df, "place", F.col("ok"), cap).collect()) == wanted
+    pages = list(ledger.success_pages(3, 50))
+    assert pages == [(0, 3), (3, 9), (9, 21), (21, 45), (45, 50)] and not list(ledger.success_pages(3, 0))
+
+
+def test_places_in_order(spark, posts):
+    from mediaweave.operators.ranking import numbered
+
+    got = numbered(posts[1], [F.col("publishedAt"), F.col("n")], "at").orderBy("at").collect()
+    assert [r["at"] for r in got] == list(range(3000))
+    assert [(r.publishedAt, r.n) for r in got] == sorted((r[2], r[3]) for r in posts[0])
+
+
+def test_keyless_rows_stay_out_of_the_join(spark):
+    """A third of the target is blank; no task of the join gets more than twice the median."""
+    rows = [("" if i % 3 == 0 else f"k{i}", i) for i in range(9000)]
+    target = spark.createDataFrame(rows, "k string, v int")
+    updates = spark.createDataFrame([("k1", -1), (" ", -2), (None, -3), ("new", -4)], "k string, v int")
+    got = sorted(tuple(r) for r in merge(target, updates, ["k"]).collect() if r.k and r.k.strip())
+    assert got == sorted([(k, -1 if k == "k1" else v) for k, v in rows if k] + [("new", -4)])
+    keyless = sorted((r.v, r.k) for r in merge(target, updates, ["k"]).collect() if not (r.k and r.k.strip()))
+    assert [v for v, _ in keyless] == [-3, -2] + [v for k, v in rows if not k]
+    assert merge(target, updates, ["k"], insert=False).count() == 9000
+    joined = target.filter(usable_key(target, ["k"])).repartition(8, "k")
+    sizes = sorted(r.n for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect())
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_requests_hold_the_same_texts(spark):
+    from mediaweave.sources.clients import embed_texts, request_groups, request_hash
+
+    texts = spark.range(250).select(F.lit("u").alias("user_id"), F.lpad(F.col("id").cast("string"), 4, "0").alias("post_id"))
+    texts = texts.withColumn("prompt", F.concat(F.lit("text "), "post_id")).withColumn("request_hash", request_hash(F.col("prompt")))
+
+    class Client:
+        def embed(self, inputs):
+            if "text 0123" in inputs:
+                raise RuntimeError("429")
+            return [[1.0, 2.0]] * len(inputs)
+
+    seen = set()
+    for parts in (1, 7, 64):
+        spread = texts.repartition(parts)
+        groups = frozenset((r.post_id, r.g) for r in request_groups(spread, ["user_id", "post_id"], 40, "g").collect())
+        answers = embed_texts(spread, ["user_id", "post_id"], Client, parts, 40, 2).collect()
+        failed = frozenset(r.post_id for r in answers if r.error)
+        assert len(answers) == 250 and failed == {f"{i:04d}" for i in range(120, 160)}
+        seen.add((groups, failed, frozenset(r.batch_id for r in answers)))
+    assert len(seen) == 1 and len({b for _, _, batches in seen for b in batches}) == 7

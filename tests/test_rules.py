@@ -54,3 +54,29 @@ def test_audits(spark):
     got = {n: one(spark, c) for n, c in rules.topics_audit(rules.typed_topics(F.lit(text)), F.lit("One. Two!")).items()}
     assert got == {"topics_in_range": True, "subtopics_in_range": True, "subtopics_unique": False, "bad_times": 1, "summary_in_range": True}
     assert one(spark, rules.typed_topics(F.lit("no json"))) == []
+
+
+def test_topics_of_any_shape(spark):
+    text = json.dumps([{"topic": "a", "subtopics": [{"subtopic": "x", "timestamp": "1:02", "detail": "d"}, "y", 7, None]}, "plain", 5, {"topic": "b"}, {"topic": "c", "subtopics": "one"}, None, {"subtopics": [["z"]]}])
+    rows = spark.createDataFrame([("v", text), ("w", "no json"), ("x", '{"topic": "alone"}'), ("y", '""'), ("z", None)], "video_id string, key_topics string")
+    got = {tuple(r) for r in rules.flat_topics(rows).collect()}
+    assert got == {
+        ("v", "a", "x", "00:01:02", "d"), ("v", "a", "y", None, None), ("v", "a", "7", None, None), ("v", "plain", None, None, None), ("v", "5", None, None, None),
+        ("v", "b", None, None, None), ("v", "c", "one", None, None), ("v", None, '["z"]', None, None), ("x", "alone", None, None, None),
+    }
+
+
+def test_sentences(spark):
+    given = {
+        "It costs 3.5 dollars, e.g. at Foo Inc. today.": 1, "One. Two!": 2, "Mr. Smith came. \"He left?\" Yes.": 3, "": 0, "...": 0,
+        "一。二！三": 3, "No end": 1, "A. B. C.": 3, "Version 2.0 is out. 5 stars.": 2,
+    }
+    for text, n in given.items():
+        assert len(one(spark, rules.sentences(F.lit(text)))) == n, text
+
+
+def test_number_of_tags(spark):
+    tags = lambda n: F.array(*[F.lit(f"Tag {i}") for i in range(n)])
+    right = lambda n, *bounds: one(spark, rules.tag_audit(tags(n), *bounds)["right_number"])
+    assert [right(n) for n in (9, 10, 11)] == [False, True, False]
+    assert [right(n, 20, None) for n in (19, 20, 25)] == [False, True, True]
