@@ -1,9 +1,9 @@
 """Document fingerprints by SpotSigs: content words that follow common words.
 
 Every common word of a text is an anchor; it and the next two content words, common words left
-out, make a signature.  A text's fingerprint is its set of signatures.  Sets are partitioned by
-length so that sets more than one partition apart cannot be alike; the others are compared by
-Jaccard similarity, given up where the lengths alone forbid the wanted likeness.
+out, make a signature.  A text's fingerprint is its set of signatures.  Sets are compared by Jaccard
+similarity.  Where a least likeness is wanted, sets are partitioned by length, so that sets more
+than one partition apart are not compared, nor those whose lengths alone forbid it.
 """
 
 from __future__ import annotations
@@ -28,8 +28,6 @@ ANCHORS = (
     "el los del y las por con no una su para lo como más pero sus le ya o fue este ha sí porque esta entre"
 ).split()
 CHAIN = 2
-#: Likeness below this is reported as 0: lengths alone may rule it out.
-LEAST = 0.05
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -87,16 +85,20 @@ def spot_sets(texts: list[str]) -> list[np.ndarray]:
     return sets
 
 
-def partition(size: int, least: float = LEAST) -> int:
-    """The length partition of a set; alike sets are in one or in neighbouring partitions."""
+def partition(size: int, least: float) -> int:
+    """The length partition of a set; sets at least ``least`` alike are in one or in neighbouring partitions."""
     return 0 if size == 0 else 1 + int(math.log(size) / math.log(1 / least))
 
 
-def likeness(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> float:
-    """Jaccard similarity of two sorted sets, 0 where it is below ``least``; two empty sets are alike."""
+def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
+    """Jaccard similarity of two sorted sets; two empty sets are alike.
+
+    With ``least`` above 0, sets whose lengths alone keep them below it are not compared and
+    give 0, as do sets that turn out below it.
+    """
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    if abs(partition(len(a), least) - partition(len(b), least)) > 1 or min(len(a), len(b)) < least * max(len(a), len(b)):
+    if 0 < least < 1 and (abs(partition(len(a), least) - partition(len(b), least)) > 1 or min(len(a), len(b)) < least * max(len(a), len(b))):
         return 0.0
     both = len(np.intersect1d(a, b, assume_unique=True))
     value = both / (len(a) + len(b) - both)

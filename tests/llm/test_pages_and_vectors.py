@@ -21,20 +21,24 @@ from mediaweave.llm.common import prepare
 def plain_top(rows, queries, k):
     usable = lambda v: v is not None and all(x is not None and math.isfinite(x) for x in v)
     whole = lambda v: [math.floor(1024 * float(x)) for x in v]
-    rows = list({(i, tuple(v)) for i, v in rows if i is not None and usable(v)})
+    rows = [(i, tuple(v)) for i, v in rows if i is not None and usable(v)]
     out = Counter()
-    for q, v in {(i, tuple(v)) for i, v in queries if i is not None and usable(v)}:
-        scores = sorted((-sum(a * b for a, b in zip(whole(v), whole(w))), i) for i, w in rows if i != q and len(w) == len(v))
+    for q, v in [(i, tuple(v)) for i, v in queries if i is not None and usable(v)]:
+        others = rows.copy()
+        others.remove((q, v))  # its own row; rows that repeat it stay
+        scores = sorted((-sum(a * b for a, b in zip(whole(v), whole(w))), i) for i, w in others if len(w) == len(v))
         for rank, (s, i) in enumerate(scores[:k], 1):
             out[(q, rank, i, min(max(-s, -(1 << 63)), (1 << 63) - 1))] += 1
     return out
 
 
 @pytest.mark.parametrize("dimension", [1, 16, 40])
-def test_top_k(spark, dimension):
+def test_top_k(spark, dimension, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATE_BYTES", 3000)  # many blocks and groups
+    monkeypatch.setattr(topk, "GROUP_BLOCKS", 2)
     random.seed(dimension)
     rows = [(i, [random.choice([-1.0, 0.5, random.gauss(0, 1)]) for _ in range(dimension)]) for i in range(300)]
-    rows += [(300, rows[3][1]), (301, rows[3][1]), (7, rows[8][1]), rows[9], (302, None), (None, rows[1][1]), (303, [float("nan")] * dimension), (304, [None] * dimension), (305, [1.0]), (306, [])]
+    rows += [(300, rows[3][1]), (301, rows[3][1]), (7, rows[8][1]), rows[9], rows[20], rows[20], (40, rows[41][1]), (302, None), (None, rows[1][1]), (303, [float("nan")] * dimension), (304, [None] * dimension), (305, [1.0]), (306, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1))
     got = topk.top_k(df, df.where("vec_id % 20 = 0"), k=5)
     assert Counter(map(tuple, got.collect())) == plain_top(rows, [r for r in rows if r[0] is not None and r[0] % 20 == 0], 5)
@@ -48,16 +52,31 @@ def test_top_k_at_the_edges(spark):
     assert topk.top_k(alone, alone).count() == 0 and topk.top_k(df.where("vec_id = -1"), alone).count() == 0
 
 
+def test_candidates_are_dealt_once(spark, monkeypatch):
+    """Every candidate block is in one group; each query block goes to every group, not to every block."""
+    monkeypatch.setattr(topk, "CANDIDATE_BYTES", 2000)
+    monkeypatch.setattr(topk, "QUERY_BYTES", 1000)
+    met = []
+    monkeypatch.setattr(topk, "_meet", lambda k, f=topk._meet: met.append(k) or f(k))
+    rows = [(i, [float(i % 7), 1.0, float(i)]) for i in range(1000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert Counter(map(tuple, topk.top_k(df, df.where("vec_id % 50 = 0"), k=3).collect())) == plain_top(rows, rows[::50], 3)
+    assert met == [4]
+    plan = topk.top_k(df, df.where("vec_id % 50 = 0"), k=3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Cartesian" not in plan
+
+
 def test_bounds_keep_the_best():
     rng = np.random.default_rng(1)
-    ids, columns = np.arange(500), rng.integers(-50, 50, (64, 500))
+    columns = rng.integers(-50, 50, (64, 500))
     columns[:16] *= 20
     rest = [np.sqrt((columns[d:].astype(float) ** 2).sum(axis=0)) for d in range(0, 64, 16)]
     for q in range(20):
         query = columns[:, q]
-        alive, score = topk.best_of_block(query, q, ids, columns, rest, 10)
+        alive, score = topk.best_of_block(query, columns, rest, 10)
         full = query @ columns
-        full[q] = -(10**15)
+        bar = np.sort(full)[-4]
+        assert set(topk.best_of_block(query, columns, rest, 10, bar)[0]) == set(np.flatnonzero(full >= bar))
         assert len(alive) < 500 and set(np.argsort(-full, kind="stable")[:10]) <= set(alive)
         assert (score == full[alive]).all()
 

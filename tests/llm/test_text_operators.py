@@ -339,8 +339,15 @@ def spot_set(text):
 def plain_likeness(a, b):
     if not a or not b:
         return float(len(a) == len(b))
-    value = len(a & b) / len(a | b)
-    return value if value >= spotsigs.LEAST else 0.0
+    return len(a & b) / len(a | b)
+
+
+def test_pruned_likeness():
+    sets = [np.arange(n, dtype=np.uint64) for n in (0, 1, 3, 9, 10, 100)]
+    for a in sets:
+        for b in sets:
+            true = plain_likeness(set(a.tolist()), set(b.tolist()))
+            assert spotsigs.likeness(a, b) == true and spotsigs.likeness(a, b, 0.5) == (true if true >= 0.5 else 0.0)
 
 
 def test_fingerprints(spark, documents, odd_documents, no_documents):
