@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from .common import portions
 
 CHUNK, OVERLAP = 512, 64
-WIDTH, STRIDE, FILTERS, HIDDEN = 6, 2, 32, 24
+WIDTH, FILTERS, HIDDEN = 6, 32, 24
+#: Chunks that the filters run along at a time.
+ROWS = 64
 KEEP = 0.7
 #: Bound of the training sample: labelled rows by the order of their digest, chunks of each text.
 TRAINING_ROWS = 6000
@@ -56,27 +58,26 @@ class ByteNetwork:
         """Each filter's maximum over each chunk; with ``where`` also its place."""
         top = np.empty((len(chunks), FILTERS), dtype=np.float32)
         at = np.empty((len(chunks), FILTERS), dtype=np.int64) if where else None
-        for a in range(0, len(chunks), 128):
-            part = chunks[a : a + 128]
+        for a in range(0, len(chunks), ROWS):
+            part = chunks[a : a + ROWS]
             last = CHUNK - WIDTH + 1
-            values = self.filters[0][part[:, 0:last:STRIDE]]
+            values = self.filters[0][part[:, 0:last]]
             for k in range(1, WIDTH):
-                values += self.filters[k][part[:, k : k + last : STRIDE]]
+                values += self.filters[k][part[:, k : k + last]]
             if where:
-                at[a : a + 128] = values.argmax(axis=1)
-                top[a : a + 128] = np.take_along_axis(values, at[a : a + 128][:, None, :], axis=1)[:, 0]
+                at[a : a + ROWS] = values.argmax(axis=1)
+                top[a : a + ROWS] = np.take_along_axis(values, at[a : a + ROWS][:, None, :], axis=1)[:, 0]
             else:
-                values.max(axis=1, out=top[a : a + 128])
+                values.max(axis=1, out=top[a : a + ROWS])
         return top, at
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        """Probability of label 1; an empty text scores 0."""
+        """Probability of label 1; an empty text is one chunk of padding."""
         chunks, first = chunk_matrix(texts)
         hidden = np.maximum(np.tanh(self.pooled(chunks)[0]) @ self.inner + self.shift, 0)
         counts = np.diff(np.append(first, len(chunks)))
         mean = np.add.reduceat(hidden.astype(np.float64), first, axis=0) / counts[:, None]
-        scores = 1 / (1 + np.exp(-(mean @ self.outer.astype(np.float64) + float(self.bias[0]))))
-        return np.where([len(t) > 0 for t in texts], scores, 0.0)
+        return 1 / (1 + np.exp(-(mean @ self.outer.astype(np.float64) + float(self.bias[0]))))
 
     def fit(self, chunks: np.ndarray, owner: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS) -> None:
         """Adam steps on the log loss; chunks[i] belongs to text owner[i], owners ascending."""
@@ -108,7 +109,7 @@ class ByteNetwork:
                 to_filters = np.zeros_like(self.filters)
                 columns = np.arange(FILTERS)
                 for k in range(WIDTH):
-                    seen = np.take_along_axis(chunks[rows], at * STRIDE + k, axis=1)
+                    seen = np.take_along_axis(chunks[rows], at + k, axis=1)
                     np.add.at(to_filters[k], (seen, columns[None, :]), to_top)
                 gradients = {
                     "filters": to_filters, "inner": bent.T @ back, "shift": back.sum(axis=0),
@@ -171,7 +172,7 @@ def _text_scores(network: ByteNetwork, texts: list[str | None]) -> np.ndarray:
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row; null and empty texts score 0.
+    """doc_id, held_out, score, predicted of every row; a null text scores as an empty one.
 
     Only the text enters the score, so repeated texts score alike.  Only doc_id and text are read.
     """
@@ -188,7 +189,11 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores KEEP or more; all rows where no label could be learned."""
+    """The rows of ``docs``, all columns, whose text scores KEEP or more; all rows where no label could be learned.
+
+    Null and empty texts are judged by what the network gives for padding alone; equal rows go or
+    stay together.
+    """
     network = trained(docs, labels)
     if not network.learned:
         return docs

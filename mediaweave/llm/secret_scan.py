@@ -76,9 +76,13 @@ def _located(text: Column, pattern: str, keep: Callable[[Column], Column]) -> Co
             F.transform(F.array(inner), lambda r: F.struct(r["at"].alias("at"), F.concat(acc["out"], F.array(r["out"])).alias("out"))), 1
         )
 
-    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / _GROUP).cast("int")), lambda g: F.slice(parts, g * _GROUP + 1, F.lit(_GROUP)))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("out"))
-    spans = F.flatten(F.aggregate(groups, start, group)["out"])
+    def located(found: Column) -> Column:
+        groups = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / _GROUP).cast("int")), lambda g: F.slice(found, g * _GROUP + 1, F.lit(_GROUP)))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("out"))
+        return F.flatten(F.aggregate(groups, start, group)["out"])
+
+    # A lambda's variable is computed once, however many groups are cut from it.
+    spans = F.element_at(F.transform(F.array(parts), located), 1)
     there = text.rlike(pattern)
     if pattern in NEEDLES:
         held = F.lower(text) if pattern == ASSIGN else text
@@ -101,12 +105,9 @@ def _window_entropy(word: Column, alphabet: str, window: int) -> Column:
     zeros = F.array_repeat(F.lit(0), len(alphabet) + 1)
     start = F.struct(zeros.alias("counts"), F.lit(0.0).alias("terms"), F.lit(0.0).alias("best"))
 
-    def place(i: Column) -> Column:
-        return F.instr(F.lit(alphabet), F.substring(word, i, F.lit(1))) + 1
-
-    def step(acc: Column, i: Column) -> Column:
-        out = F.when(i > window, place(i - window)).otherwise(F.lit(0))
-        come = place(i)
+    def step(places: Column, acc: Column, i: Column) -> Column:
+        out = F.when(i > window, F.element_at(places, F.greatest(i - window, F.lit(1)))).otherwise(F.lit(0))
+        come = F.element_at(places, i)
         state = F.struct(come.alias("come"), out.alias("go"))
 
         def moved(s: Column) -> Column:
@@ -126,18 +127,28 @@ def _window_entropy(word: Column, alphabet: str, window: int) -> Column:
 
         return F.element_at(F.transform(F.array(state), moved), 1)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step)["best"]
+    def highest(places: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.size(places)), start, lambda acc, i: step(places, acc, i))["best"]
+
+    # Each character's place in the alphabet, found once: a substring would walk from the start.
+    characters = F.filter(F.split(word, ""), lambda c: c != "")
+    places = F.transform(characters, lambda c: F.instr(F.lit(alphabet), c) + 1)
+    return F.element_at(F.transform(F.array(places), highest), 1)
 
 
 def _secretive(word: Column, allowed: Sequence[str], window: int) -> Column:
-    """Whether a candidate is random enough for its class and on no allow-list pattern."""
+    """Whether a candidate is random enough for its class and on no allow-list pattern.
+
+    A candidate that is a base match as a whole needs no second span; one that only holds a base
+    match is judged, so that the rest around the match is not left.
+    """
     good = F.lit(False)
     for _, members, alphabet, bits in reversed(CLASSES):
         good = F.when(word.rlike(members), _window_entropy(word, alphabet, window) >= bits).otherwise(good)
     plain = F.lit(False)
     for pattern in allowed:
         plain = plain | word.rlike(pattern)
-    base = word.rlike(HEX) | word.rlike(ACCESS)
+    base = word.rlike(f"^{HEX}$") | word.rlike(f"^{ACCESS}$")
     return F.when(plain | base, F.lit(False)).otherwise(good)
 
 
@@ -150,7 +161,7 @@ def scan(docs: DataFrame, text: str = "text", allowed: Sequence[str] = ALLOWED,
 
     ``place`` is the kind's number in KINDS.  Matches of a kind are leftmost and do not overlap;
     those that fail their length are dropped.  The entropy scan adds candidates that touch no
-    base span.  Null texts count as empty; texts without secrets have an empty array.  Rows are
+    assignment; they may hold a shorter base span.  Null texts count as empty; texts without secrets have an empty array.  Rows are
     scanned one by one in place, so repeated rows, ties and skew change nothing.
     """
     value = F.coalesce(F.col(text), F.lit(""))
