@@ -72,12 +72,12 @@ class ByteNetwork:
         return top, at
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        """Probability of label 1; an empty text is one chunk of padding."""
+        """Probability of label 1, to six digits, so that equal texts score alike; an empty text is one chunk of padding."""
         chunks, first = chunk_matrix(texts)
         hidden = np.maximum(np.tanh(self.pooled(chunks)[0]) @ self.inner + self.shift, 0)
         counts = np.diff(np.append(first, len(chunks)))
         mean = np.add.reduceat(hidden.astype(np.float64), first, axis=0) / counts[:, None]
-        return 1 / (1 + np.exp(-(mean @ self.outer.astype(np.float64) + float(self.bias[0]))))
+        return np.round(1 / (1 + np.exp(-(mean @ self.outer.astype(np.float64) + float(self.bias[0])))), 6)
 
     def fit(self, chunks: np.ndarray, owner: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS) -> None:
         """Adam steps on the log loss; chunks[i] belongs to text owner[i], owners ascending."""
