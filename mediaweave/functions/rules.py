@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,26 +72,73 @@ TOPICS_TYPE = "array<struct<topic:string,subtopics:array<struct<subtopic:string,
 # -- phrases ------------------------------------------------------------------
 
 
-def has_phrase(text: Column, phrase: str) -> Column:
-    """Whether the phrase stands in the text as whole words, without case; ``Brand`` is any word."""
-    escaped = "".join(f"\\{c}" if not c.isalnum() and ord(c) < 128 and c != " " else c for c in phrase)
-    body = escaped.replace("Brand", r"[^\s]+").replace(" ", r"\s+")
-    start = r"(?<![\p{L}\p{N}])" if phrase[0].isalnum() and ord(phrase[0]) < 128 else ""
-    end = r"(?![\p{L}\p{N}])" if phrase[-1].isalnum() and ord(phrase[-1]) < 128 else ""
-    return F.coalesce(text.rlike(f"(?i){start}{body}{end}"), F.lit(False))
+def _pattern(phrases: tuple[str, ...]) -> str:
+    """One pattern for any of the phrases as whole words, without case; ``Brand`` is any word.
+
+    The test for the start of a word stands before the alternatives, so a text is walked once and
+    the phrases are tried at the starts of words only.
+    """
+
+    def ascii_word(c: str) -> bool:
+        return c.isalnum() and ord(c) < 128
+
+    def body(phrase: str) -> str:
+        escaped = "".join(f"\\{c}" if not c.isalnum() and ord(c) < 128 and c != " " else c for c in phrase)
+        end = r"(?![\p{L}\p{N}])" if ascii_word(phrase[-1]) else ""
+        return escaped.replace("Brand", r"[^\s]+").replace(" ", r"\s+") + end
+
+    words = "|".join(body(p) for p in phrases if ascii_word(p[0]))
+    marks = [body(p) for p in phrases if not ascii_word(p[0])]
+    return "(?i)(?:" + "|".join(([rf"(?<![\p{{L}}\p{{N}}])(?:{words})"] if words else []) + marks) + ")"
+
+
+def has_phrase(text: Column, *phrases: str) -> Column:
+    """Whether any of the phrases stands in the text as whole words, without case; ``Brand`` is any word."""
+    if not phrases:
+        return F.lit(False)
+    return F.coalesce(text.rlike(_pattern(tuple(dict.fromkeys(phrases)))), F.lit(False))
+
+
+def _may_start_together(a: str, b: str) -> bool:
+    """Whether both phrases could be found at one place: one begins as the other, up to the first ``Brand``."""
+    a, b = (p.split("Brand")[0].lower() for p in (a, b))
+    return a.startswith(b) or b.startswith(a)
+
+
+def _layers(phrases: tuple[str, ...]) -> list[tuple[str, ...]]:
+    """The phrases in few groups; of a group at most one is found at any place of a text."""
+    groups: list[list[str]] = []
+    for phrase in phrases:
+        free = (g for g in groups if not any(_may_start_together(phrase, p) for p in g))
+        group = next(free, None)
+        if group is None:
+            groups.append(group := [])
+        group.append(phrase)
+    return [tuple(g) for g in groups]
 
 
 def phrases_in(text: Column, phrases: tuple[str, ...] = SPONSOR_PHRASES) -> Column:
-    """The phrases found, in the order of the list."""
-    hits = F.array(*[F.when(has_phrase(text, p), F.lit(p)) for p in phrases])
-    return F.filter(hits, lambda x: x.isNotNull())
+    """The phrases found, in the order of the list; they may overlap in the text.  NULL has none.
+
+    A layer of phrases is one pass that looks ahead from every place; the parts found are short and
+    are then told apart by their words.
+    """
+    parts = F.concat(*[F.regexp_extract_all(text, F.lit(f"(?=({_pattern(layer)}))"), F.lit(1)) for layer in _layers(phrases)])
+    spaced = F.array_distinct(F.transform(parts, lambda x: F.lower(F.regexp_replace(x, r"\s+", " "))))
+
+    def among(found: Column, phrase: str) -> Column:
+        if "Brand" not in phrase:
+            return F.array_contains(found, " ".join(phrase.lower().split()))
+        shape = r"[^\s]+".join(re.escape(p.lower()) for p in phrase.split("Brand"))
+        return F.exists(found, lambda x: x.rlike(f"^{shape}$"))
+
+    hits = let(spaced, lambda found: F.array(*[F.when(among(found, p), F.lit(p)) for p in phrases]))
+    kept = F.when(has_phrase(text, *phrases), F.filter(hits, lambda x: x.isNotNull()))
+    return F.coalesce(kept, F.array().cast("array<string>"))
 
 
 def _any(text: Column, *groups: tuple[str, ...]) -> Column:
-    found = F.lit(False)
-    for phrase in dict.fromkeys(p for g in groups for p in g):
-        found = found | has_phrase(text, phrase)
-    return found
+    return has_phrase(text, *[p for g in groups for p in g])
 
 
 def caption_sponsorship(text: Column, handles: Column, names: Column) -> Column:

@@ -1,6 +1,8 @@
 """Golden cases of the rules on texts, and of lists that hold objects."""
 
 import json
+import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -39,6 +41,33 @@ def test_phrases(spark):
     assert one(spark, rules.phrases_in(F.lit("an ad."))) == ["ad"]
 
 
+def plain_phrases(text, phrases):
+    """Each phrase by a search of its own."""
+    word = lambda c: c.isascii() and c.isalnum()
+    found = []
+    for p in phrases:
+        body = r"\s+".join(r"[^\s]+".join(re.escape(x) for x in w.split("Brand")) for w in p.split(" "))
+        if re.search((r"(?<![^\W_])" if word(p[0]) else "") + body + (r"(?![^\W_])" if word(p[-1]) else ""), text, re.I):
+            found.append(p)
+    return found
+
+
+def test_phrases_match_one_search_each(spark):
+    """Overlapping phrases, phrases that begin alike, wild words, marks and other scripts."""
+    lists = (rules.SPONSOR_PHRASES, rules.OFFERS + rules.THANKS, ("a Brand", "Brand b", "a", "a b", "ab", "a-b", "感謝", "感謝你"))
+    words = sorted({w for phrases in lists for p in phrases for w in p.split(" ")} - {"Brand"}) + ["Acme", "x", "this video is sponsored by", "gifted", "20%", "adx", "感謝你們"]
+    pick = random.Random(3)
+    texts = ["", "use  my\tservice, use my code", "Affiliate\nLINK", "affiliate links", "this video is sponsored by an ad", "a b"]
+    texts += ["".join(pick.choice(words) + pick.choice((" ", " ", "  ", "\n", ", ", ".", "")) for _ in range(pick.randint(1, 14))) for _ in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(4)
+    got = df.select("i", *[rules.phrases_in(F.col("text"), p).alias(f"p{n}") for n, p in enumerate(lists)], *[rules.has_phrase(F.col("text"), *p).alias(f"h{n}") for n, p in enumerate(lists)])
+    for row in got.collect():
+        for n, phrases in enumerate(lists):
+            want = plain_phrases(texts[row.i], phrases)
+            assert (row[f"p{n}"], row[f"h{n}"]) == (want, bool(want)), texts[row.i]
+    assert one(spark, rules.phrases_in(F.lit(None).cast("string"))) == [] and one(spark, rules.has_phrase(F.lit("ad"))) is False
+
+
 def test_handles(spark):
     text = "with elsie_lui and Thegrand_hk. 感謝 goodplace a@b.c x.y! 1.5"
     assert one(spark, rules.handle_candidates(F.lit(text))) == ["elsie_lui", "x.y", "goodplace"]
