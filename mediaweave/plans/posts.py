@@ -48,13 +48,18 @@ def run(
     locations: DataFrame, bios: DataFrame, posts: DataFrame,
     videos: VersionedTable, finished: VersionedTable, config: JobConfig,
 ) -> DataFrame:
-    """Save the posts; without a cap the channels are recorded as finished. Returns progress."""
+    """Save the posts; without a cap the channels are recorded as finished. Returns progress.
+
+    The documents are selected once and written; what is merged and what is counted is read from there.
+    """
     done_before = finished.read()
     channels = written(
         channels_to_process(locations, bios, config, done_before),
         scratch_path(videos.spark, "channels"),
     )
-    documents = documents_to_save(channels, posts, config)
+    documents = written(
+        documents_to_save(channels, posts, config), scratch_path(videos.spark, "documents")
+    )
     progress = channel_progress(channels, documents.select("channel_id"))
     videos.replace(merge_documents(videos.read(), documents))
     if config.cap == 0:
