@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -11,8 +12,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mediaweave.llm import stages, topk, urlfilter, warc
+from mediaweave.llm import quality, stages, topk, urlfilter, warc
 from mediaweave.llm.common import prepare
+from mediaweave.llm.token_ids import TokenIds, tokenizer_path
+from test_near_duplicates import plain_classes
+from test_text_operators import base_spans, entropy_spans, plain_mix
 
 
 # -- top-k --------------------------------------------------------------------
@@ -184,11 +188,40 @@ def test_archives_are_plain_records(spark, tmp_path):
 # -- pipeline -----------------------------------------------------------------
 
 
+def plain_redaction(text):
+    """The text with base and entropy spans found by plain patterns replaced, and the spans' number."""
+    out, at = "", 0
+    spans = sorted(base_spans(text) + entropy_spans(text))
+    for start, _, end in spans:
+        if start >= at:
+            out += text[at:start] + "[SECRET]"
+        at = max(at, end)
+    return out + text[at:], len(spans)
+
+
+def plain_copies(rows):
+    """How often the mix takes each document: the whole queue in one sort."""
+    sized, total, target = plain_mix(rows)
+    queue, passed = [], Counter()
+    for d, _, s, n in sorted(sized, key=lambda r: (hashlib.md5(f"mix{r[0]}".encode()).hexdigest(), r[0])):
+        passed[s] += n
+        if n:
+            queue += [((turn * total[s] + passed[s]) / target[s], d, n) for turn in range(2)]
+    taken, budget = Counter(), 1.5 * sum(total.values())
+    for _, d, n in sorted(queue):
+        budget -= n
+        if budget < 0:
+            break
+        taken[d] += 1
+    return taken
+
+
 def test_pipeline(spark, monkeypatch):
+    """Each stage against a plain version on the rows that it was given."""
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
     assert [f for _, f in corpus_pipeline.STAGES] == [stages.quality, stages.near_duplicates, stages.secrets, stages.mixing, stages.packing]
     seen = []
 
@@ -196,16 +229,65 @@ def test_pipeline(spark, monkeypatch):
         return lambda spark, docs, folder: seen.append(docs) or stage(spark, docs, folder)
 
     monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, noted(f)) for n, f in corpus_pipeline.STAGES])
-    seen.append(corpus_pipeline.run(spark, folder))
-    assert all(df.columns == docs.columns for df in seen[:-1])
-    ids = [Counter(r.doc_id for r in df.select("doc_id").collect()) for df in seen]
-    assert ids[1] <= ids[0] and ids[2] <= ids[1] and ids[3] == ids[2]
-    good = {d for d, q in labels.items() if q == 1}
-    assert sum(ids[1][d] for d in good) >= 0.9 * len(good)
-    assert seen[3].where(F.col("text").rlike("[0-9a-f]{16}")).count() == 0
-    assert set(ids[4]) <= set(ids[3]) and max(ids[4].values()) <= 2
-    pieces = seen[5].collect()
-    firsts = Counter(r.doc_id for r in pieces if r.start == 0)
-    assert firsts == ids[4]
-    assert sum(r.length for r in pieces) == sum(r.doc_tokens for r in pieces if r.start == 0)
-    assert all(zlib.crc32(b"") <= r.ids_crc32 < 1 << 32 for r in pieces)
+    pieces = corpus_pipeline.run(spark, folder).collect()
+    assert all(df.columns == docs.columns for df in seen)
+    given, good, apart, clean, mixed = (df.collect() for df in seen)
+
+    network, marks = quality.trained(docs, labels), {r.doc_id: r.quality for r in labels.collect()}
+    judged = {r.doc_id: network.scores([(r.text or "").encode()])[0] >= quality.KEEP for r in given}
+    assert Counter(good) == Counter(r for r in given if judged[r.doc_id])
+    unseen = [d for d in judged if d in marks and zlib.crc32(str(d).encode()) % 4 == 2]
+    assert len(unseen) > 10 and all(judged[d] for d in unseen if marks[d] == 1)
+
+    classes = {}
+    for row, top in zip(good, plain_classes([(r.doc_id, r.text) for r in good])):
+        classes[top] = min(row, classes.get(top, row), key=lambda r: r.doc_id)
+    assert Counter(apart) == Counter(classes.values()) and len(apart) < len(good)
+
+    wanted, spans = Counter(), 0
+    for r in apart:
+        text, n = plain_redaction(r.text or "")
+        wanted[(r.doc_id, r.source, r.lang, text, len(text))] += 1
+        spans += n
+    assert spans and Counter((r.doc_id, r.source, r.lang, r.text, r.n_chars) for r in clean) == wanted
+
+    copies = plain_copies([(r.doc_id, r.text, r.source) for r in clean])
+    assert Counter(mixed) == +Counter({r: copies[r.doc_id] for r in clean})
+
+    tokenizer, wanted = TokenIds(tokenizer_path()).tokenizer, Counter()
+    for r in mixed:
+        ids = np.array(tokenizer.encode(r.text, add_special_tokens=False).ids + [1], dtype="<u4")
+        for a in range(0, len(ids), 2048):
+            wanted[(r.doc_id, a, len(ids[a : a + 2048]), zlib.crc32(ids[a : a + 2048].tobytes()), len(ids))] += 1
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in pieces) == wanted
+    filled = Counter()
+    for r in sorted(pieces, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == filled[r.sequence_id]
+        filled[r.sequence_id] += r.length
+    total = sum(filled.values())
+    padded = sum(2048 - n for n in filled.values() if n & (n - 1))  # none at a power of two
+    assert max(filled.values()) <= 2048 and padded <= 0.02 * total
+
+
+def test_stages_of_odd_rows(spark, odd_documents, no_documents):
+    """Nulls, empty texts, repeated rows, clashing names and no rows at all, in every stage."""
+    folder = "/root/testdata/sf0.001"
+    kept = {}
+    for stage in (stages.quality, stages.near_duplicates, stages.secrets, stages.mixing):
+        for df in (odd_documents, no_documents):
+            out = stage(spark, df, folder)
+            assert out.columns == df.columns
+            kept[stage, df is no_documents] = out.collect()
+    assert all(not rows for (_, empty), rows in kept.items() if empty)
+    given = odd_documents.collect()
+    assert Counter(kept[stages.quality, False]) <= Counter(given)
+    classes = {}
+    for row, top in zip(given, plain_classes([(r.doc_id, r.text) for r in given])):
+        classes[top] = min((row.doc_id is None, row.doc_id or 0), classes.get(top, (True, 0)))
+    assert Counter((r.doc_id is None, r.doc_id or 0) for r in kept[stages.near_duplicates, False]) == Counter(classes.values())
+    assert len(kept[stages.secrets, False]) == len(given)
+    assert all(re.search(r"[^\x20\x09-\x0D]", r.text or "") for r in kept[stages.mixing, False])
+    texts = Counter((r.doc_id, len(TokenIds(tokenizer_path()).tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1) for r in given)
+    pieces = stages.packing(spark, odd_documents, folder).collect()
+    assert Counter((r.doc_id, r.doc_tokens) for r in pieces if r.start == 0) == texts
+    assert stages.packing(spark, no_documents, folder).count() == 0
