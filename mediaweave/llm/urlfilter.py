@@ -2,8 +2,9 @@
 
 Features are column expressions over host, path and query: lengths, depth, shares of digits and
 symbols, character entropy, parameter counts, and statistics of the host's suffix.  The trees are
-small histogram trees fitted in numpy on a bounded sample of labelled URLs; in a filter with
-rules, the URLs that rules decide are the labelled ones.
+small histogram trees fitted in numpy on a bounded sample of labelled URLs, both labels weighing
+the same; a quarter of the labelled URLs is held out.  In a filter with rules, the URLs that rules
+decide are the labelled ones, and the features that repeat what the rules test are left out.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 #: (host and path, verdict); a rule fits its host and subdomains where the path starts with its path.
 RULES = (
@@ -33,6 +35,9 @@ LEXICAL = (
 )
 SUFFIX = ("suffix_share", "suffix_rate")
 FEATURES = LEXICAL + SUFFIX
+#: Features that tell a rule's suffix and first folder: trees fitted on rules would only repeat them.
+RULE_FEATURES = ("language_part", "suffix_share", "suffix_rate")
+HOLD_OUT = 4
 _ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -99,7 +104,11 @@ def lexical(urls: DataFrame) -> DataFrame:
 
 
 class BoostedTrees:
-    """Depth-wise histogram trees on the log loss; scores are probabilities of label 1 (block)."""
+    """Depth-wise histogram trees on the log loss; scores are probabilities of label 1 (block).
+
+    Rows are weighted so that both labels weigh the same.  With labels of one kind all scores are
+    their mean.
+    """
 
     def __init__(self) -> None:
         self.base = 0.0
@@ -107,15 +116,16 @@ class BoostedTrees:
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
         mean = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
-        self.base = math.log(mean / (1 - mean))
         if not len(y) or y.min() == y.max():
+            self.base = math.log(mean / (1 - mean))
             return self
+        share = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
         cuts = [np.unique(np.quantile(column, np.linspace(0, 1, BINS + 1)[1:-1])) for column in x.T]
         binned = np.stack([np.searchsorted(c, column, side="left") for c, column in zip(cuts, x.T)], axis=1)
         score = np.full(len(y), self.base)
         for _ in range(TREES):
             p = 1 / (1 + np.exp(-score))
-            gradient, weight = y - p, p * (1 - p)
+            gradient, weight = share * (y - p), share * p * (1 - p)
             nodes = (1 << DEPTH) - 1
             feature, cut = np.zeros(nodes, dtype=np.int64), np.full(nodes, np.inf)
             place = np.zeros(len(y), dtype=np.int64)
@@ -154,18 +164,18 @@ class BoostedTrees:
 def _suffixed(rows: DataFrame) -> DataFrame:
     """The rows with their suffix's share of all rows and its smoothed rate of label 1.
 
-    Statistics are over all rows.  A row's rate is that of the urls of the other fold, so that
-    trees cannot read a row's own label back from it.
+    Statistics are over all rows, but labels that are held out.  A row's rate is that of the urls
+    of the other fold, so that trees cannot read a row's own label back from it.
     """
-    rows = rows.withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(2)))
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(2))).withColumn("learned", F.when(~F.col("held_out"), F.col("label")))
     total = F.sum(F.lit(1))
-    of_fold = lambda n: F.when(F.col("fold") == n, F.col("label"))
+    of_fold = lambda n: F.when(F.col("fold") == n, F.col("learned"))
     stats = rows.groupBy("suffix").agg(
         total.alias("suffix_rows"),
         F.array(*[F.count(of_fold(n)) for n in (1, 0)]).alias("known"),
         F.array(*[F.coalesce(F.sum(of_fold(n)), F.lit(0)) for n in (1, 0)]).alias("ones"),
     )
-    everything = rows.agg(total.alias("all_rows"), F.avg("label").alias("mean")).first()
+    everything = rows.agg(total.alias("all_rows"), F.avg("learned").alias("mean")).first()
     count, mean = max(everything["all_rows"] or 0, 1), everything["mean"] if everything["mean"] is not None else 0.5
     other = lambda c: F.element_at(c, F.col("fold").cast("int") + 1)
     rate = (other("ones") + 10 * mean) / (other("known") + 10)
@@ -173,46 +183,56 @@ def _suffixed(rows: DataFrame) -> DataFrame:
     return joined.withColumn("suffix_share", F.col("suffix_rows") / float(count)).withColumn("suffix_rate", rate)
 
 
-def classified(urls: DataFrame, sample_rows: int = TRAINING_ROWS) -> DataFrame:
-    """``urls`` (url, label 0, 1 or null, any other columns) with host, path and score.
+def classified(urls: DataFrame, sample_rows: int = TRAINING_ROWS, features: Sequence[str] = FEATURES) -> DataFrame:
+    """``urls`` (url, label 0, 1 or null, any other columns) with host, path, held_out and score.
 
-    The trees learn from at most ``sample_rows`` rows with a label, in the order of the url's
-    digest, and score every row.  Without labels of both kinds all scores are the labels' mean.
+    One labelled url in four, by the checksum of the url, is held out: ``held_out`` is true and
+    its label is not learned.  The trees learn from at most ``sample_rows`` other rows with a
+    label, in the order of the url's digest, and score every row.  Without labels of both kinds
+    all scores are the labels' mean, without any 0.5.  A null url counts as empty; repeated rows are
+    scored each; an empty table gives an empty result.  Columns of ``urls`` named host, path,
+    held_out or score are replaced, all others kept whatever their name.
     """
-    rows = urls.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
+    added = ("host", "path", "held_out", "score")
+    given = [F.col(f"`{c}`") for c in urls.columns if c not in added]
+    url = F.coalesce("url", F.lit(""))
+    held = F.col("label").isNotNull() & (F.crc32(url) % HOLD_OUT == HOLD_OUT - 1)
+    rows = urls.select(F.struct(*given).alias("row"), "url", F.col("label").cast("int").alias("label"), held.alias("held_out"))
+    rows = rows.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     rows = rows.withColumn("suffix", F.element_at(F.split("host", r"\."), -1))
-    rows = _suffixed(lexical(rows))
-    sample = rows.where("label is not null").select("label", F.array(*FEATURES).alias("x"), F.md5(F.coalesce("url", F.lit(""))).alias("key"))
-    sample = sample.orderBy("key", "label").limit(sample_rows).toPandas()
-    x = np.array(sample["x"].tolist(), dtype=np.float64).reshape(len(sample), len(FEATURES))
-    trees = BoostedTrees().fit(x, sample["label"].to_numpy(dtype=np.float64))
+    rows = _suffixed(lexical(rows)).withColumn("x", F.array(*features))
+    sample = rows.where("learned is not null").select("learned", "x", F.md5(url).alias("key"))
+    sample = sample.orderBy("key", "learned").limit(sample_rows).toPandas()
+    x = np.array(sample["x"].tolist(), dtype=np.float64).reshape(len(sample), len(features))
+    trees = BoostedTrees().fit(x, sample["learned"].to_numpy(dtype=np.float64))
 
-    kept = [c for c in rows.columns if c not in FEATURES and c not in ("suffix", "fold", "suffix_rows", "known", "ones")]
-    schema = ", ".join(f"`{c}` {t}" for c, t in rows.select(*kept).dtypes) + ", score double"
+    kept = rows.select("row", "host", "path", "held_out", "x")
+    schema = StructType([*kept.schema.fields[:-1], StructField("score", DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.stack([batch.column(len(kept) + k).to_numpy(zero_copy_only=False) for k in range(len(FEATURES))], axis=1)
+            values = batch.column(4).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(features))
             found = pa.array(trees.predict(values), pa.float64())
-            yield pa.record_batch([batch.column(k) for k in range(len(kept))] + [found], names=[*kept, "score"])
+            yield pa.record_batch([*batch.columns[:4], found], names=schema.names)
 
-    return rows.select(*kept, *FEATURES).mapInArrow(score, schema)
+    return kept.mapInArrow(score, schema).select("row.*", *added)
 
 
 def filtered(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
-    """page_id, host, path, rule, verdict, score of every row.
+    """page_id, host, path, rule, verdict, score, held_out of every row.
 
     The verdict is the rule's; where none fits, the trees', which block from a score of one half.
-    URLs that a rule decides are the labelled ones.  A null url, or one without "://", has an
-    empty host and path and fits no rule.  Repeated rows are judged each.  Only page_id and url
-    are read.
+    URLs that a rule decides are the labelled ones; a quarter of them is held out, so that score
+    and rule there tell the trees' error.  The trees do not see RULE_FEATURES.  A null url, or
+    one without "://", has an empty host and path and fits no rule.  Repeated rows are judged
+    each.  Only page_id and url are read.
     """
     rule = rule_of(host_of(F.col("url")), path_of(F.col("url")), rules)
     blocks = F.col("rule").isin([r for r, v in rules if v == "block"])
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", rule.alias("rule"))
     rows = rows.withColumn("label", F.when(F.col("rule").isNotNull(), blocks.cast("int")))
-    found = classified(rows)
+    found = classified(rows, features=[f for f in FEATURES if f not in RULE_FEATURES])
     block = F.coalesce(F.col("label") == 1, F.col("score") >= 0.5)
     return found.select(
-        "page_id", "host", "path", "rule", F.when(block, "block").otherwise("allow").alias("verdict"), "score"
+        "page_id", "host", "path", "rule", F.when(block, "block").otherwise("allow").alias("verdict"), "score", "held_out"
     )

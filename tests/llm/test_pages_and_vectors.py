@@ -126,6 +126,39 @@ def test_trees_learn_from_labelled_urls(spark):
     assert sum((r.score >= 0.5) == spam(r.n) for r in unseen) / len(unseen) > 0.95
 
 
+def test_columns_of_urls_are_kept(spark):
+    names = ["entropy", "fold", "suffix", "known", "row", "learned", "x", "odd name"]
+    rows = [(f"http://{'buy-' if i % 2 else ''}h{i}.org/{i}", i % 2, *[i] * len(names)) for i in range(40)]
+    rows += [(None, None, *[None] * len(names))] * 2 + rows[:3]
+    df = spark.createDataFrame(rows, "url string, label int, " + ", ".join(f"`{n}` int" for n in names))
+    got = urlfilter.classified(df)
+    assert got.columns == ["url", "label", *names, "host", "path", "held_out", "score"]
+    assert Counter(map(tuple, got.select(df.columns).collect())) == Counter(rows)
+    twice = urlfilter.classified(got)
+    assert twice.columns == got.columns and twice.count() == len(rows)
+
+
+def test_held_out_labels_are_not_learned(spark):
+    """Turning every held-out label round moves no score; a label that weighs little still counts."""
+    rows = [(f"http://{'cheap-pills' if i % 8 == 0 else 'news'}{i}.example.org/{i}", int(i % 8 == 0)) for i in range(800)]
+    df = spark.createDataFrame(rows, "url string, label int")
+    first = {r.url: r for r in urlfilter.classified(df).collect()}
+    held = [u for u, r in first.items() if r.held_out]
+    assert 100 < len(held) < 300
+    assert all((first[u].score >= 0.5) == bool(dict(rows)[u]) for u in held)
+    turned = spark.createDataFrame([(u, 1 - n if first[u].held_out else n) for u, n in rows], "url string, label int")
+    assert {r.url: r.score for r in urlfilter.classified(turned).collect()} == {u: r.score for u, r in first.items()}
+
+
+def test_undecided_urls_get_both_verdicts(spark):
+    """What no rule decides is not blocked for its suffix alone."""
+    word = lambda i: hashlib.md5(str(i).encode()).hexdigest()[: 4 + i % 9]
+    rows = [(i, f"http://{word(i)}.example.{('com', 'net', 'org')[i % 3]}/{('en', 'fr', 'es', 'de')[i // 3 % 4]}/{i * 37 % 1000}{('', '?a=1&b=2', '.html')[i % 7 % 3]}") for i in range(1200)]
+    got = urlfilter.filtered(spark.createDataFrame(rows, "page_id long, url string")).where("rule is null").collect()
+    counts = Counter(r.verdict for r in got if r.host.endswith("org"))
+    assert set(counts) == {"allow", "block"}
+
+
 def test_entropy(spark):
     texts = ["", "a", "aab", "abcdabcd", "ééx"]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", urlfilter.entropy(F.col("t")).alias("e")).collect()
