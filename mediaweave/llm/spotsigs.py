@@ -172,21 +172,30 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(c) if c else pa.array([], pa.string()) for c in (list(zip(*found)) or [()] * 7)], names=_NAMES)
 
 
+def _ranged(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) in order: descending ids, null last, equal ids by the text's hash, equal texts by place.
+
+    Equal rows give equal results in any order, so their place may cut them into ranges.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("place", F.monotonically_increasing_id())
+    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("place")]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Each text's fingerprint, that of its edited text, and their likeness; see the columns.
 
-    The next document is the one with the next smaller doc_id (null ids last, equal ids by text);
+    The next document is the one with the next smaller doc_id (null ids last, equal ids by the text's hash);
     after the last comes the first.  An edited text keeps the first half and takes the second
     from the next document.  Null texts count as empty; repeated rows are rows of their own; a
     single row is its own next document.  Only doc_id and text are read.  Texts are shuffled
-    once, by ranges of doc_id; only a partition's first and last texts travel further.
+    once, by ranges of doc_id, the text's hash and the row's place, so that rows of one id, or
+    equal rows, are dealt over as many ranges as they fill; only a partition's first and last
+    texts travel further.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(parts, *order[:2]).sortWithinPartitions(*order)
-    found = stored(ranged.mapInArrow(_consecutive, _STEP), "spots")
+    found = stored(_ranged(docs).mapInArrow(_consecutive, _STEP), "spots")
     heads = found.where("role = 'head'").select("part", F.col("text").alias("following"))
     turn = Window.orderBy("part")
     ring = heads.select("part", F.lead("part").over(turn).alias("onward"), F.min("part").over(Window.partitionBy()).alias("least"))

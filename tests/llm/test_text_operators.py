@@ -413,3 +413,17 @@ def test_fingerprints(spark, documents, odd_documents, no_documents):
             assert prints.setdefault(text, r.fingerprint) == r.fingerprint
     assert spotsigs.fingerprints(odd_documents).count() == odd_documents.count()
     assert spotsigs.fingerprints(no_documents).count() == 0
+
+
+def test_fingerprints_of_one_hot_row(spark):
+    """Repeated rows and rows without an id fill several ranges, and each has its result."""
+    texts = ["the cat sat on the mat and ran", "", "words of a text that is the same"]
+    rows = [(None, texts[2])] * 900 + [(None, "")] * 300 + [(i, texts[i % 3]) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = spotsigs.fingerprints(docs)
+    assert Counter((r.doc_id, r.n_chars) for r in got.collect()) == Counter((d, len(t)) for d, t in rows)
+    like = {r.near_next for r in got.where("doc_id is null").collect()}
+    assert like == {0.0, 1.0}
+    found = Counter(r.part for r in spotsigs._ranged(docs).withColumn("part", F.spark_partition_id()).collect())
+    assert len(found) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(found.values()) < 3 * sorted(found.values())[len(found) // 2]
