@@ -4,7 +4,8 @@ Documents are cut at full windows; each leaves at most one shorter rest.  The hi
 lengths (at most ``window`` numbers, whatever the input) is all the driver sees.  It enumerates
 combinations of up to three lengths that fill a window exactly, solves how often each is to be
 repeated, rounds down, and packs what is left greedily, by length and number.  Pieces then find
-their place by their rank among pieces of the same length.
+their place by their rank among pieces of the same length: their number within the part that cut
+them, and the number of such pieces in the parts before.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ END_ID = 1
 #: Third lengths tried for each pair of a length and a second length.
 SECONDS = 24
 STEPS = 400
-SALTS = 1024
+_PIECE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "within"]
 
 
 def filled_windows(window: int) -> list[int]:
@@ -129,10 +131,13 @@ def places(plan: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int,
 
 
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens): every document's ids, cut at full windows."""
+    """(doc_id, start, length, ids_crc32, doc_tokens, part, within): every document's ids, cut at full windows.
+
+    ``within`` numbers the pieces of one length in the part (task) that cut them, from 0.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = worker_ids(path)
+        tokens, part_id, seen = worker_ids(path), TaskContext.get().partitionId(), np.zeros(window + 1, dtype=np.int64)
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             rows: list[tuple] = []
@@ -140,13 +145,12 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
                 ids = np.append(ids, end_id).astype("<u4")
                 for a in range(0, len(ids), window):
                     part = ids[a : a + window]
-                    rows.append((names[i], a, len(part), zlib.crc32(part.tobytes()), len(ids)))
-            columns = list(zip(*rows)) or [()] * 5
-            yield pa.record_batch(
-                [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-            )
+                    rows.append((names[i], a, len(part), zlib.crc32(part.tobytes()), len(ids), part_id, int(seen[len(part)])))
+                    seen[len(part)] += 1
+            columns = list(zip(*rows)) or [()] * len(_PIECE)
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=_PIECE)
 
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+    schema = ", ".join(f"{c} long" for c in _PIECE)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema)
 
 
@@ -156,7 +160,9 @@ def packed(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
     ``path`` is the tokenizer's file.  Every id lies in exactly one piece.  Null and empty texts
     are the end id alone.  Repeated rows, also with one doc_id, are packed each.  Only doc_id and
     text are read.  An empty table gives an empty result.  The plan's slots, at most three for
-    each combination and one for each left length and step, are the only broadcast.
+    each combination and one for each left length and step, are the plan's only broadcast.  Pieces
+    are numbered where they are cut and written with their part, so that a length, an id or a row
+    that many share is never sorted in one task.
     """
     spark = docs.sparkSession
     cut = stored(pieces(docs, path, window, end_id), "pieces")
@@ -165,13 +171,10 @@ def packed(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
         places(pack_plan(histogram, window)),
         "slot_length long, first_rank long, end_rank long, first_sequence long, offset long",
     )
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(SALTS)))
-    counts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("length", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    own = Window.partitionBy("length", "salt").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
-    ranked = salted.withColumn("within", F.row_number().over(own) - 1).join(counts, ["length", "salt"])
-    ranked = ranked.withColumn("rank", F.col("before") + F.col("within"))
+    counts = cut.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("length", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    ranked = cut.join(counts, ["length", "part"]).withColumn("rank", F.col("before") + F.col("within"))
     here = (F.col("length") == F.col("slot_length")) & (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("end_rank"))
     found = ranked.join(F.broadcast(slots), here)
     return found.select(

@@ -264,6 +264,19 @@ def test_packed(documents, odd_documents, no_documents):
     assert packing.packed(no_documents, tokenizer_path()).count() == 0
 
 
+def test_packed_rows_of_one_length(spark):
+    """A third of the rows are equal: each is packed once, no task sorts or holds them all."""
+    rows = [(None, "")] * 400 + [(i, f"words {'again ' * (i % 5)}") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    got = packing.packed(docs, tokenizer_path())
+    places = Counter((r.sequence_id, r.offset) for r in got.collect())
+    assert len(places) == len(rows) and set(places.values()) == {1}
+    empty = got.where("doc_id is null")
+    assert empty.count() == 400 and {r.length for r in empty.collect()} == {1}
+    cut = packing.pieces(docs, tokenizer_path()).collect()
+    assert max(Counter((r.length, r.part) for r in cut).values()) < 100
+
+
 # -- quality ------------------------------------------------------------------
 
 
