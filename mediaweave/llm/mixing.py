@@ -20,8 +20,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 PASSES = 2
-#: Hash ranges per source; rows of one range are summed in one window.
-RANGE_DIGITS = 3
+#: Equal rows that one task writes out of a run.
+RUN = 4096
 SLICES = 4096
 
 
@@ -64,6 +64,25 @@ def _identity() -> Column:
     return F.md5(F.concat_ws("\x1f", *parts))
 
 
+def _expanded(runs: DataFrame) -> DataFrame:
+    """The rows of runs (n equal rows, nth_before and earlier), with nth and cumulative size.
+
+    A run of more than ``RUN`` rows is cut into stretches that are dealt out first.
+    """
+
+    def rows(stretches: DataFrame, first: Column, last: Column) -> DataFrame:
+        every = stretches.withColumn("k", F.explode(F.sequence(first, last)))
+        every = every.withColumn("nth", F.col("nth_before") + F.col("k"))
+        every = every.withColumn("cumulative", F.col("earlier") + F.col("k") * F.col("size"))
+        return every.drop("k", "n", "nth_before", "earlier")
+
+    short = rows(runs.where(F.col("n") <= RUN), F.lit(1).cast("long"), F.col("n"))
+    cut = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / RUN))
+    long = runs.where(F.col("n") > RUN).withColumn("stretch", F.explode(cut)).repartition("identity", "stretch")
+    first = F.col("stretch") * RUN
+    return short.unionByName(rows(long, first + 1, F.least(first + RUN, "n")).drop("stretch"))
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -78,29 +97,35 @@ def mix(
     and are never taken.  Rows are shuffled by md5 of seed and doc_id, ties by doc_id (null
     first), size and identity; repeated rows are rows of their own.  Only doc_id, text and source
     are read, so other columns cannot clash.  An empty table gives an empty result.  Texts are
-    read once; the narrow work tables are written to the shared folder.
+    read once; the narrow work tables are written to the shared folder.  Equal rows travel as one
+    row and its number; the others are sorted by ranges of their whole order, so that rows that
+    share an id, or have none, are dealt over many ranges.
     """
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"), _identity().alias("identity"))
-    sized = stored(sized.withColumn("range", F.substring("key", 1, RANGE_DIGITS)), "mix-sizes")
-    targets = source_targets(sized, weights, share, passes)
-    budget = (sized.agg(F.sum("size")).first()[0] or 0) * float(share)
-
-    # Sums before each hash range: one row per source and range, whatever the number of rows.
-    ranges = sized.groupBy("source", "range").agg(F.sum("size").alias("in_range"))
+    order = ("key", "doc_id", "size", "identity")
+    # Equal rows are one run of consecutive places; a run is counted before the shuffle.
+    runs = sized.groupBy("source", *order).agg(F.count(F.lit(1)).alias("n"))
+    runs = runs.repartitionByRange("source", *order).withColumn("range", F.spark_partition_id())
+    runs = stored(runs, "mix-sizes")
+    whole_run = F.col("n") * F.col("size")
+    targets = source_targets(runs.select("source", whole_run.alias("size")), weights, share, passes)
+    budget = (runs.agg(F.sum(whole_run)).first()[0] or 0) * float(share)
+
+    # Sums before each range of a source: one row per source and range, whatever the number of rows.
+    ranges = runs.groupBy("source", "range").agg(F.sum(whole_run).alias("in_range"))
     earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("before", F.coalesce(F.sum("in_range").over(earlier), F.lit(0)))
     facts = ranges.alias("r").join(targets.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")))
     facts = facts.select("r.source", "r.range", "before", "source_size", "place", "target")
 
-    order = ("key", "doc_id", "size", "identity")
-    own = Window.partitionBy("source", "range").orderBy(*order)
-    upto = own.rowsBetween(Window.unboundedPreceding, 0)
-    rows = sized.withColumn("within", F.sum("size").over(upto)).withColumn("nth", F.row_number().over(own))
+    own = Window.partitionBy("source", "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("within", F.coalesce(F.sum(whole_run).over(own), F.lit(0)))
+    runs = runs.withColumn("nth_before", F.coalesce(F.sum("n").over(own), F.lit(0)))
     here = F.col("d.source").eqNullSafe(F.col("f.source")) & (F.col("d.range") == F.col("f.range"))
-    rows = rows.alias("d").join(facts.alias("f"), here)
-    rows = rows.select("d.*", "source_size", "place", "target", (F.col("before") + F.col("within")).alias("cumulative"))
-    rows = stored(rows.drop("within"), "mix-queue")
+    runs = runs.alias("d").join(facts.alias("f"), here)
+    runs = runs.select("d.*", "source_size", "place", "target", (F.col("before") + F.col("within")).alias("earlier")).drop("within")
+    rows = stored(_expanded(runs), "mix-queue")
 
     def finish(turn: int) -> Column:
         return F.try_divide(F.lit(turn) * F.col("source_size") + F.col("cumulative"), F.col("target"))

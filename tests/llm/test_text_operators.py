@@ -196,6 +196,20 @@ def test_mixed_documents_of_repeated_rows(spark):
     assert "collect_list" not in mixed._jdf.queryExecution().toString()
 
 
+def test_mix_of_a_long_run(spark, monkeypatch):
+    """Half of the rows are equal and have no id: cut into stretches, each row still has its own place."""
+    rows = [(None, "one two", "b")] * 900 + [(None, "", "b")] * 100 + [(i, "w " * (i % 7), "abc"[i % 3]) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    whole = Counter(mixing.mix(docs).collect())
+    monkeypatch.setattr(mixing, "RUN", 64)
+    assert Counter(mixing.mix(docs).collect()) == whole
+    assert sum(whole.values()) == len(rows)
+    sized, total, target = plain_mix(rows)
+    taken = sum(n * r.taken for r, n in whole.items() if r.source == "b")
+    assert abs(taken - target["b"]) <= 7
+    assert sum(n for r, n in whole.items() if r.doc_id is None and r.size == 2) == 900
+
+
 # -- packing ------------------------------------------------------------------
 
 
