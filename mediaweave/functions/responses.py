@@ -233,21 +233,22 @@ def distinct_texts(v: Column) -> Column:
     equals a text that reads the same.
     """
 
-    def tagged(x: Column, boxed: Column) -> Column:
-        return F.struct(x.alias("text"), boxed.alias("boxed"))
-
-    plain = F.transform(
-        F.try_variant_get(v, "$", "array<string>"), lambda x: tagged(F.coalesce(x, F.lit("None")), F.lit(False))
-    )
-    mixed = F.transform(as_list(v), lambda x: tagged(item_text(x), F.coalesce(_kind(x).isin("OBJECT", "ARRAY"), F.lit(False))))
-    items = F.when(F.schema_of_variant(v) == "ARRAY<STRING>", plain).otherwise(mixed)
-
-    def key(x: Column) -> Column:
-        text = strip(x["text"])
-        return F.when(x["boxed"], F.concat(F.lit("json:"), text)).otherwise(F.concat(F.lit("text:"), F.lower(text)))
-
-    kept = F.filter(items, lambda x: strip(x["text"]) != "")
-    return F.transform(ordered_distinct(kept, key), lambda x: x["text"])
+    def tagged(x: Column) -> Column:
+        """The text behind a letter for its kind: repeats of plain texts are found by hash, those of structs by comparing all pairs."""
+        return F.concat(F.when(_kind(x).isin("OBJECT", "ARRAY"), "j").otherwise("t"), item_text(x))
+
+    def tagged_key(x: Column) -> Column:
+        text = strip(F.substring(x, F.lit(2), F.length(x)))
+        return F.when(text == "", "").when(x.startswith("j"), F.concat(F.lit("json:"), text)).otherwise(F.concat(F.lit("text:"), F.lower(text)))
+
+    def read(v: Column) -> Column:
+        strings = F.try_variant_get(v, "$", "array<string>")
+        plain = ordered_distinct(F.transform(strings, lambda x: F.coalesce(x, F.lit("None"))), lambda x: F.lower(strip(x)), "")
+        mixed = ordered_distinct(F.transform(as_list(v), tagged), tagged_key, "")
+        untagged = F.transform(mixed, lambda x: F.substring(x, F.lit(2), F.length(x)))
+        return F.when(F.schema_of_variant(v) == "ARRAY<STRING>", plain).otherwise(untagged)
+
+    return let(v, read)
 
 
 # -- summaries ----------------------------------------------------------------

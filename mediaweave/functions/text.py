@@ -72,14 +72,18 @@ def is_blank(c: Column) -> Column:
     return clean_text(c) == ""
 
 
-def ordered_distinct(items: Column, key: Callable[[Column], Column]) -> Column:
+def ordered_distinct(items: Column, key: Callable[[Column], Column], blank: str | None = None) -> Column:
     """Keep the first item of each key, in order: two sorts instead of n² look-ups.
 
-    Exact repeats go first, by hash, so that only different spellings are sorted.
+    Exact repeats go first, by hash, so that only different spellings are sorted.  The items are
+    texts: of structs ``array_distinct`` compares all pairs.  Items without a key, or with the
+    ``blank`` one, are dropped where one is given.
     """
     keyed = F.transform(
         F.array_distinct(items), lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))
     )
+    if blank is not None:
+        keyed = F.filter(keyed, lambda e: e["k"] != blank)
 
     def firsts(run: Column) -> Column:
         kept = F.filter(run, lambda e, i: (i == 0) | (run[i - 1]["k"] != e["k"]))
