@@ -81,13 +81,16 @@ def tune(spark: SparkSession) -> SparkSession:
 
     Timestamps are UTC.  AQE splits a hot join partition; the force flag keeps
     that split even where it costs one more shuffle further up the plan.  A
-    top-N of the size left to windows is cut down before its shuffle.
+    top-N of the size left to windows is cut down before its shuffle.  Batches
+    that go to Python are bounded in rows and bytes, whatever a partition holds.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark
 
 

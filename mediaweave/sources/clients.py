@@ -9,7 +9,7 @@ again and calls are paid for.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Protocol
 
 import pandas as pd
@@ -29,6 +29,10 @@ from ..operators.ranking import numbered
 from .tables import StagedResults
 
 
+#: Characters of requests and answers, and rows, that a task holds before it sends them on.
+PIECE_CHARS, PIECE_ROWS = 1 << 20, 1000
+
+
 class ModelClient(Protocol):
     def generate(self, prompts: list[str]) -> list[str]: ...
 
@@ -76,6 +80,29 @@ def _spread(df: DataFrame, keys: list[str], partitions: int) -> DataFrame:
     return df.repartition(partitions, *keys)
 
 
+def _answered(rows: pd.DataFrame, asked: list[str], answers: Iterable[tuple], fields: dict[str, str]) -> Iterator[pd.DataFrame]:
+    """The rows with their answers' ``fields`` (name and type), in pieces of bounded size.
+
+    Answers are asked for one by one, so a task never holds those of a whole batch.
+    """
+    got, size, start = [], 0, 0
+
+    def piece() -> pd.DataFrame:
+        part = rows.iloc[start : start + len(got)]
+        return part.assign(**{
+            name: pd.Series([g[n] for g in got], dtype=kind, index=part.index) for n, (name, kind) in enumerate(fields.items())
+        })
+
+    for request, answer in zip(asked, answers):
+        got.append(answer)
+        size += sum(len(x) for x in (request, *answer) if isinstance(x, str))
+        if size >= PIECE_CHARS or len(got) >= PIECE_ROWS:
+            yield piece()
+            start, got, size = start + len(got), [], 0
+    if got:
+        yield piece()
+
+
 def generate_answers(
     prompts: DataFrame, keys: list[str], factory: ClientFactory, partitions: int
 ) -> DataFrame:
@@ -91,8 +118,8 @@ def generate_answers(
                 return None, str(problem) or type(problem).__name__
 
         for rows in batches:
-            answers = [one(p) for p in rows.pop("prompt")]
-            yield rows.assign(raw=[a for a, _ in answers], error=[e for _, e in answers])
+            asked = rows.pop("prompt").tolist()
+            yield from _answered(rows, asked, map(one, asked), {"raw": "object", "error": "object"})
 
     wanted = prompts.select(*keys, "request_hash", "prompt")
     return _spread(wanted, keys, partitions).mapInPandas(call, answer_schema(prompts, keys))
@@ -114,12 +141,8 @@ def fetch_captions(
                 return 0, None, str(problem) or type(problem).__name__
 
         for rows in batches:
-            got = [one(v) for v in rows["video_id"]]
-            yield rows.assign(
-                status=pd.Series([g[0] for g in got], dtype="int32", index=rows.index),
-                body=[g[1] for g in got],
-                error=[g[2] for g in got],
-            )
+            asked = rows["video_id"].tolist()
+            yield from _answered(rows, asked, map(one, asked), {"status": "int32", "body": "object", "error": "object"})
 
     wanted = videos.select(*keys, "request_hash")
     return _spread(wanted, keys, partitions).mapInPandas(call, captions_schema(videos, keys))
