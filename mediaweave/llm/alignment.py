@@ -7,8 +7,8 @@ then halving back); an irregular group is walked end by end, and the shift it le
 diagonal.
 
 Tokens never reach over a space that follows a character other than white space, so a text falls
-into units there, and each distinct unit is tokenised once by a worker's bounded table.  Texts are
-aligned in slices of units; a slice ends where tokens of both end.
+into units there; each distinct unit is tokenised and aligned once by a worker's bounded table, as
+tokens of both end where it ends.  Texts are put together from their units in slices.
 
 How often a pair of ids is linked is counted over the whole corpus.  Documents travel in blocks:
 a block names its distinct pairs once, only those are shuffled to their counts and back.
@@ -36,7 +36,7 @@ SLICE, BLOCK_CHARS, TABLE_BYTES = 1 << 18, 1 << 20, 24 << 20
 #: Characters of new units tokenised in a row.
 ROW = 1 << 12
 #: A unit begins with a space and has more than that: a space alone at the end stays with the unit before.
-_UNITS = re.compile(r"(?<=\S)(?= [\s\S])")
+_UNITS = re.compile(r" (?<=\S )(?=[\s\S])")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -50,8 +50,9 @@ def byte_letters() -> dict[str, int]:
 class Tokenizers:
     """Both tokenizers, the bytes of every token, and a bounded table of the units seen so far.
 
-    Unit number n has the A ids ``flat[0][first[0][n]:][:size[0][n]]``, and so on with 1 for B; a
-    unit whose bytes a tokenizer does not give back is marked in ``broken``.
+    Unit number n has the A ids ``flat[0][first[0][n]:][:size[0][n]]``, and so on with 1 for B, 2 and
+    3 for the numbers of A and B tokens in each of its groups; a unit whose bytes a tokenizer does
+    not give back is marked in ``broken``.
     """
 
     def __init__(self, byte_path: str, piece_path: str):
@@ -82,16 +83,16 @@ class Tokenizers:
 
     def _empty(self) -> None:
         self.rows: dict[str, int] = {}
-        self.first = [np.zeros(0, dtype=np.int64) for _ in range(2)]
-        self.size = [np.zeros(0, dtype=np.int64) for _ in range(2)]
-        self.flat = [np.zeros(0, dtype=np.int64) for _ in range(2)]
+        self.first = [np.zeros(0, dtype=np.int64) for _ in range(4)]
+        self.size = [np.zeros(0, dtype=np.int64) for _ in range(4)]
+        self.flat = [np.zeros(0, dtype=np.int64) for _ in range(4)]
         self.broken = np.zeros(0, dtype=bool)
         self.again = np.zeros(0, dtype=bool)
         self.spelled = 0
 
     def held(self) -> int:
         """Bytes of the table, about: the units with their dictionary entries, and the arrays."""
-        return 150 * len(self.rows) + self.spelled + 34 * len(self.broken) + 8 * sum(map(len, self.flat))
+        return 150 * len(self.rows) + self.spelled + 66 * len(self.broken) + 8 * sum(map(len, self.flat))
 
     def _make_room(self) -> None:
         """Keep the units that were met again since the last time; none if they are too many."""
@@ -104,13 +105,16 @@ class Tokenizers:
         self.rows = {u: n for n, u in enumerate(units)}
         self.spelled = sum(map(len, units))
         self.broken, self.again = broken[keep], np.zeros(len(keep), dtype=bool)
-        for k in range(2):
+        for k in range(4):
             self.flat[k] = _gathered(flat[k], first[k][keep], size[k][keep])
             self.size[k] = size[k][keep]
             self.first[k] = np.cumsum(self.size[k]) - self.size[k]
 
     def units(self, text: str) -> list[str]:
-        return _UNITS.split(text) if self.splits else [text]
+        if not self.splits:
+            return [text]
+        first, *rest = _UNITS.split(text)
+        return [first, *[" " + u for u in rest]]
 
     def learn(self, units: list[str]) -> None:
         """Tokenise the units that the table does not hold; each begins with a space."""
@@ -147,12 +151,18 @@ class Tokenizers:
                 self._add(units[: len(units) // 2], limit)
                 self._add(units[len(units) // 2 :], limit)
                 return
-            cut = [np.array([len(f)]) for f in flat]
+            cut = [np.array([len(f)]) for f in flat] + [np.array([0])] * 2
+            flat += [np.zeros(0, dtype=np.int64)] * 2
+        else:
+            # Tokens of both end with each unit, so the groups of a row of units are theirs one by one.
+            grouped = _group_ends(groups(up_to[0].tolist(), up_to[1].tolist()), *up_to)
+            cut += [np.searchsorted(grouped[0], cut[0], side="right")] * 2
+            flat += [np.diff(g, prepend=0) for g in grouped]
         self.rows.update(zip(units, range(len(self.broken), len(self.broken) + len(units))))
         self.spelled += len(whole)
         self.broken = np.append(self.broken, np.full(len(units), not good))
         self.again = np.append(self.again, np.zeros(len(units), dtype=bool))
-        for k in range(2):
+        for k in range(4):
             first = np.concatenate([[0], cut[k][:-1]])
             self.first[k] = np.append(self.first[k], len(self.flat[k]) + first)
             self.size[k] = np.append(self.size[k], cut[k] - first)
@@ -165,7 +175,7 @@ class Tokenizers:
         return taken.buffers()[2][:end].to_pybytes()
 
     def ids(self, units: list[str]) -> list[np.ndarray] | None:
-        """The A and the B ids of consecutive units; None if bytes differ in one."""
+        """The A and the B ids of consecutive units and how many of each their groups have; None if bytes differ in one."""
         try:
             at = np.fromiter(map(self.rows.__getitem__, units), dtype=np.int64, count=len(units))
         except KeyError:
@@ -173,7 +183,7 @@ class Tokenizers:
             at = np.fromiter(map(self.rows.__getitem__, units), dtype=np.int64, count=len(units))
         if self.broken[at].any():
             return None
-        return [_gathered(self.flat[k], self.first[k][at], self.size[k][at]) for k in range(2)]
+        return [_gathered(self.flat[k], self.first[k][at], self.size[k][at]) for k in range(4)]
 
 
 def _rows_of(units: list[str], limit: int) -> list[int]:
@@ -202,22 +212,28 @@ def groups(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, in
     n = len(ends_a)
     while i < n:
         # The run along this diagonal: probe ever longer stretches, then halve back to the last equal end.
-        start, step = i, 1
-        while i < n and ends_a[i : i + step] == ends_b[j : j + step]:
-            reach = min(step, n - i)
-            i += reach
-            j += reach
-            step *= 2
-        while step > 1 and i < n:
-            step //= 2
-            if ends_a[i : i + step] == ends_b[j : j + step]:
-                reach = min(step, n - i)
-                i += reach
-                j += reach
-        if i > start:
+        if ends_a[i] == ends_b[j]:
+            start, step = i, 2
+            i += 1
+            j += 1
+            while i < n and ends_a[i : i + step] == ends_b[j : j + step]:
+                i += step
+                j += step
+                step *= 2
+            while step > 2 and i < n:
+                step //= 2
+                if ends_a[i : i + step] == ends_b[j : j + step]:
+                    i += step
+                    j += step
+            if i < n and ends_a[i] == ends_b[j]:
+                i += 1
+                j += 1
+            if i > n:  # stretches at the end are shorter than a step
+                j -= i - n
+                i = n
             out.append((start, i, j - (i - start), j))
-        if i >= n:
-            break
+            if i >= n:
+                break
         # An irregular group: the side that is behind goes on until the ends meet; the shift is then a new one.
         a, b = i, j
         x, y = ends_a[a], ends_b[b]
@@ -235,7 +251,7 @@ def groups(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, in
 
 def _group_ends(stretches: list[tuple[int, int, int, int]], ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How many A and B tokens lie up to the end of each group."""
-    p, q, r, s = np.array(stretches, dtype=np.int64).T
+    p, q, r, s = np.fromiter(chain.from_iterable(stretches), dtype=np.int64, count=4 * len(stretches)).reshape(-1, 4).T
     # A stretch is a run if its first tokens end together; an irregular group's do not, unless it is over with them.
     run = (ends_a[p] == ends_b[r]) & (q - p == s - r)
     n = np.where(run, q - p, 1)
@@ -263,11 +279,9 @@ class Aligned:
             found = tokenizers.ids(units[start:stop])
             if found is None:
                 return
-            a, b = found
-            ends_a, ends_b = (np.cumsum(tokenizers.lengths[k][ids]) for k, ids in enumerate(found))
-            up_to_a, up_to_b = _group_ends(groups(ends_a.tolist(), ends_b.tolist()), ends_a, ends_b)
+            a, b, own_a, own_b = found
+            up_to_a, up_to_b = np.cumsum(own_a), np.cumsum(own_b)
             # Each id as it is written, the A ids of a group before its B ids.
-            own_a, own_b = np.diff(up_to_a, prepend=0), np.diff(up_to_b, prepend=0)
             last_a, last_b = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)
             last_a[up_to_a - 1], last_b[up_to_b - 1] = True, True
             shown = np.empty(len(a) + len(b), dtype=np.int64)

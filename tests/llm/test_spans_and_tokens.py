@@ -1,6 +1,7 @@
 """Source divergence, repeated passages and token alignment against plain versions."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -260,3 +261,24 @@ def test_groups_are_the_common_ends(seed):
         else:
             ends.append(a[q - 1])
     assert ends == sorted(set(a) & set(b)) and (next_a, next_b) == (len(a), len(b))
+
+
+def test_units_are_aligned_once(monkeypatch):
+    """op13: every text was aligned anew, though its units lay in the table."""
+    aligned = []
+    whole = alignment.groups
+    monkeypatch.setattr(alignment, "groups", lambda a, b: aligned.append(len(a)) or whole(a, b))
+    tokenizers = alignment.Tokenizers(tokenizer_path(BYTE), tokenizer_path(PIECE))
+    text = "The unbelievable misalignment of tokenizers, \u4f60\u597d \U0001f600  two  spaces\n lines "
+    first = alignment.Aligned(tokenizers, text * 50)
+    assert 0 < sum(aligned) < first.n_a / 10
+    aligned.clear()
+    again = alignment.Aligned(tokenizers, text * 50)
+    assert not aligned and again.sha == first.sha and (again.links == first.links).all()
+    # The groups are those of the whole text's tokens.
+    whole_text = (" " + text * 50).encode()
+    a = tokenizers.byte.encode(whole_text.decode(), add_special_tokens=False).ids
+    b = tokenizers.piece.encode(text * 50)
+    ends_a, ends_b = (list(itertools.accumulate(int(tokenizers.lengths[k][i]) for i in ids)) for k, ids in enumerate((a, b)))
+    assert ends_a[-1] == ends_b[-1] == len(whole_text)
+    assert (first.n_a, first.n_b, first.n_groups) == (len(a), len(b), len(set(ends_a) & set(ends_b)))
