@@ -12,6 +12,8 @@ from ..config import scratch_path
 
 MASK = (1 << 64) - 1
 BLOCK_BYTES = 1 << 20
+#: Bytes that are hashed at a time; a worker keeps 32 times as many for the powers of twice that length.
+HASH_BYTES = 1 << 17
 _STEP = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_STEP, -1, 1 << 64)
 
@@ -90,20 +92,20 @@ _POWERS = {"n": 0}
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if n <= 2 * BLOCK_BYTES:
+    if n <= 2 * HASH_BYTES:
         if not _POWERS["n"]:
-            _POWERS.update(n=2 * BLOCK_BYTES, up=_powers(_STEP, 2 * BLOCK_BYTES + 1), down=_powers(_INVERSE, 2 * BLOCK_BYTES + 1))
+            _POWERS.update(n=2 * HASH_BYTES, up=_powers(_STEP, 2 * HASH_BYTES + 1), down=_powers(_INVERSE, 2 * HASH_BYTES + 1))
         return _POWERS["up"], _POWERS["down"]
     return _powers(_STEP, n + 1), _powers(_INVERSE, n + 1)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of data[start:end] for ascending spans, in blocks of about a megabyte."""
+    """A 64-bit hash of data[start:end] for ascending spans, in blocks of HASH_BYTES."""
     out = np.empty(len(starts), dtype=np.uint64)
     i = 0
     while i < len(starts):
         first = starts[i]
-        j = max(i + 1, int(np.searchsorted(ends, first + BLOCK_BYTES, side="right")))
+        j = max(i + 1, int(np.searchsorted(ends, first + HASH_BYTES, side="right")))
         last = ends[j - 1]
         up, down = _power_tables(int(last - first))
         sums = np.zeros(last - first + 1, dtype=np.uint64)

@@ -18,8 +18,8 @@ from .common import portions
 
 CHUNK, OVERLAP = 512, 64
 WIDTH, FILTERS, HIDDEN = 6, 32, 24
-#: Chunks that the filters run along at a time.
-ROWS = 64
+#: Chunks that are copied out of their texts, and that the filters run along, at a time.
+ROWS = 16
 KEEP = 0.7
 #: Bound of the training sample: labelled rows by the order of their digest, chunks of each text.
 TRAINING_ROWS = 6000
@@ -29,17 +29,29 @@ EPOCHS, BATCH, RATE, SEED = 8, 64, 0.01, 7
 LEAST_STEPS = 400
 
 
-def chunk_matrix(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The chunks of all texts (padded with zero bytes) and the number of each text's first one."""
+def chunk_places(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts in a row (each padded with zero bytes), where each chunk starts, and the number of each text's first chunk."""
     step = CHUNK - OVERLAP
-    data = np.frombuffer(b"".join(t + bytes(CHUNK) for t in texts), dtype=np.uint8)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     counts = 1 + np.maximum(sizes - CHUNK + step - 1, 0) // step
     first = np.cumsum(counts) - counts
     begin = np.cumsum(sizes + CHUNK) - sizes - CHUNK
+    data = np.zeros(int(sizes.sum()) + CHUNK * len(texts), dtype=np.uint8)
+    for text, at in zip(texts, begin):
+        data[at : at + len(text)] = np.frombuffer(text, dtype=np.uint8)
     nth = np.arange(counts.sum()) - np.repeat(first, counts)
-    starts = np.repeat(begin, counts) + nth * step
-    return data[starts[:, None] + np.arange(CHUNK)], first
+    return data, np.repeat(begin, counts) + nth * step, first
+
+
+def cut_out(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The chunks that start there, one a row."""
+    return data[starts[:, None] + np.arange(CHUNK)]
+
+
+def chunk_matrix(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The chunks of all texts (padded with zero bytes) and the number of each text's first one."""
+    data, starts, first = chunk_places(texts)
+    return cut_out(data, starts), first
 
 
 class ByteNetwork:
@@ -72,10 +84,16 @@ class ByteNetwork:
         return top, at
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        """Probability of label 1, to six digits, so that equal texts score alike; an empty text is one chunk of padding."""
-        chunks, first = chunk_matrix(texts)
-        hidden = np.maximum(np.tanh(self.pooled(chunks)[0]) @ self.inner + self.shift, 0)
-        counts = np.diff(np.append(first, len(chunks)))
+        """Probability of label 1, to six digits, so that equal texts score alike; an empty text is one chunk of padding.
+
+        Chunks are copied out a few at a time: the texts' own bytes are all that is held whole.
+        """
+        data, starts, first = chunk_places(texts)
+        top = np.empty((len(starts), FILTERS), dtype=np.float32)
+        for a in range(0, len(starts), ROWS):
+            top[a : a + ROWS] = self.pooled(cut_out(data, starts[a : a + ROWS]))[0]
+        hidden = np.maximum(np.tanh(top) @ self.inner + self.shift, 0)
+        counts = np.diff(np.append(first, len(starts)))
         mean = np.add.reduceat(hidden.astype(np.float64), first, axis=0) / counts[:, None]
         return np.round(1 / (1 + np.exp(-(mean @ self.outer.astype(np.float64) + float(self.bias[0])))), 6)
 
@@ -134,9 +152,9 @@ def _training_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(2).to_pylist()]
         out = []
         for text in texts:
-            chunks, _ = chunk_matrix([text])
-            few = np.unique(np.linspace(0, len(chunks) - 1, min(len(chunks), TRAINING_CHUNKS)).astype(np.int64))
-            out.append(chunks[few].tobytes())
+            data, starts, _ = chunk_places([text])
+            few = np.unique(np.linspace(0, len(starts) - 1, min(len(starts), TRAINING_CHUNKS)).astype(np.int64))
+            out.append(cut_out(data, starts[few]).tobytes())
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["doc_id", "quality", "chunks"])
 
 

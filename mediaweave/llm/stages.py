@@ -16,13 +16,25 @@ from . import quality as quality_operator
 from .common import prepare, table
 from .token_ids import tokenizer_path
 
+#: Bytes of a batch to or from Python.  A task holds several copies of one outside the heap, and
+#: an executor that ran one stage after the other keeps what its largest batches took.
+BATCH_BYTES = 1 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """The operators' session options, with smaller batches: stages follow each other on the same executors."""
+    prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
 
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents that the classifier, fitted on the labels of these documents, accepts.
 
     Without a label of these documents all stay.  Rows of equal texts go or stay together.
     """
-    return quality_operator.good_documents(docs, table(spark, folder, "labels"))
+    labels = table(spark, folder, "labels")
+    small_batches(spark)
+    return quality_operator.good_documents(docs, labels)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -31,23 +43,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     Rows that repeat text and id are one class; of several equal in both one stays.  Empty texts
     are one class, as are texts that are equal without holding a word.
     """
-    prepare(spark)
+    small_batches(spark)
     return minhash.one_of_each(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Every document, its secrets replaced by a mark; null texts stay null, n_chars follows the text."""
-    prepare(spark)
+    small_batches(spark)
     return secret_scan.redacted(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents as the mix takes them: left out, once or twice.  Texts without words are left out."""
-    prepare(spark)
+    small_batches(spark)
     return mixing_operator.mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The pieces of all documents and their places in sequences; an empty text is one piece, its end id."""
-    prepare(spark)
+    small_batches(spark)
     return packing_operator.packed(docs, tokenizer_path())

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -302,6 +303,21 @@ def test_pipeline(spark, monkeypatch):
     assert max(filled.values()) <= 2048 and padded <= 0.02 * total
 
 
+def test_stages_bound_the_bytes_of_a_batch(spark):
+    """What Python is sent at a time once a stage's rows are computed: of 3 MB of texts at most a third or so."""
+    texts = spark.range(12).selectExpr("id as doc_id", "repeat('word ', 50000) as text", "'a' as source")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["n"])
+
+    for stage in (stages.quality, stages.near_duplicates, stages.secrets, stages.mixing, stages.packing):
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        stage(spark, texts, "/root/testdata/sf0.001")
+        assert texts.coalesce(1).mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] < 3 << 19
+    prepare(spark)
+
+
 def test_stages_of_odd_rows(spark, odd_documents, no_documents):
     """Nulls, empty texts, repeated rows, clashing names and no rows at all, in every stage."""
     folder = "/root/testdata/sf0.001"

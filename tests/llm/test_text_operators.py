@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mediaweave.llm import mixing, packing, quality, secret_scan, spotsigs, wordpiece
+from mediaweave.llm import common, mixing, packing, quality, secret_scan, spotsigs, wordpiece
 from mediaweave.llm.token_ids import TokenIds, tokenizer_path
 
 FOLDER = "/root/testdata/sf0.001"
@@ -318,6 +319,34 @@ def test_scores_are_those_of_a_plain_loop():
         assert math.isclose(score, 1 / (1 + math.exp(-logit)), rel_tol=1e-3)
 
 
+def test_a_long_text_is_scored_in_few_bytes():
+    """What scoring holds is in proportion to the text's own bytes, not to copies of all its chunks."""
+    network, text = quality.ByteNetwork(3), b"some words of a long text, " * 60_000
+    tracemalloc.start()
+    try:
+        network.scores([text])
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 5 * len(text)
+
+
+def test_long_rows_are_hashed_in_small_blocks():
+    """Spans within a block, across its end and longer than it hash like a plain loop; the tables kept for it are small."""
+    mask, size = common.MASK, common.HASH_BYTES
+    data = np.random.default_rng(0).integers(0, 256, 6 * size).astype(np.uint8)
+    starts = np.array([0, 5, size - 2, size + 9, 2 * size - 1, 4 * size + 3, 6 * size - 1])
+    ends = np.array([3, 5, size + 4, size + 10, 4 * size + 2, 5 * size, 6 * size])
+    found = common.span_hashes(data, starts, ends)
+    for a, b, h in zip(starts, ends, found):
+        total, power = 0, 1
+        for x in data[a:b].tolist():
+            total, power = total + (x + 1) * power & mask, power * common._STEP & mask
+        total = total + int(b - a) * 0xD6E8FEB86659FD93 & mask
+        assert h == common.mixed(np.array([total], dtype=np.uint64))[0]
+    assert common._POWERS["up"].nbytes + common._POWERS["down"].nbytes < 8 << 20
+
+
 def test_fitting_separates_two_texts():
     rng = np.random.default_rng(0)
     chunks = rng.integers(97, 105, (4, quality.CHUNK)).astype(np.uint8)
