@@ -31,7 +31,7 @@ from ..schemas import (
     VIDEO_SUMMARY,
 )
 from ..sources import payloads
-from ..sources.tables import VersionedTable
+from ..sources.tables import GivenTable, VersionedTable
 from ..streaming.incremental import newest_handler, run_available
 from . import inputs
 from .inputs import (
@@ -136,7 +136,7 @@ def stage_summaries(t: Given) -> DataFrame:
 def _tag_tables(t: Given, root: str, tags: DataFrame | None = None) -> tags_job.TagTables:
     return tags_job.TagTables(
         docs=_table(t, root, "docs", IG_DOC, inputs.post_docs(t)),
-        captions=_table(t, root, "captions", IG_POST, inputs.caption_posts(t)),
+        captions=GivenTable(inputs.caption_posts(t), IG_POST),
         tags=_table(t, root, "tags", TOPIC_TAGS, tags),
         failures=_table(t, root, "failures", TAG_FAILURE),
         staging=f"{root}/staging",

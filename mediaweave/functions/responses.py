@@ -26,6 +26,7 @@ from .text import (
 )
 
 TAGS_WANTED = 10
+TAG_FIELDS = ("tags", "is_sponsorship", "brands", "associated_brands", "associated_mentions")
 
 # Texts that mean "sponsored", strict for summaries, lenient for tags.
 STRICT_TRUE = ("1", "true", "yes")
@@ -369,17 +370,40 @@ def with_tag_payload(df: DataFrame, data: str) -> DataFrame:
     )
 
 
+def tag_answer(df: DataFrame, raw: str = "raw") -> DataFrame:
+    """Add what an answer says: the five fields, and ``silent`` if it has no text.
+
+    Row by row and short, so that answers are read where they lie and no text is shuffled.
+    """
+    parsed = with_tag_payload(with_tag_data(df, raw, "_data"), "_data")
+    return parsed.withColumn("silent", clean_text(F.col(raw)) == "").drop("_data")
+
+
+def unanswered(df: DataFrame) -> DataFrame:
+    """The fields of ``tag_answer`` filled in for rows that found no answer."""
+    blank = {c: F.array().cast("array<string>") for c in TAG_FIELDS if c != "is_sponsorship"}
+    blank |= {"is_sponsorship": F.lit(0), "silent": F.lit(True)}
+    return df.withColumns({c: F.coalesce(F.col(c), v) for c, v in blank.items()})
+
+
 def tag_outcome(
     df: DataFrame, content: str = "content", raw: str = "raw", error: str = "error",
     require_all_tags: bool = True,
 ) -> DataFrame:
     """Reason, retry flags and the row to store for each post and its staged answer."""
-    parsed = with_tag_payload(with_tag_data(df, raw, "_data"), "_data")
+    answered = tag_answer(df, raw)
+    return answer_outcome(answered, is_meaningful(F.col(content)), error, require_all_tags)
+
+
+def answer_outcome(
+    parsed: DataFrame, meaningful: Column, error: str = "error", require_all_tags: bool = True
+) -> DataFrame:
+    """``tag_outcome`` of answers read by ``tag_answer``, beside captions worth a call or not."""
     short = (F.size("tags") != TAGS_WANTED) if require_all_tags else F.lit(False)
     reason = (
-        F.when(~is_meaningful(F.col(content)), "empty_input")
+        F.when(~meaningful, "empty_input")
         .when(F.col(error).isNotNull(), "exception")
-        .when(clean_text(F.col(raw)) == "", "empty_output")
+        .when(F.col("silent"), "empty_output")
         .when(short, "not_10_tags")
         .otherwise("ok")
     )
@@ -398,7 +422,7 @@ def tag_outcome(
                 "associated_mention": json_list_text(F.col("associated_mentions"), None),
             }
         )
-        .drop("_data")
+        .drop("silent")
     )
 
 

@@ -14,7 +14,7 @@ from ..functions.text import (
     parse_list_text,
 )
 from ..schemas import COUNTERS
-from .lookups import BROADCAST_ROWS, checked_lookup
+from .lookups import BROADCAST_ROWS, checked_lookup, perhaps_among
 from .merge import last_wins
 from .ranking import SMALL_LIMIT, first_rows, first_rows_by_group
 
@@ -164,7 +164,8 @@ def latest_captions(
 ) -> DataFrame:
     """Newest caption per pair; undated rows come last, a missing caption is empty.
 
-    With ``wanted`` only the captions of its pairs are gathered, however long the history is.
+    With ``wanted`` only the captions of its pairs are gathered, however long the history is: the
+    newest dates are found without the texts, and most other texts are left out before the shuffle.
     """
     trimmed = posts.select(
         clean_text(F.col("ig_user_id").cast("string")).alias("user_id"),
@@ -175,16 +176,23 @@ def latest_captions(
     ).filter((F.col("user_id") != "") & (F.col("post_id") != ""))
     if wanted is not None:
         pairs = wanted.select(*[clean_text(F.col(c).cast("string")).alias(c) for c in PAIR]).distinct()
-        trimmed = trimmed.join(pairs, PAIR, "left_semi")
+        dated = trimmed.select(*PAIR, "postDate").join(pairs, PAIR, "left_semi")
+        newest = dated.groupBy(*PAIR).agg(F.max("postDate").alias("postDate"))
+        # a semi join would be pushed below the look-up, and every text be shuffled again
+        trimmed = perhaps_among(trimmed, [*PAIR, "postDate"], newest).join(pairs, PAIR)
     order = ["postDate", *(tiebreak or ["content"])]
     return last_wins(trimmed, PAIR, order).select(*PAIR, "content")
 
 
+def keyed_posts(docs: DataFrame) -> DataFrame:
+    """Trimmed keys; rows with a blank one go."""
+    trimmed = docs.withColumns({c: clean_text(F.col(c)) for c in PAIR})
+    return trimmed.filter((F.col("user_id") != "") & (F.col("post_id") != ""))
+
+
 def attach_captions(docs: DataFrame, captions: DataFrame) -> DataFrame:
     """Left join to the newest captions; documents keep their copies, blank keys go."""
-    trimmed = docs.withColumns({c: clean_text(F.col(c)) for c in PAIR})
-    keyed = trimmed.filter((F.col("user_id") != "") & (F.col("post_id") != ""))
-    joined = keyed.join(captions.select(*PAIR, "content"), PAIR, "left")
+    joined = keyed_posts(docs).join(captions.select(*PAIR, "content"), PAIR, "left")
     return joined.withColumn("content", F.coalesce("content", F.lit("")))
 
 

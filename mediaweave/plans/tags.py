@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import JobConfig
-from ..functions.responses import tag_outcome
+from ..functions.responses import TAG_FIELDS, answer_outcome, tag_answer, unanswered
 from ..functions.text import fill_prompt, is_meaningful, pair_key, split_pair_key
 from ..operators import candidates, ledger
 from ..operators.candidates import PAIR
@@ -18,7 +18,7 @@ from ..operators.ranking import numbered
 from ..sources.clients import (
     ClientFactory, answer_schema, best_answers, generate_answers, request_hash, stage_once,
 )
-from ..sources.tables import StagedResults, VersionedTable, written
+from ..sources.tables import GivenTable, StagedResults, VersionedTable, written
 
 PLACE = "_place"
 TAG_COLUMNS = [
@@ -29,22 +29,30 @@ TAG_COLUMNS = [
 @dataclass
 class TagTables:
     docs: VersionedTable
-    captions: VersionedTable
+    captions: VersionedTable | GivenTable
     tags: VersionedTable
     failures: VersionedTable
     staging: str
 
 
-def tag_requests(docs: DataFrame, template: str) -> DataFrame:
-    """Prompts of meaningful captions, one per pair."""
+def tag_requests(docs: DataFrame, template: str, unique: bool = False) -> DataFrame:
+    """Prompts of meaningful captions, one per pair; pairs that are ``unique`` already stay in place."""
     prompt = fill_prompt(template, F.col("content"))
-    meaningful = docs.filter(is_meaningful(F.col("content"))).dropDuplicates(PAIR)
+    meaningful = docs.filter(is_meaningful(F.col("content")))
+    meaningful = meaningful if unique else meaningful.dropDuplicates(PAIR)
     return meaningful.select(*PAIR, prompt.alias("prompt"), request_hash(prompt).alias("request_hash"))
 
 
+def read_answers(staged: DataFrame) -> DataFrame:
+    """What staged answers say, without their texts."""
+    return tag_answer(staged).drop("raw")
+
+
 def tag_results(docs: DataFrame, answers: DataFrame) -> DataFrame:
-    joined = docs.join(answers.select(*PAIR, "raw", "error"), PAIR, "left")
-    return tag_outcome(joined)
+    """Outcomes of posts with captions and their answers from ``read_answers``; no text is shuffled."""
+    marked = docs.withColumn("_meaningful", is_meaningful(F.col("content"))).drop("content")
+    joined = marked.join(answers.select(*PAIR, *TAG_FIELDS, "silent", "error"), PAIR, "left")
+    return answer_outcome(unanswered(joined), F.col("_meaningful")).drop("_meaningful")
 
 
 def merge_tags(tags: DataFrame, results: DataFrame) -> DataFrame:
@@ -74,19 +82,27 @@ def _staged(tables: TagTables, requests: DataFrame, version: int) -> StagedResul
 
 
 def _ask(
-    work: DataFrame, tables: TagTables, factory: ClientFactory, config: JobConfig, page: int = 0
+    work: DataFrame, tables: TagTables, factory: ClientFactory, config: JobConfig, page: int = 0,
+    unique: bool = False, posts: DataFrame | None = None,
 ) -> DataFrame:
-    """Results for posts with captions; posts, answers and results are each written once."""
+    """Results for posts with captions; posts, answers and results are each written once.
+
+    Where ``work`` has ``unique`` pairs, its texts are shuffled for the calls only.  With ``posts``
+    there is a result for each of these, copies of a pair included.
+    """
     work = written(work, f"{tables.staging}-work-{page}")
-    requests = tag_requests(work, config.prompt_template)
+    requests = tag_requests(work, config.prompt_template, unique)
     staged = _staged(tables, requests, tables.tags.version())
     answers = stage_once(
         requests, PAIR, staged,
-        lambda df, parts: generate_answers(df, PAIR, factory, parts), config,
+        lambda df, parts: generate_answers(df, PAIR, factory, parts), config, read=read_answers,
     )
+    results = tag_results(work, answers)
+    if posts is not None:
+        results = candidates.keyed_posts(posts).select("_id", *PAIR).join(results.drop("_id"), PAIR, "left")
     kept = ["_id", *PAIR, "ok", "reason", "skip_retry", "quota_fail", *TAG_COLUMNS]
     kept = [c for c in [*kept, PLACE] if c in kept or c in work.columns]
-    return written(tag_results(work, answers).select(*kept), f"{tables.staging}-results-{page}")
+    return written(results.select(*kept), f"{tables.staging}-results-{page}")
 
 
 def _ask_until(
@@ -144,8 +160,10 @@ def run(tables: TagTables, factory: ClientFactory, config: JobConfig) -> DataFra
     if config.cap > 0:
         results, behind = _ask_until(lanes, tables, factory, config)
     else:
+        lanes = written(lanes, f"{tables.staging}-posts")
         captions = candidates.latest_captions(tables.captions.read(), wanted=lanes)
-        results, behind = _ask(candidates.attach_captions(lanes, captions), tables, factory, config), None
+        work = candidates.pairs_with_captions(lanes, captions)
+        results, behind = _ask(work, tables, factory, config, unique=True, posts=lanes), None
     tables.tags.replace(merge_tags(tables.tags.read(), results))
     if behind is not None:
         _keep_surplus(tables, behind, before)
@@ -160,7 +178,7 @@ def repair(tables: TagTables, factory: ClientFactory, config: JobConfig) -> Data
     bad = candidates.bad_tag_pairs(tables.tags.read())
     captions = candidates.latest_captions(tables.captions.read(), wanted=bad)
     work = candidates.pairs_with_captions(bad, captions)
-    results = _ask(work, tables, factory, config)
+    results = _ask(work, tables, factory, config, unique=True)
     tables.tags.replace(merge_tags(tables.tags.read(), results))
     return results.agg(
         F.count_if("ok").alias("repaired_ok"), F.count_if(~F.col("ok")).alias("repaired_failed")

@@ -217,12 +217,14 @@ def stage_once(
     call: Callable[[DataFrame, int], DataFrame],
     config: JobConfig,
     usable: Column | None = None,
+    read: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Answers for ``requests`` (keys, request_hash, prompt); only missing ones are called.
 
     A request without a ``usable`` answer (one without an error) is called again.  Partitions and
     commits are sized by the number of open requests, so a lost task repeats a
-    bounded number of calls and a lost run at most one commit's worth.
+    bounded number of calls and a lost run at most one commit's worth.  ``read`` takes from each
+    staged row what the caller needs, before rows are shuffled to find the best answer.
     """
     names = [*keys, "request_hash"]
     good = F.col("error").isNull() if usable is None else usable
@@ -240,7 +242,8 @@ def stage_once(
         if waves > 1:
             todo = todo.filter(F.pmod(F.xxhash64(*names), F.lit(waves)) == wave)
         staged.append(call(todo, partitions))
-    return requests.select(*names).join(best_answers(staged.read(), names, good), names, "inner")
+    answers = staged.read() if read is None else read(staged.read())
+    return requests.select(*names).join(best_answers(answers, names, good), names, "inner")
 
 
 def best_answers(answers: DataFrame, names: list[str], usable: Column | None = None) -> DataFrame:

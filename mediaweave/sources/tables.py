@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from ..config import checked_identifier
+from ..config import checked_identifier, shuffles_dropped
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -24,7 +24,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
+
+
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, which Spark knows when it plans: the other side of a join is not shuffled."""
+    return spark.createDataFrame([], schema).limit(0)
 
 
 def read_jdbc(
@@ -65,10 +70,17 @@ def write_connector(df: DataFrame, sink: str, options: dict[str, str]) -> None:
     df.write.format(sink).mode("append").options(**options).save()
 
 
+def save(df: DataFrame, path: str, mode: str) -> None:
+    """Parquet in zstd: an answer repeats its text, and only a codec that sees further back than a
+    few kB shortens that."""
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode(mode).option("compression", "zstd").parquet(path)
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
     """``df`` written to ``path`` and read back: later steps start from the files instead of
     computing it again.  A rerun replaces what a lost run left there."""
-    df.write.mode("overwrite").parquet(path)
+    save(df, path, "overwrite")
     return read_parquet(df.sparkSession, path, df.schema)
 
 
@@ -78,6 +90,20 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def as_schema(df: DataFrame, schema: StructType) -> DataFrame:
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
+class GivenTable:
+    """Rows that lie elsewhere, for a job that only reads them: they are not copied."""
+
+    def __init__(self, rows: DataFrame, schema: StructType):
+        self.rows, self.schema = as_schema(rows, schema), schema
+
+    def read(self) -> DataFrame:
+        return self.rows
+
+
 class VersionedTable:
     """A keyed table whose every state is a folder of its own.
 
@@ -103,15 +129,14 @@ class VersionedTable:
         """The current state; empty with the declared schema before the first write."""
         version = self.version()
         if version == 0:
-            return self.spark.createDataFrame([], self.schema)
+            return empty(self.spark, self.schema)
         return read_parquet(self.spark, f"{self.path}/v{version}", self.schema)
 
     def replace(self, df: DataFrame) -> DataFrame:
         """Write ``df`` as the next version and return it as read back."""
         version = self.version() + 1
-        rows = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
         # overwrite: files of a write that never got its commit
-        rows.write.mode("overwrite").parquet(f"{self.path}/v{version}")
+        save(as_schema(df, self.schema), f"{self.path}/v{version}", "overwrite")
         commit = self.spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
         commit.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return read_parquet(self.spark, f"{self.path}/v{version}", self.schema)
@@ -137,4 +162,4 @@ class StagedResults:
         return read_or_empty(self.spark, self.path, self.schema)
 
     def append(self, df: DataFrame) -> None:
-        df.select([f.name for f in self.schema]).write.mode("append").parquet(self.path)
+        save(df.select([f.name for f in self.schema]), self.path, "append")
